@@ -111,8 +111,12 @@ def apply_contract(df: DataFrame, contract: Contract, payload_col: str = "payloa
     # every later predicate on ``errors`` (and evaluate it twice per row). A
     # filter on generator output stays above the Generate, so the contract is
     # evaluated exactly once per row.
-    names = final.columns
-    return final.select(F.inline(F.array(F.struct(*[F.col(c) for c in names]))))
+    return evaluate_once(final)
+
+
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Same rows and columns, behind a one-row ``inline`` (see apply_contract)."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def reason(errors: Column) -> Column:

@@ -46,6 +46,7 @@ def insert_only(
     keys: Sequence[str],
     order: Sequence[str],
     batch_rows: int | None = None,
+    deduplicated: bool = False,
 ) -> DataFrame:
     """Rows to append for ``INSERT ... ON CONFLICT (keys) DO NOTHING``.
 
@@ -55,7 +56,7 @@ def insert_only(
     semi-join over the target, so the (large) target is scanned but never
     shuffled; otherwise both sides shuffle on the key and AQE picks the join.
     """
-    fresh = first_wins(batch, keys, order)
+    fresh = batch if deduplicated else first_wins(batch, keys, order)
     if batch_rows is not None and batch_rows <= BROADCAST_KEY_ROWS:
         colliding = target.select(*keys).join(F.broadcast(fresh.select(*keys)), list(keys), "left_semi")
         return fresh.join(colliding, list(keys), "left_anti")

@@ -59,7 +59,7 @@ def _service(event_type: Column) -> Column:
 
 
 def auction_feed(events: DataFrame) -> DataFrame:
-    """``events`` -> ``payload`` (JSON text) plus ``event_id`` for tracing.
+    """``events`` -> ``payload`` (JSON text) plus ``event_id`` and the record's ``_id``.
 
     Mapping: _id = event_id + 1; key = user_id#||#event_type#||#event_id;
     unit 'U-'||user_id; participant 'P-'||user_id%10; product = event_type;
@@ -134,7 +134,33 @@ def auction_feed(events: DataFrame) -> DataFrame:
     )
     exploded = events.select("*", F.explode(cursors).alias("__cursor"))
     with_body = exploded.select("*", body.alias("__body"))
-    return with_body.select(F.col("event_id"), payload.alias("payload"))
+    return with_body.select(F.col("event_id"), F.col("__cursor").alias("_id"), payload.alias("payload"))
+
+
+def auction_source(events: DataFrame):
+    """A source (see ``plans.stages.Fetch``) over ``events``: records with _id > watermark.
+
+    The scan predicate is a superset written on ``event_id`` so it reaches the
+    Parquet reader; the exact cursor test runs after the (re-issue) explode.
+    """
+
+    def fetch(watermark: int | None) -> DataFrame:
+        wm = watermark or 0
+        rows = events.filter(F.col("event_id") > F.lit(wm - 1 - REISSUE_SHIFT))
+        feed = auction_feed(rows)
+        return feed.filter(F.col("_id") > F.lit(wm)).select("payload", F.col("_id").alias("cursor"))
+
+    return fetch
+
+
+def orders_source(orders: DataFrame):
+    """A source over ``orders`` with o_orderkey as the cursor."""
+
+    def fetch(watermark: int | None) -> DataFrame:
+        rows = orders.filter(F.col("o_orderkey") > F.lit(watermark or 0))
+        return orders_feed(rows).select("payload", F.col("o_orderkey").alias("cursor"))
+
+    return fetch
 
 
 def orders_feed(orders: DataFrame) -> DataFrame:
