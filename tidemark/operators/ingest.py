@@ -97,7 +97,7 @@ def validate_frame(pending_raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """
     checked = apply_contract(pending_raw, spec.contract, "payload")
     key = spec.business_key
-    raw_key = f"raw_{key}" if key in checked.columns and f"raw_{key}" in checked.columns else None
+    raw_key = f"raw_{key}" if f"raw_{key}" in checked.columns else key
     typed = [F.col(r.name) for r in spec.staged_fields if r.name not in (key, spec.cursor)]
     derived = [build().alias(name) for name, build in spec.derived]
     cols = [
@@ -109,53 +109,65 @@ def validate_frame(pending_raw: DataFrame, spec: SourceSpec) -> DataFrame:
         F.col("extract_run_id"),
         F.col("payload").alias("raw_payload"),
         F.col("errors"),
+        F.col(raw_key).cast("string").alias("raw_key"),
     ]
-    if raw_key:
-        cols.append(F.col(raw_key).alias("raw_key"))
     return checked.select(*cols)
 
 
-def staging_outcome(
-    valid: DataFrame,
-    staging: DataFrame | None,
-    spec: SourceSpec,
-) -> DataFrame:
-    """Decide each contract-valid key winner: ``insert`` or ``reject``.
+def staging_outcome(validated: DataFrame, staging: DataFrame | None, spec: SourceSpec) -> DataFrame:
+    """Decide every validated row in one pass: ``insert`` or ``reject`` (+ reason).
 
-    * first row per cleaned key wins (lowest raw cursor, then payload); later
-      rows and keys already in staging are dropped as duplicates (ON CONFLICT
-      DO NOTHING; counted as read - inserted - rejected, never materialised);
+    * rows breaking the contract are rejected with their reasons;
+    * among valid rows the first per cleaned key wins (lowest raw cursor,
+      then payload); later rows and keys already in staging are dropped as
+      duplicates (ON CONFLICT DO NOTHING; counted as read - inserted -
+      rejected, never materialised);
     * a winner whose cursor is already in staging, or whose cursor another
       winner with a smaller key also has, is rejected: cursors are unique too.
 
-    Returns staging columns plus ``raw_payload``, ``outcome`` and ``reason``.
-    All steps are aggregations or joins on unique keys; no window over a key.
+    Rejected rows ride through the same first-wins aggregation keyed by their
+    raw key (unique in raw), so the contract is evaluated once per row and
+    there is no union of two branches. All steps are aggregations (combined
+    map-side) or joins on keys that are unique on one side.
     """
     key, cur = spec.business_key, spec.cursor
     cols = staging_columns(spec) + ["raw_payload"]
-    rows = valid.select(*cols)
-    winners = merge.first_wins(rows, [key], [cur, "raw_payload"])
+    is_valid = F.size("errors") == 0
+    group = F.when(is_valid, F.concat(F.lit("v:"), F.col(key).cast("string"))).otherwise(
+        F.concat(F.lit("r:"), F.col("raw_key"))
+    )
+    rows = validated.select(
+        *cols, is_valid.alias("__valid"), reason(F.col("errors")).alias("__reason"), group.alias("__group")
+    )
+    winners = merge.first_wins(rows, ["__group"], [cur, "raw_payload"]).drop("__group")
     if staging is not None:
-        staged_keys = staging.select(F.col(key).cast(rows.schema[key].dataType).alias(key))
-        fresh = winners.join(staged_keys, key, "left_anti")
+        staged_keys = (
+            staging.select(F.col(key).cast(rows.schema[key].dataType).alias(key))
+            .distinct()
+            .withColumn("__staged", F.lit(True))
+        )
+        winners = winners.join(staged_keys, key, "left").filter(
+            ~(F.col("__valid") & F.coalesce(F.col("__staged"), F.lit(False)))
+        )
         taken_cursors = staging.select(F.col(cur)).distinct().withColumn("__taken", F.lit(True))
     else:
-        fresh = winners
         taken_cursors = None
-    cursor_owner = fresh.groupBy(cur).agg(F.min(key).alias("__owner"))
-    decided = fresh.join(cursor_owner, cur, "inner")
+    cursor_owner = (
+        winners.filter(F.col("__valid")).groupBy(cur).agg(F.min(key).alias("__owner"))
+    )
+    decided = winners.join(cursor_owner, cur, "left")
+    taken = F.lit(False)
     if taken_cursors is not None:
         decided = decided.join(taken_cursors, cur, "left")
         taken = F.coalesce(F.col("__taken"), F.lit(False))
-    else:
-        taken = F.lit(False)
-    dup_cursor = taken | (F.col(key) != F.col("__owner"))
-    decided = decided.select(
+    dup_cursor = F.col("__valid") & (taken | (F.col(key) != F.col("__owner")))
+    return decided.select(
         *cols,
-        F.when(dup_cursor, F.lit("reject")).otherwise(F.lit("insert")).alias("outcome"),
-        F.when(dup_cursor, F.lit(f"{INSERT_FAILED}{cur}: {DUPLICATE_CURSOR}")).alias("reason"),
+        F.when(~F.col("__valid") | dup_cursor, F.lit("reject")).otherwise(F.lit("insert")).alias("outcome"),
+        F.when(~F.col("__valid"), F.col("__reason"))
+        .when(dup_cursor, F.lit(f"{INSERT_FAILED}{cur}: {DUPLICATE_CURSOR}"))
+        .alias("reason"),
     )
-    return decided
 
 
 def contract_rejects(validated: DataFrame) -> DataFrame:
@@ -178,20 +190,12 @@ def reject_rows(rejects: DataFrame, run_id: str, source: str, at: dt.datetime) -
     )
 
 
-def validate_all(
-    pending_raw: DataFrame, staging: DataFrame | None, spec: SourceSpec
-) -> DataFrame:
-    """Pending rows with their outcome: insert or reject (+ reason); duplicates are left out.
+def validate_all(pending_raw: DataFrame, staging: DataFrame | None, spec: SourceSpec) -> DataFrame:
+    """Pending raw rows with their outcome: insert or reject (+ reason); duplicates are left out.
 
     Schema: staging columns, ``raw_payload``, ``outcome``, ``reason``.
     """
-    validated = validate_frame(pending_raw, spec)
-    cols = staging_columns(spec) + ["raw_payload"]
-    valid = validated.filter(F.size("errors") == 0)
-    bad = validated.filter(F.size("errors") > 0).select(
-        *cols, F.lit("reject").alias("outcome"), reason(F.col("errors")).alias("reason")
-    )
-    return staging_outcome(valid, staging, spec).unionByName(bad)
+    return staging_outcome(validate_frame(pending_raw, spec), staging, spec)
 
 
 def outcome_columns(spec: SourceSpec) -> Sequence[str]:

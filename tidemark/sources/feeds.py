@@ -40,17 +40,6 @@ OTHER_SERVICE = "Quick Reserve"
 ISO_NAIVE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def json_string(c: Column) -> Column:
-    """JSON spelling of a string Column (escaped, quoted; ``null`` for NULL)."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
-
-
-def json_object(members: list[tuple[str, Column | None]]) -> Column:
-    """Object text from (key, JSON value text) pairs; a NULL value text omits the key."""
-    parts = [F.concat(F.lit(f'"{k}":'), v) for k, v in members if v is not None]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-
-
 def _service(event_type: Column) -> Column:
     expr = None
     for t, s in SERVICE_BY_TYPE:
@@ -66,6 +55,9 @@ def auction_feed(events: DataFrame) -> DataFrame:
     quantity = props.k as text; price = value as text; start = ts (ISO, UTC);
     end = start + 30 min (4 h for 'view'); technology 'T-'||user_id%6;
     postcode 'PC-'||user_id.
+
+    One ``to_json`` per record (nulls kept); the few rows whose shape differs
+    (absent key, numeric quantity, extra key) get a row-local text edit.
     """
     m = F.col("event_id") % 50
     uid = F.col("user_id")
@@ -74,66 +66,54 @@ def auction_feed(events: DataFrame) -> DataFrame:
         F.col("ts") + F.expr("INTERVAL 30 MINUTES")
     )
     key = F.concat_ws(KEY_SEPARATOR, uid.cast("string"), F.col("event_type"), F.col("event_id").cast("string"))
-    k_text = F.get_json_object("props", "$.k")
     unit = F.concat(F.lit("U-"), uid.cast("string"))
-    members = [
-        ("_id", F.col("__cursor").cast("string")),
-        ("unitResultID", json_string(F.when(m != NULL_KEY, key))),
-        (
-            "registeredAuctionParticipant",
-            json_string(
-                F.when(m == BLANK_PARTICIPANT, F.lit("  \t ")).otherwise(
-                    F.concat(F.lit("P-"), (uid % 10).cast("string"))
-                )
-            ),
-        ),
-        ("auctionUnit", json_string(F.when(m == TABBED_UNIT, F.concat(unit, F.lit("\t\t"))).otherwise(unit))),
-        ("serviceType", json_string(_service(F.col("event_type")))),
-        ("auctionProduct", json_string(F.col("event_type"))),
-        (
-            "executedQuantity",
-            F.when(m == HUGE_QUANTITY, json_string(F.lit("123456789.0")))
-            .when(m == NUMERIC_QUANTITY, k_text)
-            .otherwise(json_string(k_text)),
-        ),
-        (
-            "clearingPrice",
-            F.when(m == NO_PRICE, F.lit(None).cast("string")).otherwise(
-                json_string(F.when(m == BAD_PRICE, F.lit("not a number")).otherwise(F.col("value").cast("string")))
-            ),
+    record = F.struct(
+        F.col("__cursor").alias("_id"),
+        F.when(m != NULL_KEY, key).alias("unitResultID"),
+        F.when(m == BLANK_PARTICIPANT, F.lit("  \t ")).otherwise(
+            F.concat(F.lit("P-"), (uid % 10).cast("string"))
+        ).alias("registeredAuctionParticipant"),
+        F.when(m == TABBED_UNIT, F.concat(unit, F.lit("\t\t"))).otherwise(unit).alias("auctionUnit"),
+        _service(F.col("event_type")).alias("serviceType"),
+        F.col("event_type").alias("auctionProduct"),
+        F.when(m == HUGE_QUANTITY, F.lit("123456789.0"))
+        .otherwise(F.get_json_object("props", "$.k"))
+        .alias("executedQuantity"),
+        F.when(m == BAD_PRICE, F.lit("not a number")).otherwise(F.col("value").cast("string")).alias("clearingPrice"),
+        F.when(m == NULL_START, F.lit(None).cast("string"))
+        .when(m == OFFSET_START, F.concat(start_iso, F.lit("+01:00")))
+        .otherwise(start_iso)
+        .alias("deliveryStart"),
+        F.date_format(end_ts, ISO_NAIVE).alias("deliveryEnd"),
+        F.when(m == BLANK_TECHNOLOGY, F.lit("   "))
+        .otherwise(F.concat(F.lit("T-"), (uid % 6).cast("string")))
+        .alias("technologyType"),
+        F.when(F.col("event_id") % NULL_POSTCODE_EVERY != 0, F.concat(F.lit("PC-"), uid.cast("string"))).alias(
+            "postCode"
         ),
-        (
-            "deliveryStart",
-            json_string(
-                F.when(m == NULL_START, F.lit(None).cast("string"))
-                .when(m == OFFSET_START, F.concat(start_iso, F.lit("+01:00")))
-                .otherwise(start_iso)
-            ),
-        ),
-        ("deliveryEnd", json_string(F.date_format(end_ts, ISO_NAIVE))),
-        (
-            "technologyType",
-            json_string(
-                F.when(m == BLANK_TECHNOLOGY, F.lit("   ")).otherwise(F.concat(F.lit("T-"), (uid % 6).cast("string")))
-            ),
-        ),
-        (
-            "postCode",
-            json_string(
-                F.when(F.col("event_id") % NULL_POSTCODE_EVERY != 0, F.concat(F.lit("PC-"), uid.cast("string")))
+    )
+    body = F.col("__body")
+    payload = (
+        F.when(m == NO_PRICE, F.regexp_replace(body, r',"clearingPrice":"[^"]*"', ""))
+        .when(m == NUMERIC_QUANTITY, F.regexp_replace(body, r'"executedQuantity":"([0-9]+)"', '"executedQuantity":$1'))
+        .when(
+            m == EXTRA_KEY,
+            F.concat(
+                F.expr("substring(__body, 1, length(__body) - 1)"),
+                F.lit(',"extraField'),
+                (uid % 3).cast("string"),
+                F.lit('":1}'),
             ),
-        ),
-    ]
-    extra = F.when(m == EXTRA_KEY, F.concat(F.lit('"extraField'), (uid % 3).cast("string"), F.lit('":1')))
-    body = json_object(members)
-    payload = F.when(extra.isNull(), body).otherwise(
-        F.concat(F.expr("substring(__body, 1, length(__body) - 1)"), F.lit(","), extra, F.lit("}"))
+        )
+        .otherwise(body)
     )
     cursors = F.when(m == REISSUED, F.array(F.col("event_id") + 1, F.col("event_id") + 1 + REISSUE_SHIFT)).otherwise(
         F.array(F.col("event_id") + 1)
     )
-    exploded = events.select("*", F.explode(cursors).alias("__cursor"))
-    with_body = exploded.select("*", body.alias("__body"))
+    exploded = events.select("event_id", "user_id", "event_type", "ts", "value", "props", F.explode(cursors).alias("__cursor"))
+    with_body = exploded.select(
+        "event_id", "user_id", F.col("__cursor"), F.to_json(record, {"ignoreNullFields": "false"}).alias("__body")
+    )
     return with_body.select(F.col("event_id"), F.col("__cursor").alias("_id"), payload.alias("payload"))
 
 
@@ -165,12 +145,8 @@ def orders_source(orders: DataFrame):
 
 def orders_feed(orders: DataFrame) -> DataFrame:
     """``orders`` rows as JSON records (all columns, nulls kept, dates as ISO text)."""
-    members = [
-        ("o_orderkey", F.col("o_orderkey").cast("string")),
-        ("o_custkey", F.coalesce(F.col("o_custkey").cast("string"), F.lit("null"))),
-        ("o_orderstatus", json_string(F.col("o_orderstatus"))),
-        ("o_totalprice", F.coalesce(F.col("o_totalprice").cast("string"), F.lit("null"))),
-        ("o_orderdate", json_string(F.date_format("o_orderdate", ISO_NAIVE))),
-        ("o_orderpriority", json_string(F.col("o_orderpriority"))),
-    ]
-    return orders.select(F.col("o_orderkey"), json_object(members).alias("payload"))
+    record = F.struct(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.date_format("o_orderdate", ISO_NAIVE).alias("o_orderdate"), "o_orderpriority",
+    )
+    return orders.select(F.col("o_orderkey"), F.to_json(record, {"ignoreNullFields": "false"}).alias("payload"))
