@@ -59,18 +59,33 @@ def _empty(k: Column) -> Column:
 
 
 def _number_text(k: Column, s: Column) -> Column:
-    """Numeric spelling of a string or number member, NULL for other kinds."""
+    """Numeric spelling of a string or number member, NULL for other kinds.
+
+    Underscores between digits are dropped; the regex only runs on the rare
+    strings that contain an underscore.
+    """
+    trimmed = btrim_ws(s)
     return (
-        F.when(k == J.STRING, F.regexp_replace(btrim_ws(s), DIGIT_UNDERSCORE, ""))
+        F.when(
+            k == J.STRING,
+            F.when(trimmed.contains("_"), F.regexp_replace(trimmed, DIGIT_UNDERSCORE, "")).otherwise(trimmed),
+        )
         .when(k == J.NUMBER, s)
         .otherwise(_none())
     )
 
 
+def _is_number(num: Column, parsed: Column) -> Column:
+    """Whether ``num`` spells a decimal number. A successful decimal cast settles it
+    (the cast grammar matches ours); only a failed cast pays for the regex, which
+    tells an out-of-range number from text."""
+    return F.when(parsed.isNotNull(), F.lit(True)).otherwise(F.coalesce(num.rlike(NUMBER_PATTERN), F.lit(False)))
+
+
 def to_integer(k: Column, s: Column) -> Coerced:
     """Lax integer: integral numbers, numeric strings, booleans as 0/1."""
     num = F.when(k == J.BOOLEAN, F.when(s == "true", "1").otherwise("0")).otherwise(_number_text(k, s))
-    dec = F.when(num.rlike(NUMBER_PATTERN), num.try_cast("decimal(38,10)"))
+    dec = num.try_cast("decimal(38,10)")
     integral = dec.isNotNull() & (dec == F.floor(dec))
     value = F.when(integral, dec.try_cast("bigint"))
     error = F.when(_empty(k), F.lit(MISSING)).when(value.isNull(), F.lit(NOT_INTEGER))
@@ -84,9 +99,9 @@ def to_decimal(k: Column, s: Column, precision: int = 12, scale: int = 4) -> Coe
     ``precision - scale`` integer digits is an insert error, not a contract error.
     """
     num = _number_text(k, s)
-    is_number = num.rlike(NUMBER_PATTERN)
-    value = F.when(is_number, num.try_cast(f"decimal({precision},{scale})"))
-    error = F.when(_empty(k), F.lit(MISSING)).when(~F.coalesce(is_number, F.lit(False)), F.lit(NOT_NUMBER))
+    value = num.try_cast(f"decimal({precision},{scale})")
+    is_number = _is_number(num, value)
+    error = F.when(_empty(k), F.lit(MISSING)).when(~is_number, F.lit(NOT_NUMBER))
     insert_error = F.when(error.isNull() & value.isNull(), F.lit(OVERFLOW))
     return Coerced(value, error, insert_error)
 

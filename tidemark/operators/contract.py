@@ -7,6 +7,9 @@ array. Everything is a projection: no shuffle, no Python per row.
 
 from __future__ import annotations
 
+import functools
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,62 +53,82 @@ def unknown_keys(contract: Contract, payload_col: str = "payload") -> Column:
     return F.array_sort(F.array_except(keys, known))
 
 
-def apply_contract(df: DataFrame, contract: Contract, payload_col: str = "payload") -> DataFrame:
-    """Add typed columns (named after the rules) and ``errors: array<string>``.
+@dataclass(frozen=True)
+class _Compiled:
+    """The contract's projection levels as reusable (unresolved) Column lists."""
 
-    An input column whose name equals a rule name is kept as ``raw_<name>``.
+    members: list
+    described: list
+    coerced: list
+    hooked: list | None
+    arrays: list
+    final: list
 
-    Contract errors come first; when there are none, insert errors (values that
-    do not fit their staging column) are reported with the insert prefix.
+
+@functools.lru_cache(maxsize=64)
+def _compile(contract: Contract, payload_col: str, context_id: int) -> _Compiled:
+    """Build the Column expressions once per contract (and Spark context).
+
+    Building thousands of Column objects costs one JVM round trip each; the
+    expressions only name columns, so they are reused across DataFrames.
     """
     rules = contract.fields
-    typed_names = {r.name for r in rules}
-    renamed = df.select(*[F.col(c).alias(f"raw_{c}" if c in typed_names else c) for c in df.columns])
-    payload_col = f"raw_{payload_col}" if payload_col in typed_names else payload_col
-    base_cols = [F.col(c) for c in renamed.columns]
-    with_v = renamed.select(*base_cols, J.parse_payload(F.col(payload_col)).alias(_V))
-    members = with_v.select(
-        *base_cols, *[_member(r).alias(f"__m{i}") for i, r in enumerate(rules)]
-    )
-    described = members.select(
-        *base_cols,
-        *[J.kind(F.col(f"__m{i}")).alias(f"__k{i}") for i in range(len(rules))],
-        *[J.text(F.col(f"__m{i}")).alias(f"__s{i}") for i in range(len(rules))],
-    )
-    # One projection per level: every reused sub-expression becomes a column,
-    # so the optimizer never re-inlines (and multiplies) expression trees.
-    level = []
+    n = len(rules)
+    members = [_member(r).alias(f"__m{i}") for i, r in enumerate(rules)]
+    described = [J.kind(F.col(f"__m{i}")).alias(f"__k{i}") for i in range(n)] + [
+        J.text(F.col(f"__m{i}")).alias(f"__s{i}") for i in range(n)
+    ]
+    coerced = []
     for i, rule in enumerate(rules):
         c = _coerce(rule, F.col(f"__k{i}"), F.col(f"__s{i}"))
-        level += [c.value.alias(f"__x{i}"), c.error.alias(f"__e{i}"), c.insert_error.alias(f"__i{i}")]
-    coerced = described.select(*base_cols, *level)
-    hooked = []
-    for i, rule in enumerate(rules):
-        value = rule.clean(F.col(f"__x{i}")) if rule.clean else F.col(f"__x{i}")
-        error = F.coalesce(F.col(f"__e{i}"), rule.check(value)) if rule.check else F.col(f"__e{i}")
-        hooked += [value.alias(rule.name), error.alias(f"__e{i}"), F.col(f"__i{i}")]
-    checked = coerced.select(*base_cols, *hooked)
+        coerced += [c.value.alias(f"__x{i}"), c.error.alias(f"__e{i}"), c.insert_error.alias(f"__i{i}")]
+    hooked = None
+    if any(r.clean or r.check for r in rules):
+        hooked = []
+        for i, rule in enumerate(rules):
+            value = rule.clean(F.col(f"__x{i}")) if rule.clean else F.col(f"__x{i}")
+            error = F.coalesce(F.col(f"__e{i}"), rule.check(value)) if rule.check else F.col(f"__e{i}")
+            hooked += [value.alias(f"__x{i}"), error.alias(f"__e{i}"), F.col(f"__i{i}")]
     # concat with a NULL code is NULL, and array_compact drops it.
     errors = [F.concat(F.lit(f"{rule.name}: "), F.col(f"__e{i}")) for i, rule in enumerate(rules)]
     insert_errors = [F.concat(F.lit(f"{INSERT_FAILED}{rule.name}: "), F.col(f"__i{i}")) for i, rule in enumerate(rules)]
     if contract.extra == "forbid":
         extra = unknown_keys(contract, payload_col)
-        errors.append(
-            F.when(F.size(extra) > 0, F.concat(F.lit(f"{EXTRA_KEYS}: "), F.array_join(extra, ",")))
-        )
+        errors.append(F.when(F.size(extra) > 0, F.concat(F.lit(f"{EXTRA_KEYS}: "), F.array_join(extra, ","))))
     empty = F.array().cast("array<string>")
-    typed = [F.col(r.name) for r in rules]
-    arrays = checked.select(
-        *base_cols,
-        *typed,
+    arrays = [F.col(f"__x{i}").alias(r.name) for i, r in enumerate(rules)] + [
         (F.array_compact(F.array(*errors)) if errors else empty).alias("__ce"),
         (F.array_compact(F.array(*insert_errors)) if insert_errors else empty).alias("__ie"),
-    )
-    final = arrays.select(
-        *base_cols,
-        *typed,
-        F.when(F.size("__ce") > 0, F.col("__ce")).otherwise(F.col("__ie")).alias("errors"),
-    )
+    ]
+    final = [F.col(r.name) for r in rules] + [
+        F.when(F.size("__ce") > 0, F.col("__ce")).otherwise(F.col("__ie")).alias("errors")
+    ]
+    return _Compiled(members, described, coerced, hooked, arrays, final)
+
+
+def apply_contract(df: DataFrame, contract: Contract, payload_col: str = "payload") -> DataFrame:
+    """Add typed columns (named after the rules) and ``errors: array<string>``.
+
+    An input column whose name equals a rule name is kept as ``raw_<name>``.
+    Contract errors come first; when there are none, insert errors (values that
+    do not fit their staging column) are reported with the insert prefix.
+    """
+    rules = contract.fields
+    typed_names = {r.name for r in rules}
+    renamed = df.select(*[F.col(c).alias(f"raw_{c}" if c in typed_names else c) for c in df.columns])
+    payload_col = f"raw_{payload_col}" if payload_col in typed_names else payload_col
+    compiled = _compile(contract, payload_col, id(df.sparkSession.sparkContext))
+    base_cols = [F.col(c) for c in renamed.columns]
+    # One projection per level: every reused sub-expression becomes a column,
+    # so the optimizer never re-inlines (and multiplies) expression trees.
+    with_v = renamed.select(*base_cols, J.parse_payload(F.col(payload_col)).alias(_V))
+    members = with_v.select(*base_cols, *compiled.members)
+    described = members.select(*base_cols, *compiled.described)
+    coerced = described.select(*base_cols, *compiled.coerced)
+    if compiled.hooked is not None:
+        coerced = coerced.select(*base_cols, *compiled.hooked)
+    arrays = coerced.select(*base_cols, *compiled.arrays)
+    final = arrays.select(*base_cols, *compiled.final)
     # Barrier: a one-row inline (Generate). Catalyst pushes a Filter through a
     # Project by substituting aliases, which would copy the whole rule tree into
     # every later predicate on ``errors`` (and evaluate it twice per row). A

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.table import spread
+
 # Injection plan, by event_id % 50.
 BAD_PRICE = 7  # clearingPrice 'not a number'
 NO_PRICE = 11  # clearingPrice absent
@@ -110,7 +112,9 @@ def auction_feed(events: DataFrame) -> DataFrame:
     cursors = F.when(m == REISSUED, F.array(F.col("event_id") + 1, F.col("event_id") + 1 + REISSUE_SHIFT)).otherwise(
         F.array(F.col("event_id") + 1)
     )
-    exploded = events.select("event_id", "user_id", "event_type", "ts", "value", "props", F.explode(cursors).alias("__cursor"))
+    exploded = spread(events, "event_id").select(
+        "event_id", "user_id", "event_type", "ts", "value", "props", F.explode(cursors).alias("__cursor")
+    )
     with_body = exploded.select(
         "event_id", "user_id", F.col("__cursor"), F.to_json(record, {"ignoreNullFields": "false"}).alias("__body")
     )
@@ -149,4 +153,6 @@ def orders_feed(orders: DataFrame) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         F.date_format("o_orderdate", ISO_NAIVE).alias("o_orderdate"), "o_orderpriority",
     )
-    return orders.select(F.col("o_orderkey"), F.to_json(record, {"ignoreNullFields": "false"}).alias("payload"))
+    return spread(orders, "o_orderkey").select(
+        F.col("o_orderkey"), F.to_json(record, {"ignoreNullFields": "false"}).alias("payload")
+    )
