@@ -140,3 +140,52 @@ def test_landing_stream_catches_up_and_replays_harmlessly(spark, events, scratch
     q = start_landing_stream(store, spec, f"{landing_root}/landing/{spec.name}", f"{scratch}/stream-ckpt")
     q.awaitTermination(300)
     assert store.read(stages.staging_table(spec)).count() == staged
+
+
+def test_second_source_and_create_tables_and_report(spark, scratch):
+    from tidemark.sources.feeds import orders_source
+    from tidemark.specs import orders_spec
+
+    store = Store(spark, f"{scratch}/tables")
+    spec = orders_spec()
+    stages.create_tables(store, spec)
+    stages.create_tables(store, spec)  # idempotent
+    assert store.read(stages.staging_table(spec)).count() == 0
+    assert stages.current_watermark(store, spec) is None  # empty raw = cold start
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    out = stages.run_stages(store, spec, orders_source(orders), f"{scratch}/landing")
+    n = orders.filter("o_orderkey > 0").count()  # a cold start never reads cursors <= 0
+    assert out["load_raw"].rows_written == n and out["validate"].rows_written == n
+    staging = store.read(stages.staging_table(spec))
+    assert dict(staging.dtypes)["o_totalprice"] == "decimal(14,2)"
+    rep = stages.report(store, spec)
+    assert json.loads(rep["freshness"].first()["value"])["source"] == "orders"
+    assert rep["recent_runs"].count() == 4
+
+
+def test_field_hooks_and_mart_steps(spark, events, scratch):
+    import dataclasses
+
+    from tidemark.spec import Contract
+
+    spec = auction_spec(reject_policy="quarantine")
+    fields = tuple(
+        dataclasses.replace(r, clean=F.upper, check=lambda c: F.when(F.length(c) > 3, F.lit("too long")))
+        if r.name == "auction_unit"
+        else r
+        for r in spec.contract.fields
+    )
+    spec = dataclasses.replace(
+        spec,
+        contract=Contract(fields),
+        mart_steps=(("unit_counts", lambda s: s.groupBy("auction_unit").count()),),
+    )
+    store = Store(spark, f"{scratch}/tables")
+    stages.load_raw(store, spec, auction_feed(events.filter("event_id < 200")).select("payload"))
+    stages.validate(store, spec)
+    stages.transform(store, spec)
+    assert store.read("unit_counts").count() > 0
+    reasons = {r["reason"] for r in stages.rejects(store).collect()}
+    assert "auction_unit: too long" in reasons  # units "U-10" and up fail the hook check
+    staged = store.read(stages.staging_table(spec)).select("auction_unit").distinct().collect()
+    assert staged and all(len(r["auction_unit"]) <= 3 for r in staged)

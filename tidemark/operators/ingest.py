@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import json as J
 from tidemark.operators import merge
@@ -27,6 +28,48 @@ def staging_columns(spec: SourceSpec) -> list[str]:
     return cols + ["ingested_at", "extract_run_id"]
 
 
+_KIND_TYPES = {
+    "integer": T.LongType(),
+    "timestamp": T.TimestampType(),
+    "string": T.StringType(),
+}
+
+
+def raw_schema(spec: SourceSpec) -> T.StructType:
+    """raw: business key, cursor, payload text, ingest time, load run id."""
+    return T.StructType(
+        [
+            T.StructField(spec.business_key, T.StringType(), False),
+            T.StructField(spec.cursor, T.LongType(), False),
+            T.StructField("payload", T.StringType(), False),
+            T.StructField("ingested_at", T.TimestampType(), False),
+            T.StructField("extract_run_id", T.StringType(), False),
+        ]
+    )
+
+
+def staging_schema(spec: SourceSpec) -> T.StructType:
+    """staging: typed contract fields plus cursor, derived columns and provenance."""
+    by_name = {r.name: r for r in spec.staged_fields}
+    fields = []
+    for name in staging_columns(spec):
+        if name == spec.cursor:
+            fields.append(T.StructField(name, T.LongType(), False))
+        elif name in by_name:
+            rule = by_name[name]
+            dtype = (
+                T.DecimalType(rule.precision, rule.scale) if rule.kind == "decimal" else _KIND_TYPES[rule.kind]
+            )
+            fields.append(T.StructField(name, dtype, not rule.required))
+        elif name == "ingested_at":
+            fields.append(T.StructField(name, T.TimestampType(), False))
+        elif name == "extract_run_id":
+            fields.append(T.StructField(name, T.StringType(), False))
+        else:  # derived wall-clock columns
+            fields.append(T.StructField(name, T.TimestampNTZType(), True))
+    return T.StructType(fields)
+
+
 def extract_keys(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     """Landing lines (``payload``) -> ``payload``, business key text, cursor.
 

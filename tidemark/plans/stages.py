@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import checks, ingest, ledger, marts, merge
+from tidemark.operators import checks, contract, ingest, ledger, marts, merge
 from tidemark.plans.store import Store
 from tidemark.session import apply_required_conf, ensure_checkpoint_dir
 from tidemark.sources import landing, pages, table
@@ -143,6 +143,19 @@ def current_watermark(store: Store, spec: SourceSpec) -> int | None:
     return table.watermark(raw, spec.cursor).first()["watermark"]
 
 
+# -- S12 --------------------------------------------------------------------------
+def create_tables(store: Store, spec: SourceSpec) -> None:
+    """Idempotent creation of the source's raw and staging tables and the ops tables."""
+    store.create(raw_table(spec), ingest.raw_schema(spec))
+    store.create(staging_table(spec), ingest.staging_schema(spec))
+    store.create(RUN_EVENTS, ledger.RUN_EVENT_SCHEMA)
+    store.create(REJECTS, ledger.REJECT_SCHEMA)
+
+
+# Largest number of distinct unknown keys put in the validate log line.
+DRIFT_LOG_KEYS = 100
+
+
 # -- D1 ---------------------------------------------------------------------------
 def extract(
     store: Store,
@@ -252,6 +265,11 @@ def validate(store: Store, spec: SourceSpec, run_id: str | None = None, as_of: d
         rejects = outcomes.filter(F.col("outcome") == "reject")
         if counts.get("reject", 0):
             store.append(REJECTS, ingest.reject_rows(rejects, run.run_id, spec.name, at))
+        # O8: unknown payload keys seen by this run, logged once per run (a bounded report).
+        drift = contract.drift_report(outcomes.select(F.col("raw_payload").alias("payload")), spec.contract)
+        extras = [r["extra_key"] for r in drift.limit(DRIFT_LOG_KEYS).collect()]
+        if extras:
+            log.info("validate %s: extra keys observed: %s", spec.name, extras)
         result = StageResult(
             run.run_id, "validate", rows_read=read, rows_written=counts.get("insert", 0),
             rows_rejected=counts.get("reject", 0),
@@ -301,6 +319,8 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None) -> Stag
                 dim_tgt, dim_src, spec.dim.key, spec.dim.attributes,
                 least_cols=(spec.dim.first_seen,), greatest_cols=(spec.dim.last_seen,),
             )
+        for name, build in spec.mart_steps:  # X4: further mart steps, in order
+            frames[name] = build(cleaned)
         if changed:
             frames[staging_table(spec)] = cleaned
         observations = {}
@@ -375,3 +395,15 @@ def runs(store: Store) -> DataFrame:
 
 def rejects(store: Store) -> DataFrame:
     return store.read(REJECTS, ledger.REJECT_SCHEMA)
+
+
+def report(store: Store, spec: SourceSpec, as_of: dt.datetime | None = None, limit: int = 20) -> dict[str, DataFrame]:
+    """S15: recent runs and freshness as JSON-line frames (``value`` column), never collected here."""
+    staging = store.read(staging_table(spec), ingest.staging_schema(spec))
+    fresh = ledger.freshness(
+        staging, as_of or _now(), delivery_col=spec.freshness_delivery or "ingested_at", source=spec.name
+    )
+    return {
+        "recent_runs": ledger.recent_runs(runs(store), limit).select(F.to_json(F.struct("*")).alias("value")),
+        "freshness": fresh.select(F.to_json(F.struct("*")).alias("value")),
+    }

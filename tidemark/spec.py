@@ -105,6 +105,9 @@ class SourceSpec:
     dim: DimSpec | None = None
     fact: FactSpec | None = None
     freshness_delivery: str | None = None
+    # Extra mart steps run by transform in this order after dim and fact:
+    # (table name, builder from cleaned staging to the table's rows).
+    mart_steps: tuple[tuple[str, Callable], ...] = ()
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
