@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions import json as J
 from tidemark.operators import merge
 from tidemark.operators.contract import INSERT_FAILED, apply_contract, evaluate_once, reason
+from tidemark.sources.table import spread
 from tidemark.spec import SourceSpec
 
 DUPLICATE_CURSOR = "duplicate cursor"
@@ -122,15 +123,17 @@ def pending(raw: DataFrame, staging: DataFrame | None, spec: SourceSpec, broadca
     Only keys are shuffled for the anti-join; payloads are then fetched by a
     semi-join on (key, cursor), broadcast when the caller counted the pending
     keys and found them small, so the payload-heavy raw table is only scanned.
+    The result is spread over all task slots when it is narrower (the JSON
+    contract that follows is the CPU-heavy step).
     """
     if staging is None:
-        return raw
+        return spread(raw, spec.business_key)
     key = spec.business_key
     staged_keys = staging.select(F.col(key).cast("string").alias(key))
     todo = raw.select(key, spec.cursor).join(staged_keys, key, "left_anti")
     if broadcast_rows is not None and broadcast_rows <= merge.BROADCAST_KEY_ROWS:
         todo = F.broadcast(todo)
-    return raw.join(todo, [key, spec.cursor], "left_semi")
+    return spread(raw.join(todo, [key, spec.cursor], "left_semi"), key)
 
 
 def validate_frame(pending_raw: DataFrame, spec: SourceSpec) -> DataFrame:

@@ -40,6 +40,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._published: dict[str, tuple[int, str]] | None = None
 
     # -- pointers -----------------------------------------------------------------
     def _pointers(self) -> DataFrame | None:
@@ -50,17 +51,24 @@ class Store:
                 return None
             raise
 
-    def current(self, table: str) -> tuple[int, str] | None:
-        """(version, path) of the published version; one scalar row from the tiny log."""
+    def _load_published(self) -> dict[str, tuple[int, str]]:
+        """Latest (version, path) per table: aggregated in Spark, one row per table."""
         pointers = self._pointers()
         if pointers is None:
-            return None
-        row = (
-            pointers.filter(F.col("table") == table)
-            .agg(F.max_by(F.struct("version", "path"), "version").alias("p"))
-            .first()
-        )
-        return None if row is None or row["p"] is None else (row["p"]["version"], row["p"]["path"])
+            return {}
+        latest = pointers.groupBy("table").agg(F.max_by(F.struct("version", "path"), "version").alias("p"))
+        return {r["table"]: (r["p"]["version"], r["p"]["path"]) for r in latest.collect()}
+
+    def refresh(self) -> None:
+        """Forget the cached pointers (another writer may have published)."""
+        self._published = None
+
+    def current(self, table: str) -> tuple[int, str] | None:
+        """(version, path) of the published version. The pointer log is read once per
+        Store and kept in step with this (single) writer's own publishes."""
+        if self._published is None:
+            self._published = self._load_published()
+        return self._published.get(table)
 
     def _register(self, entries: list[tuple[str, int, str]]) -> None:
         now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
@@ -68,6 +76,9 @@ class Store:
         self.spark.createDataFrame(rows, POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.root}/_tables"
         )
+        if self._published is not None:
+            for t, v, p in entries:
+                self._published[t] = (v, p)
 
     def version_path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version:06d}"
