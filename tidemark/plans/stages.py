@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks, contract, ingest, ledger, marts, merge
+from tidemark.functions.text import btrim_ws
 from tidemark.plans.store import Store
 from tidemark.session import apply_required_conf, ensure_checkpoint_dir
 from tidemark.sources import landing, pages, table
@@ -255,8 +256,14 @@ def validate(store: Store, spec: SourceSpec, run_id: str | None = None, as_of: d
             staged_keys = staging.select(F.col(spec.business_key).cast("string").alias(spec.business_key))
             n_pending = raw.select(spec.business_key).join(staged_keys, spec.business_key, "left_anti").count()
         todo = ingest.pending(raw, staging, spec, n_pending)
-        outcomes = materialize(spark, ingest.validate_all(todo, staging, spec), "validate")
-        counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
+        obs = Observation(f"validate_{run.run_id}")
+        decided = ingest.validate_all(todo, staging, spec).observe(
+            obs,
+            F.count(F.when(F.col("outcome") == "insert", True)).alias("insert"),
+            F.count(F.when(F.col("outcome") == "reject", True)).alias("reject"),
+        )
+        outcomes = materialize(spark, decided, "validate")
+        counts = obs.get
         read = n_pending if n_pending is not None else raw.count()
         store.append(
             staging_table(spec),
@@ -303,15 +310,24 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None) -> Stag
         if staging is None:
             raise RuntimeError(f"staging table for {spec.name} does not exist; validate first")
         columns = list(spec.clean_columns) + list(spec.nullable_clean_columns)
-        changed = staging.filter(marts.changed_predicate(spec.clean_columns, spec.nullable_clean_columns)).count()
         cleaned = marts.clean_strings(staging, columns)
+        changed_flag = marts.changed_predicate(spec.clean_columns, spec.nullable_clean_columns)
         frames: dict[str, DataFrame] = {}
-        read = None
         if spec.fact is not None:
-            read = checks.assert_grain(cleaned, spec.fact.grain)
+            # one pass: grain check on the cleaned grain + count of rows the clean pass rewrites
+            flagged = staging.select(
+                *[(btrim_ws(F.col(g)) if g in columns else F.col(g)).alias(g) for g in spec.fact.grain],
+                changed_flag.alias("__changed"),
+            )
+            profile = checks.grain_and_flag_profile(flagged, spec.fact.grain, F.col("__changed"))
+            checks.raise_on_duplicates(profile, spec.fact.grain)
+            read, changed = profile["n_rows"], profile["flagged"]
             fact_src = marts.fact_rows(cleaned, spec.fact)
             fact_tgt = store.read(spec.fact.name, fact_src.schema)
             frames[spec.fact.name] = merge.upsert_replace(fact_tgt, fact_src, spec.fact.grain)
+        else:
+            read = None
+            changed = staging.filter(changed_flag).count()
         if spec.dim is not None:
             dim_src = marts.build_dim(cleaned, spec.dim)
             dim_tgt = store.read(spec.dim.name, dim_src.schema)
