@@ -218,8 +218,8 @@ def validate_extras_forbid(spark, sf_dir):
 def reject_reason_counts(spark, sf_dir):
     """Two validate runs (first half of raw, then the rest); reasons of the latest run."""
     raw = _raw(spark, sf_dir)
-    split = raw.agg((F.max("_id") / 2).alias("__split"))
-    first = raw.join(F.broadcast(split), F.col("_id") <= F.col("__split"), "left_semi")
+    split = raw.agg((F.max("_id") / 2).alias("__split")).scalar()  # scalar subquery
+    first = raw.filter(F.col("_id") <= split)
     out_a = ingest.validate_all(first, None, AUCTION)
     staging_a = out_a.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
     out_b = ingest.validate_all(ingest.pending(raw, staging_a, AUCTION), staging_a, AUCTION)
