@@ -92,25 +92,31 @@ def to_integer(k: Column, s: Column) -> Coerced:
     return Coerced(value, error, _none())
 
 
-def to_decimal(k: Column, s: Column, precision: int = 12, scale: int = 4) -> Coerced:
+def to_decimal(s: Column, precision: int = 12, scale: int = 4) -> Coerced:
     """Decimal from a number or numeric string; booleans, NaN, Infinity and '' fail.
 
-    The value is rounded to ``scale`` places (ties away from zero); more than
-    ``precision - scale`` integer digits is an insert error, not a contract error.
+    Needs no JSON kind: JSON null and absent give NULL text (missing); a
+    boolean, object or array spells no number. The value is rounded to
+    ``scale`` places (ties away from zero); more than ``precision - scale``
+    integer digits is an insert error, not a contract error.
     """
-    num = _number_text(k, s)
+    trimmed = btrim_ws(s)
+    num = F.when(trimmed.contains("_"), F.regexp_replace(trimmed, DIGIT_UNDERSCORE, "")).otherwise(trimmed)
     value = num.try_cast(f"decimal({precision},{scale})")
     is_number = _is_number(num, value)
-    error = F.when(_empty(k), F.lit(MISSING)).when(~is_number, F.lit(NOT_NUMBER))
+    error = F.when(s.isNull(), F.lit(MISSING)).when(~is_number, F.lit(NOT_NUMBER))
     insert_error = F.when(error.isNull() & value.isNull(), F.lit(OVERFLOW))
     return Coerced(value, error, insert_error)
 
 
-def to_timestamp_utc(k: Column, s: Column) -> Coerced:
-    """ISO-8601 string to an instant; a naive string means UTC, an offset is honoured."""
-    s = F.when(k == J.STRING, s)
+def to_timestamp_utc(s: Column) -> Coerced:
+    """ISO-8601 string to an instant; a naive string means UTC, an offset is honoured.
+
+    Needs no JSON kind: only a string can match the ISO pattern, and JSON
+    null and absent give NULL text (missing).
+    """
     value = F.when(s.rlike(TIMESTAMP_PATTERN), s.try_cast("timestamp"))
-    error = F.when(_empty(k), F.lit(MISSING)).when(value.isNull(), F.lit(NOT_TIMESTAMP))
+    error = F.when(s.isNull(), F.lit(MISSING)).when(value.isNull(), F.lit(NOT_TIMESTAMP))
     return Coerced(value, error, _none())
 
 

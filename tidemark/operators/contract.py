@@ -36,9 +36,9 @@ def _coerce(rule: FieldRule, k: Column, s: Column) -> C.Coerced:
     if rule.kind == INTEGER:
         return C.to_integer(k, s)
     if rule.kind == DECIMAL:
-        return C.to_decimal(k, s, rule.precision, rule.scale)
+        return C.to_decimal(s, rule.precision, rule.scale)
     if rule.kind == TIMESTAMP:
-        return C.to_timestamp_utc(k, s)
+        return C.to_timestamp_utc(s)
     if rule.kind == STRING:
         return C.to_clean_string(k, s, rule.required)
     raise ValueError(rule.kind)
@@ -75,9 +75,10 @@ def _compile(contract: Contract, payload_col: str, context_id: int) -> _Compiled
     rules = contract.fields
     n = len(rules)
     members = [_member(r).alias(f"__m{i}") for i, r in enumerate(rules)]
-    described = [J.kind(F.col(f"__m{i}")).alias(f"__k{i}") for i in range(n)] + [
-        J.text(F.col(f"__m{i}")).alias(f"__s{i}") for i in range(n)
-    ]
+    # The JSON kind is only needed by integer and string rules.
+    described = [
+        J.kind(F.col(f"__m{i}")).alias(f"__k{i}") for i, r in enumerate(rules) if r.kind in (INTEGER, STRING)
+    ] + [J.text(F.col(f"__m{i}")).alias(f"__s{i}") for i in range(n)]
     coerced = []
     for i, rule in enumerate(rules):
         c = _coerce(rule, F.col(f"__k{i}"), F.col(f"__s{i}"))

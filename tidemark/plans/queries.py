@@ -292,9 +292,8 @@ def local_wall_clock_query(spark, sf_dir):
 # -- P5 P6 ------------------------------------------------------------------------
 def decimal_fit(spark, sf_dir):
     li = _read(spark, sf_dir, "lineitem")
-    number = F.lit(J.NUMBER)
-    price = C.to_decimal(number, F.col("l_extendedprice").cast("string"), 12, 4)
-    milli = C.to_decimal(number, (F.col("l_extendedprice") * 1000).cast("string"), 12, 4)
+    price = C.to_decimal(F.col("l_extendedprice").cast("string"), 12, 4)
+    milli = C.to_decimal((F.col("l_extendedprice") * 1000).cast("string"), 12, 4)
     return comparable(
         li.select(
             "l_orderkey",
