@@ -145,16 +145,11 @@ def latest_run_id(runs: DataFrame, stage: str, source: str | None = None) -> Dat
 def reject_reason_counts(rejects: DataFrame, runs: DataFrame, stage: str = "validate") -> DataFrame:
     """Reject reasons of the latest validate run with their counts.
 
-    The run lookup is a one-row scalar subquery (size proven: one row), so the
-    rejects are filtered by a broadcast join and never shuffled before the
-    partial count.
+    The run lookup is a scalar subquery (one value), so the rejects are only
+    filtered, never joined or shuffled before the partial count.
     """
-    latest = latest_run_id(runs, stage)
-    return (
-        rejects.join(F.broadcast(latest), "run_id", "left_semi")
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("n_rejects"))
-    )
+    latest = latest_run_id(runs, stage).scalar()
+    return rejects.filter(F.col("run_id") == latest).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rejects"))
 
 
 def freshness(

@@ -216,13 +216,20 @@ def validate_extras_forbid(spark, sf_dir):
 
 # -- A5 O7 J7 K4 ------------------------------------------------------------------
 def reject_reason_counts(spark, sf_dir):
-    """Two validate runs (first half of raw, then the rest); reasons of the latest run."""
+    """Two validate runs (first half of raw, then the rest); reasons of the latest run.
+
+    The contract is row-local, so both runs share one validated frame; only the
+    staging decisions differ (run B decides against run A's staging).
+    """
     raw = _raw(spark, sf_dir)
+    validated = ingest.validate_frame(ingest.pending(raw, None, AUCTION), AUCTION)
     split = raw.agg((F.max("_id") / 2).alias("__split")).scalar()  # scalar subquery
-    first = raw.filter(F.col("_id") <= split)
-    out_a = ingest.validate_all(first, None, AUCTION)
+    out_a = ingest.staging_outcome(validated.filter(F.col("_id") <= split), None, AUCTION)
     staging_a = out_a.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
-    out_b = ingest.validate_all(ingest.pending(raw, staging_a, AUCTION), staging_a, AUCTION)
+    pending_b = validated.join(
+        staging_a.select(F.col("unit_result_id").alias("raw_key")), "raw_key", "left_anti"
+    )
+    out_b = ingest.staging_outcome(pending_b, staging_a, AUCTION)
     rejects = ingest.reject_rows(
         out_a.filter(F.col("outcome") == "reject"), VALIDATE_RUN_A[0], AUCTION.name, VALIDATE_RUN_A[1]
     ).unionByName(
