@@ -189,3 +189,14 @@ def test_field_hooks_and_mart_steps(spark, events, scratch):
     assert "auction_unit: too long" in reasons  # units "U-10" and up fail the hook check
     staged = store.read(stages.staging_table(spec)).select("auction_unit").distinct().collect()
     assert staged and all(len(r["auction_unit"]) <= 3 for r in staged)
+
+
+def test_compact_keeps_rows(spark, scratch):
+    store = Store(spark, f"{scratch}/tables")
+    for i in range(3):
+        store.append("t", spark.createDataFrame([(i, f"v{i}")], "k long, v string"))
+    before = sorted(tuple(r) for r in store.read("t").collect())
+    path = store.compact("t", 1)
+    assert path.endswith("v000001")
+    assert sorted(tuple(r) for r in store.read("t").collect()) == before
+    assert Store(spark, f"{scratch}/tables").current("t")[0] == 1  # a fresh reader sees the new version

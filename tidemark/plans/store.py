@@ -128,3 +128,16 @@ class Store:
             entries.append((table, version, path))
         self._register(entries)
         return {t: p for t, _, p in entries}
+
+    def compact(self, table: str, partitions: int | None = None) -> str | None:
+        """Rewrite an append-only table's many small files into a new version.
+
+        Appends (ledger events, per-run staging and reject batches) add files every
+        run; this folds them into ``partitions`` files (default: Spark's choice
+        after AQE coalescing) and publishes the result like any other version.
+        """
+        df = self.read(table)
+        if df is None:
+            return None
+        out = df.repartition(partitions) if partitions else df
+        return self.publish({table: out})[table]
