@@ -1,16 +1,17 @@
 """Type rules of the record contract, as Column expressions.
 
-Each rule takes the JSON kind ``k`` and scalar text ``s`` of one member (see
-``functions.json.kind`` / ``functions.json.text``; computing them once per
-member keeps the projection cheap) and returns ``(value, error, insert_error)``:
+Each rule takes the scalar text ``s`` of one member (``functions.json.text``)
+and, where the rule depends on it, its JSON kind ``k`` (``functions.json.kind``;
+integer and string rules only). Both are computed once per member, which keeps
+the projection cheap. A rule returns ``(value, error, insert_error)``:
 
 * ``value``        typed value, NULL when the rule fails or the field is empty;
 * ``error``        short code when the record breaks the contract, else NULL;
 * ``insert_error`` code for a value that passes the contract but does not fit
   the staging column (numeric overflow), else NULL.
 
-The JSON kind (string / number / boolean / null / absent) is decided before
-any cast because the rules differ by kind.
+Integer and string rules decide the JSON kind (string / number / boolean /
+null / absent) before any cast, because they treat kinds differently.
 """
 
 from __future__ import annotations
