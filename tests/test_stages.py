@@ -200,3 +200,62 @@ def test_compact_keeps_rows(spark, scratch):
     assert path.endswith("v000001")
     assert sorted(tuple(r) for r in store.read("t").collect()) == before
     assert Store(spark, f"{scratch}/tables").current("t")[0] == 1  # a fresh reader sees the new version
+
+
+def _rec(**kw):
+    base = {
+        "_id": 1, "unitResultID": "k", "registeredAuctionParticipant": "P", "auctionUnit": "U",
+        "serviceType": "S", "auctionProduct": "X", "executedQuantity": "1", "clearingPrice": "2",
+        "deliveryStart": "2026-04-01T07:30:00", "deliveryEnd": "2026-04-01T08:00:00",
+    }
+    base.update(kw)
+    return json.dumps(base)
+
+
+def _lines(spark, *payloads):
+    return spark.createDataFrame([(p,) for p in payloads], "payload string")
+
+
+def test_duplicate_cursor_is_rejected_with_insert_prefix(spark, scratch):
+    store = Store(spark, f"{scratch}/tables")
+    spec = auction_spec(reject_policy="quarantine")
+    stages.load_raw(
+        store, spec,
+        _lines(spark, _rec(_id=5, unitResultID="a", deliveryStart="2026-04-01T01:00:00"),
+               _rec(_id=5, unitResultID="b", deliveryStart="2026-04-01T02:00:00")),
+    )
+    out = stages.validate(store, spec)
+    assert (out.rows_written, out.rows_rejected) == (1, 1)
+    (rej,) = stages.rejects(store).collect()
+    assert rej["reason"] == "staging insert failed: _id: duplicate cursor" and '"b"' in rej["raw_payload"]
+    # a later batch reusing a staged cursor is rejected too
+    stages.load_raw(store, spec, _lines(spark, _rec(_id=5, unitResultID="c", deliveryStart="2026-04-01T03:00:00")))
+    out = stages.validate(store, spec)
+    assert out.rows_written == 0 and out.rows_rejected == 2  # 'b' re-read, 'c' new
+
+
+def test_cleaned_key_collision_keeps_first_and_rereads_the_other(spark, scratch):
+    # Q4: anti-join on the raw key, dedup on the cleaned key.
+    store = Store(spark, f"{scratch}/tables")
+    spec = auction_spec(reject_policy="quarantine")
+    stages.load_raw(
+        store, spec,
+        _lines(spark, _rec(_id=1, unitResultID="X"), _rec(_id=2, unitResultID="X\t", deliveryStart="2026-04-01T09:00:00")),
+    )
+    first = stages.validate(store, spec)
+    assert (first.rows_read, first.rows_written, first.rows_rejected, first.rows_duplicate) == (2, 1, 0, 1)
+    (row,) = store.read(stages.staging_table(spec)).collect()
+    assert row["unit_result_id"] == "X" and row["_id"] == 1
+    again = stages.validate(store, spec)  # the 'X\t' raw row is pending again and again ignored
+    assert (again.rows_read, again.rows_written, again.rows_duplicate) == (1, 0, 1)
+
+
+def test_fractional_cursor_loads_truncated_but_fails_the_contract(spark, scratch):
+    # Q22: the load truncates 3.7 to 3; the contract rejects a fractional _id.
+    store = Store(spark, f"{scratch}/tables")
+    spec = auction_spec(reject_policy="quarantine")
+    stages.load_raw(store, spec, _lines(spark, _rec(_id=3.7, unitResultID="f")))
+    assert store.read(stages.raw_table(spec)).first()["_id"] == 3
+    out = stages.validate(store, spec)
+    assert out.rows_rejected == 1
+    assert stages.rejects(store).first()["reason"] == "id_: not an integer"
