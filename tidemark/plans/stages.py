@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import checks, contract, ingest, ledger, marts, merge
 from tidemark.functions.text import btrim_ws
@@ -31,6 +32,7 @@ log = logging.getLogger("tidemark")
 
 RUN_EVENTS = "ops_run_events"
 REJECTS = "ops_rejected_records"
+RAW_PARTITION = "extract_run_id"  # raw is laid out by load run
 
 # A source: given the watermark (None on a cold start), the records past it as
 # ``payload`` (JSON text) and ``cursor`` (the cursor where it counts toward the
@@ -63,6 +65,23 @@ def raw_table(spec: SourceSpec) -> str:
     return f"raw_{spec.name}"
 
 
+def carry_table(spec: SourceSpec) -> str:
+    """Raw (key, cursor) pairs an incremental validate left pending (rejects, duplicates)."""
+    return f"ops_validate_carry_{spec.name}"
+
+
+def validated_loads_table(spec: SourceSpec) -> str:
+    """Load runs whose raw partitions an incremental validate has read."""
+    return f"ops_validated_loads_{spec.name}"
+
+
+def read_raw(store: Store, spec: SourceSpec) -> DataFrame | None:
+    """raw with its declared schema (the load-run partition column stays a string)."""
+    if not store.exists(raw_table(spec)):
+        return None
+    return store.read(raw_table(spec), ingest.raw_schema(spec))
+
+
 def staging_table(spec: SourceSpec) -> str:
     return f"staging_{spec.name}"
 
@@ -138,7 +157,7 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 def current_watermark(store: Store, spec: SourceSpec) -> int | None:
     """``MAX(cursor)`` of raw; None when raw is missing or empty (cold start)."""
-    raw = store.read(raw_table(spec))
+    raw = read_raw(store, spec)
     if raw is None:
         return None
     return table.watermark(raw, spec.cursor).first()["watermark"]
@@ -221,10 +240,12 @@ def load_raw(
             spark, merge.first_wins(batch, [spec.business_key], [spec.cursor, "payload"]), "load"
         )
         stats = obs.get
-        raw = store.read(raw_table(spec))
+        raw = read_raw(store, spec)
         inserts = ingest.raw_inserts(deduped, raw, spec, batch_rows=stats["read"], deduplicated=True)
         wobs = Observation(f"load_w_{run.run_id}")
-        store.append(raw_table(spec), inserts.observe(wobs, F.count(F.lit(1)).alias("written")))
+        store.append(
+            raw_table(spec), inserts.observe(wobs, F.count(F.lit(1)).alias("written")), partition_by=[RAW_PARTITION]
+        )
         result = StageResult(
             run.run_id, "load_raw", rows_read=stats["read"], rows_written=wobs.get["written"],
             rows_skipped=stats["skipped"],
@@ -237,25 +258,83 @@ def load_raw(
 
 
 # -- D3 ---------------------------------------------------------------------------
-def validate(store: Store, spec: SourceSpec, run_id: str | None = None, as_of: dt.datetime | None = None) -> StageResult:
+def _load_runs_in_raw(store: Store, spec: SourceSpec) -> list[str]:
+    """Load run ids present in raw, from its partition directories (file listing only:
+    the ``binaryFile`` source reads no file bodies when ``content`` is not selected)."""
+    path = store.current(raw_table(spec))[1]
+    files = store.spark.read.format("binaryFile").load(path).select(F.col(RAW_PARTITION).cast("string"))
+    return sorted(r[0] for r in files.distinct().collect())
+
+
+def _incremental_pending(store: Store, spec: SourceSpec, raw: DataFrame, staging: DataFrame):
+    """Candidates (new load partitions + carried-over keys) and their pending subset.
+
+    Exact: a raw row from an already-validated load can only be pending if it
+    was left pending by the previous run (staging only grows), and those rows
+    are exactly the carry-over. Returns (candidates, pending, loads_seen).
+    """
+    key, cur = spec.business_key, spec.cursor
+    loads = _load_runs_in_raw(store, spec)
+    done = store.read(validated_loads_table(spec))
+    done_ids = set() if done is None else {r[0] for r in done.select("load_run_id").distinct().collect()}
+    new_loads = [x for x in loads if x not in done_ids]
+    fresh = raw.filter(F.col(RAW_PARTITION).isin(new_loads)) if new_loads else raw.limit(0)
+    carry = store.read(carry_table(spec))
+    if carry is not None:
+        n_carry = carry.count()
+        carried_keys = F.broadcast(carry) if n_carry <= merge.BROADCAST_KEY_ROWS else carry
+        candidates = fresh.unionByName(raw.join(carried_keys, [key, cur], "left_semi"))
+    else:
+        candidates = fresh
+    candidates = materialize(store.spark, candidates, "candidates")
+    n_candidates = candidates.count()
+    cand_keys = candidates.select(key)
+    if n_candidates <= merge.BROADCAST_KEY_ROWS:
+        cand_keys = F.broadcast(cand_keys)
+    staged = staging.select(F.col(key).cast("string").alias(key)).join(cand_keys, key, "left_semi")
+    pending = table.spread(candidates.join(staged, key, "left_anti"), key)
+    return candidates, pending, new_loads
+
+
+def validate(
+    store: Store,
+    spec: SourceSpec,
+    run_id: str | None = None,
+    as_of: dt.datetime | None = None,
+    incremental: bool = False,
+) -> StageResult:
     """Raw rows not yet in staging -> typed staging rows + rejects with reasons.
 
     Rejected rows stay out of staging, so later runs read and record them again.
+    ``incremental`` gives the same result without reading all of raw: only raw
+    partitions of load runs not validated before, plus the raw keys the last
+    incremental run left pending (kept in a small carry-over table). The first
+    incremental run (no state yet) reads everything once.
     """
     spark = store.spark
     _prepare(spark)
     run = _Run(store, spec, "validate", run_id)
     at = as_of or _now()
     try:
-        raw = store.read(raw_table(spec))
+        raw = read_raw(store, spec)
         if raw is None:
             raise RuntimeError(f"raw table for {spec.name} does not exist; load first")
         staging = store.read(staging_table(spec))
-        n_pending = None
-        if staging is not None:
-            staged_keys = staging.select(F.col(spec.business_key).cast("string").alias(spec.business_key))
-            n_pending = raw.select(spec.business_key).join(staged_keys, spec.business_key, "left_anti").count()
-        todo = ingest.pending(raw, staging, spec, n_pending)
+        candidates = new_loads = None
+        if incremental and staging is not None and store.exists(validated_loads_table(spec)):
+            candidates, todo, new_loads = _incremental_pending(store, spec, raw, staging)
+            n_pending = None
+        else:
+            n_pending = None
+            if staging is not None:
+                staged_keys = staging.select(F.col(spec.business_key).cast("string").alias(spec.business_key))
+                n_pending = raw.select(spec.business_key).join(staged_keys, spec.business_key, "left_anti").count()
+            todo = ingest.pending(raw, staging, spec, n_pending)
+            if incremental:
+                candidates, new_loads = raw, _load_runs_in_raw(store, spec)
+        # rows read: the pending count (a key-only anti-join, or a count over the
+        # materialised candidates in incremental mode; raw's row count on a first run)
+        read = n_pending if n_pending is not None else (todo.count() if candidates is not None else raw.count())
         obs = Observation(f"validate_{run.run_id}")
         decided = ingest.validate_all(todo, staging, spec).observe(
             obs,
@@ -264,7 +343,6 @@ def validate(store: Store, spec: SourceSpec, run_id: str | None = None, as_of: d
         )
         outcomes = materialize(spark, decided, "validate")
         counts = obs.get
-        read = n_pending if n_pending is not None else raw.count()
         store.append(
             staging_table(spec),
             outcomes.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(spec)),
@@ -272,6 +350,19 @@ def validate(store: Store, spec: SourceSpec, run_id: str | None = None, as_of: d
         rejects = outcomes.filter(F.col("outcome") == "reject")
         if counts.get("reject", 0):
             store.append(REJECTS, ingest.reject_rows(rejects, run.run_id, spec.name, at))
+        if incremental:
+            # next run's carry-over: candidates whose raw key is still not in staging
+            after = store.read(staging_table(spec))
+            staged = after.select(F.col(spec.business_key).cast("string").alias(spec.business_key))
+            carry = candidates.select(spec.business_key, spec.cursor).join(staged, spec.business_key, "left_anti")
+            store.publish({carry_table(spec): carry})
+            if new_loads:
+                store.append(
+                    validated_loads_table(spec),
+                    spark.createDataFrame([(x,) for x in new_loads], "load_run_id string"),
+                )
+            elif not store.exists(validated_loads_table(spec)):
+                store.create(validated_loads_table(spec), T.StructType([T.StructField("load_run_id", T.StringType())]))
         # O8: unknown payload keys seen by this run, logged once per run (a bounded report).
         drift = contract.drift_report(outcomes.select(F.col("raw_payload").alias("payload")), spec.contract)
         extras = [r["extra_key"] for r in drift.limit(DRIFT_LOG_KEYS).collect()]

@@ -99,15 +99,20 @@ class Store:
         return reader.parquet(cur[1])
 
     # -- writes -------------------------------------------------------------------
-    def append(self, table: str, df: DataFrame) -> None:
-        """Append rows to the current version (creating version 0 on first use)."""
+    def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        """Append rows to the current version (creating version 0 on first use).
+
+        ``partition_by`` lays rows out in ``col=value`` directories, so readers
+        filtering on those columns only list and read matching directories.
+        """
         cur = self.current(table)
+        path = self.version_path(table, 0) if cur is None else cur[1]
+        writer = df.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
         if cur is None:
-            path = self.version_path(table, 0)
-            df.write.mode("append").parquet(path)
             self._register([(table, 0, path)])
-        else:
-            df.write.mode("append").parquet(cur[1])
 
     def create(self, table: str, schema: T.StructType) -> None:
         """Idempotent creation of an empty table (no-op when it exists)."""
