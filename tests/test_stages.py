@@ -136,6 +136,16 @@ def test_landing_stream_catches_up_and_replays_harmlessly(spark, events, scratch
     q.awaitTermination(300)
     staged = store.read(stages.staging_table(spec)).count()
     assert staged > 0
+    # a new landing batch is picked up by the next catch-up run (incremental validate)
+    stages.extract(store, spec, auction_source(events.filter("event_id < 400")), landing_root)
+    q = start_landing_stream(store, spec, f"{landing_root}/landing/{spec.name}", f"{scratch}/stream-ckpt")
+    q.awaitTermination(300)
+    grown = store.read(stages.staging_table(spec)).count()
+    full = Store(spark, f"{scratch}/full")
+    stages.load_raw(full, spec, auction_feed(events.filter("event_id < 400")).select("payload"))
+    stages.validate(full, spec)
+    assert grown == full.read(stages.staging_table(spec)).count()
+    staged = grown
     # a second catch-up run with no new files changes nothing
     q = start_landing_stream(store, spec, f"{landing_root}/landing/{spec.name}", f"{scratch}/stream-ckpt")
     q.awaitTermination(300)

@@ -18,14 +18,18 @@ from tidemark.plans.store import Store
 from tidemark.spec import SourceSpec
 
 
-def micro_batch(store: Store, spec: SourceSpec, validate: bool = True):
-    """The ``foreachBatch`` function: load the batch's lines, then validate."""
+def micro_batch(store: Store, spec: SourceSpec, validate: bool = True, incremental: bool = True):
+    """The ``foreachBatch`` function: load the batch's lines, then validate.
+
+    Each micro-batch is one load run, so the incremental validate only reads
+    that run's raw partition plus the carried-over pending keys.
+    """
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         lines = batch.filter(F.col("value") != "").select(F.col("value").alias("payload"))
         stages.load_raw(store, spec, lines, run_id=None)
         if validate:
-            stages.validate(store, spec)
+            stages.validate(store, spec, incremental=incremental)
 
     return process
 
@@ -39,6 +43,7 @@ def start_landing_stream(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
     validate: bool = True,
+    incremental: bool = True,
 ) -> StreamingQuery:
     """Start the stream over ``landing_dir`` (recursively, so every run directory counts).
 
@@ -52,7 +57,7 @@ def start_landing_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(landing_dir)
     writer = (
-        lines.writeStream.foreachBatch(micro_batch(store, spec, validate))
+        lines.writeStream.foreachBatch(micro_batch(store, spec, validate, incremental))
         .option("checkpointLocation", checkpoint_location or f"{store.root}/_streams/{spec.name}")
     )
     if available_now:
