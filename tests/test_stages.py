@@ -293,3 +293,41 @@ def test_incremental_validate_equals_full(spark, events, scratch):
     assert stages.rejects(full).count() == stages.rejects(inc).count()
     carry = inc.read(stages.carry_table(spec)).count()
     assert carry == reads[-1] - stages.runs(inc).filter("stage = 'validate'").orderBy(F.col("started_at").desc()).first()["rows_written"]
+
+
+def test_quirks_q8_q10_q17(spark, scratch):
+    store = Store(spark, f"{scratch}/tables")
+    spec = auction_spec(reject_policy="quarantine")
+    load = stages.load_raw(
+        store, spec,
+        _lines(spark,
+               _rec(_id=1, unitResultID="a", technologyType="a", clearingPrice="-13.22"),
+               _rec(_id=2, unitResultID="b", technologyType="B", deliveryStart="2026-04-01T09:00:00")),
+    )
+    # Q8: raw.extract_run_id holds the load run's id
+    assert {r["extract_run_id"] for r in stages.read_raw(store, spec).collect()} == {load.run_id}
+    stages.validate(store, spec)
+    stages.transform(store, spec)
+    # Q17: a negative price is real data, no sign rule
+    prices = [r["clearing_price_gbp_per_mw_h"] for r in store.read("fact_auction_result").collect()]
+    assert min(prices) < 0
+    # Q10: max over text is binary order ('a' > 'B')
+    (dim,) = store.read("dim_unit").collect()
+    assert dim["technology_type"] == "a"
+
+
+def test_failed_extract_keeps_zero_counters(spark, scratch):
+    # Q20: on extract failure counters stay 0 and the watermark after stays NULL
+    store = Store(spark, f"{scratch}/tables")
+    spec = auction_spec()
+
+    def broken(watermark):
+        return spark.createDataFrame([("{}", 1)], "payload string, cursor long").select(
+            F.raise_error(F.lit("source down")).cast("string").alias("payload"), "cursor"
+        )
+
+    with pytest.raises(Exception, match="source down"):
+        stages.extract(store, spec, broken, f"{scratch}/landing")
+    (run,) = stages.runs(store).collect()
+    assert run["status"] == "failed" and run["rows_read"] == 0 and run["watermark_after"] is None
+    assert "source down" in run["error"]
