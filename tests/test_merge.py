@@ -60,3 +60,14 @@ def test_anti_join_reads_only_keys(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     right = spark.createDataFrame([(2, "zzz")], "k long, w string")
     assert [tuple(r) for r in merge.anti_join(left, right, ["k"]).collect()] == [(1, "a")]
+
+
+def test_small_batch_is_broadcast_into_the_target_scan(spark, scratch):
+    target_path = f"{scratch}/target"
+    spark.range(0, 5000).selectExpr("cast(id as string) as k", "id as cur", "'p' as payload").write.parquet(target_path)
+    target = spark.read.parquet(target_path)
+    batch = spark.createDataFrame([("1", 9, "x"), ("new", 1, "y")], "k string, cur long, payload string")
+    plan = merge.insert_only(batch, target, ["k"], ["cur", "payload"], batch_rows=2)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and "LeftSemi" in plan
+    got = [tuple(r) for r in merge.insert_only(batch, target, ["k"], ["cur", "payload"], batch_rows=2).collect()]
+    assert got == [("new", 1, "y")]
