@@ -331,3 +331,13 @@ def test_failed_extract_keeps_zero_counters(spark, scratch):
     (run,) = stages.runs(store).collect()
     assert run["status"] == "failed" and run["rows_read"] == 0 and run["watermark_after"] is None
     assert "source down" in run["error"]
+
+
+def test_run_stages_incremental_twice(spark, events, scratch):
+    store = Store(spark, f"{scratch}/tables")
+    spec = auction_spec(reject_policy="quarantine")
+    first = stages.run_stages(store, spec, auction_source(events), f"{scratch}/landing", incremental=True)
+    second = stages.run_stages(store, spec, auction_source(events), f"{scratch}/landing", incremental=True)
+    assert second["validate"].rows_read == first["validate"].rows_rejected  # only carried-over rejects
+    assert second["validate"].rows_written == 0
+    assert store.read("fact_auction_result").count() == first["validate"].rows_written
