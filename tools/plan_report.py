@@ -28,7 +28,10 @@ def summarise(plan: str) -> dict:
     reused = sum(1 for ln in lines if "ReusedExchange" in ln)
     joins = Counter(j for ln in lines for j in JOINS if f"{j} " in ln or ln.strip().endswith(j))
     aggs = Counter(a for ln in lines for a in AGGS if re.search(rf"\b{a}\(", ln))
-    widths = sorted({len(m.split(",")) for m in re.findall(r"ReadSchema: struct<([^>\n]*)>", plan)})
+    # long schemas are cut with "..." by Spark; count the fields shown, marked "+"
+    widths = sorted(
+        {f"{len(m.split(','))}{'+' if cut == '...' else ''}" for m, cut in re.findall(r"ReadSchema: struct<([^>\n]*?)(>|\.\.\.)", plan)}
+    )
     pushed = sorted({m for m in re.findall(r"PushedFilters: \[([^\]\n]*)\]", plan) if m})
     return {"exchanges": exchanges, "reused": reused, "joins": dict(joins), "aggs": dict(aggs), "widths": widths,
             "pushed": pushed, "ops": ops}
@@ -39,7 +42,8 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Physical plans of the registered queries ({Path(sf_dir).name}, before AQE re-planning)\n")
-    print("Generated by `python tools/plan_report.py`. Shuffles = Exchange nodes (reused exchanges in brackets).\n")
+    print("Generated by `python tools/plan_report.py`. Shuffles = Exchange nodes (reused exchanges in brackets);")
+    print("scan columns = fields in each ReadSchema ('+': Spark cut the list short).\n")
     print("| query | shuffles | joins | aggregates | scan columns | pushed filters |")
     print("|---|---|---|---|---|---|")
     for name, fn in E.queries().items():
