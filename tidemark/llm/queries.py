@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontam import decontaminate
+from tidemark.llm.sharding import shuffle_into_shards
+from tidemark.llm.spotsigs import compare_neighbours
 from tidemark.llm.substring_dedup import dedup_substrings
+from tidemark.llm.token_records import write_records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +24,37 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = shuffle_into_shards(docs, shards=24)
+    return out.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    sha = F.sha2(F.concat_ws(",", "items"), 256)
+    return out.select("doc_id", "n_words", "n_hit", "n_items", sha.alias("items_sha256"), "contaminated")
+
+
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    records = write_records(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return records.read().select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op5_sharding": op5_sharding,
+    "op6_decontamination": op6_decontamination,
+    "op7_token_records": op7_token_records,
+    "op10_spotsigs": op10_spotsigs,
 }
