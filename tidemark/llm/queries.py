@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontam import decontaminate
+from tidemark.llm.lm import score_texts
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.spotsigs import compare_neighbours
 from tidemark.llm.substring_dedup import dedup_substrings
@@ -24,6 +25,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    out = score_texts(docs.withColumn("held_out", held_out), train="NOT held_out")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = shuffle_into_shards(docs, shards=24)
@@ -53,6 +61,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_sharding": op5_sharding,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
