@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontam import decontaminate
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.lm import score_texts
+from tidemark.llm.mixing import mix_sources
+from tidemark.llm.quality import classify
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.spotsigs import compare_neighbours
 from tidemark.llm.substring_dedup import dedup_substrings
@@ -25,6 +28,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "source", "lang", "n_words", "p_junk", "p_toxic", "keep")
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
@@ -55,15 +63,28 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read().select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_sources(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "lang", "topic", "tokens", "probability", "weight")
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_sharding": op5_sharding,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_mixing": op9_mixing,
     "op10_spotsigs": op10_spotsigs,
 }
