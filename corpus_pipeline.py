@@ -1,6 +1,7 @@
 """The corpus pipeline: stages applied one after another to ``documents``.
 
 Each stage gets what its predecessor kept, written as Parquet and read again.
+All stages but the last return the columns of their input.
 """
 
 from __future__ import annotations
@@ -10,12 +11,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import shared_dir
+from tidemark.llm.decontam import decontaminate
+from tidemark.llm.jaccard import keep_one
+from tidemark.llm.mixing import mix_sources
+from tidemark.llm.quality import classify
+from tidemark.llm.sharding import shuffle_into_shards
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-#: The classifier, the components and the checksummed permutations are beyond SQL; tests/llm holds the run against plain Python.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier finds neither junk nor toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify(docs, labels).filter("keep").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate(docs, benchmark).filter("NOT contaminated").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and topics approach their target weights."""
+    return mix_sources(docs).select(*docs.columns)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, shuffled into shards: their columns with size, shard, bucket, slot and grown_shard."""
+    return shuffle_into_shards(docs, shards=24)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("mixing_sources", mixing),
+    ("sharding", sharding),
+]
+
+#: A fitted classifier, components and seeded permutations are beyond SQL; tests/llm holds the run against plain Python.
 ORACLE_SQL: str | None = None
 
 

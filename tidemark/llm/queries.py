@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontam import decontaminate
+from tidemark.llm.jaccard import cluster_documents
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.lm import score_texts
 from tidemark.llm.mixing import mix_sources
@@ -40,6 +41,10 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = shuffle_into_shards(docs, shards=24)
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_sharding": op5_sharding,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
