@@ -77,12 +77,14 @@ def test_logistic_fit_recovers_odds():
     assert not fit_logistic(x, np.zeros(4000)).any()
 
 
-def test_op2_on_the_small_tables(spark):
-    got = {r["doc_id"]: r for r in Q.op2_quality_classifier(spark, SF).collect()}
-    labels = Q.table(spark, SF, "labels").collect()
-    assert len(got) == Q.table(spark, SF, "documents").count()
-    wrong = sum(got[r["doc_id"]]["keep"] != (r["quality"] == 1 and r["toxic"] == 0) for r in labels)
-    assert wrong <= 0.15 * len(labels)
+def test_op2_accuracy(spark):
+    sf = SF.replace("0.001", "0.01")
+    got = {r["doc_id"]: r for r in Q.op2_quality_classifier(spark, sf).collect()}
+    labels = Q.table(spark, sf, "labels").collect()
+    assert len(got) == Q.table(spark, sf, "documents").count()
+    good = [r["quality"] == 1 and r["toxic"] == 0 for r in labels]
+    wrong = [got[r["doc_id"]]["keep"] != g for r, g in zip(labels, good, strict=True)]
+    assert sum(wrong) <= 0.04 * len(labels) and not any(w for w, g in zip(wrong, good, strict=True) if g)
 
 
 # ------------------------------------------------------------------ sharding
@@ -261,6 +263,8 @@ def brute_lines(texts, depth=2, min_docs=5, min_constant=0.6, min_tokens=3):
     votes, voters = Counter(), defaultdict(set)
     for d, _, w in lines:
         for k, y in enumerate(w):
+            if y == b"<*>":
+                continue
             votes[(leaf(w), k, y)] += 1
             voters[(leaf(w), k, y)].add(d)
     ok = {v for v, c in votes.items() if c >= min_docs and len(voters[v]) > 1}
@@ -319,7 +323,7 @@ def test_rake_meets_all_marginals():
 
 def test_mixing_draws_by_calibrated_probability(spark):
     texts = [prose(i, 20) + (" | x" if i % 5 == 0 else "") for i in range(3000)]
-    df = frame(spark, texts).withColumn("source", F.when(F.col("doc_id") % 3 < 2, "big").otherwise(F.concat(F.lit("s"), F.col("doc_id") % 2))).withColumn("tokens", F.lit("old"))
+    df = frame(spark, texts).withColumn("source", F.when(F.col("doc_id") % 7 < 5, "big").otherwise(F.concat(F.lit("s"), F.col("doc_id") % 2))).withColumn("tokens", F.lit("old"))
     targets = {"source": {"big": 0.3, "s0": 0.4, "s1": 0.3}, "lang": 1.0, "topic": 1.0}
     rows = mix_sources(df, targets, keep_share=0.4).collect()
     assert 0.35 * len(texts) < len(rows) < 0.45 * len(texts)
@@ -363,7 +367,8 @@ def test_pipeline_stages_against_plain_python(spark, scratch):
     ids = [[r["doc_id"] for r in rows] for rows in seen]
     assert all(set(b) <= set(a) and len(b) == len(set(b)) for a, b in zip(ids, ids[1:], strict=False))
     bad = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 0 OR toxic = 1").collect()}
-    assert len(bad & set(ids[1])) <= 0.2 * len(bad)
+    good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1 AND toxic = 0").collect()}
+    assert good <= set(ids[1]) and len(bad & set(ids[1])) <= 0.6 * len(bad)  # these tables label 20 bad documents; op2 has the accuracy on more
     first = sorted(seen[1], key=lambda r: r["doc_id"])
     want = {r["doc_id"] for i, (r, (n, c)) in enumerate(zip(first, brute_components([r["text"] for r in first]), strict=True)) if not n or c == i}
     assert set(ids[2]) == want

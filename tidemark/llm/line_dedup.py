@@ -3,7 +3,7 @@
 Lines are parsed by a tree of fixed depth: the number of tokens, then the
 leading tokens, where a token with a digit is a variable. In a leaf, a token
 that fewer than ``min_docs`` lines, or lines of one document only, have at its
-position is a variable too; a line's template is what remains. A template that is constant enough and occurs in ``min_docs``
+position is a variable too; a line's template is its constant tokens. A template that is constant enough and occurs in ``min_docs``
 documents is boilerplate, and its lines are dropped.
 
 1. Leaves are counted by documents; leaves below ``min_docs`` cannot recur.
@@ -102,6 +102,7 @@ def dedup_lines(
     lines = docs.mapInArrow(partial(emit, tokens=True), f"_id {kind}, _th int, leaf long, line int, tokens array<int>")
     lines = materialize(lines.join(leaves, "leaf", "left_semi"), "lines")
     each = lines.select("leaf", "_id", "_th", "line", F.posexplode("tokens").alias("pos", "token"))
+    each = each.filter(F.col("token") != int((np.array([VARIABLE]) >> U64(32)).astype(np.uint32).view(np.int32)[0]))
     votes = each.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th")).alias("a"), F.max(F.struct("_id", "_th")).alias("b"))
     votes = votes.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf", "pos", "token")
     fixed = each.join(votes, ["leaf", "pos", "token"]).groupBy("leaf", "_id", "_th", "line").agg(

@@ -41,7 +41,9 @@ from tidemark.llm.common import LOWER, U64, byte_table, chunks, id_key, mix, oth
 
 SAMPLE = 10_000
 MAX_FEATURES = 20_000
-MIN_Z = 5.0
+MIN_Z = 4.0
+MIN_HELD = 10  # documents of each class that the held-out part needs
+NEVER = -20.0  # log odds of a head that knows nothing
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
 BREAKS = byte_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 HEADS = ("junk", "toxic")
@@ -178,6 +180,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """Fit both heads on at most ``sample`` labelled documents: three quarters for weights, one for the logistic fits."""
     bad = _bad(labels)
     docs = df.select(id_key(df, id_col).alias("_id"), F.col(text_col).alias("_text"))
+    # Labels of both classes may be fewer than the held-out part needs; then the fits use the whole sample.
     chosen = F.broadcast(bad.orderBy(F.xxhash64("_id"), "_id").limit(sample))
     rows = docs.join(chosen, "_id").select(F.col("_id").alias("_row"), *HEADS, "_text", (F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(4)) == 0).alias("hold"))
     counts = ["df", "tf", *[f"{k}_{h}" for h in HEADS for k in ("df", "tf")]]
@@ -207,12 +210,20 @@ def fit_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     order = np.argsort(known)
     known = known[order]
     weights = np.array(list(found.values()), dtype=np.float64).reshape(-1, len(HEADS)).T[:, order]
-    held = rows.filter("hold").select(F.struct("_row", *HEADS).alias("_row"), "_text")
-    kind = held.schema["_row"].dataType.simpleString()
-    seen = held.mapInArrow(partial(_evidence, known=known, weights=weights, fits=None), f"_row {kind}, _n long, _x array<double>").collect()  # at most ``sample``
+    told = rows.select(F.struct("_row", *HEADS, "hold").alias("_row"), "_text")
+    kind = told.schema["_row"].dataType.simpleString()
+    seen = told.mapInArrow(partial(_evidence, known=known, weights=weights, fits=None), f"_row {kind}, _n long, _x array<double>").collect()  # at most ``sample``
     x = np.array([r["_x"] for r in seen]).reshape(len(seen), len(HEADS), 2)
     y = np.array([[r["_row"][h] for h in HEADS] for r in seen], dtype=float).reshape(-1, len(HEADS))
-    fits = np.array([fit_logistic(x[:, k], y[:, k]) for k in range(len(HEADS))])
+    hold = np.array([r["_row"]["hold"] for r in seen], dtype=bool)
+    fits = []
+    for k in range(len(HEADS)):
+        bad_held = int(y[hold, k].sum())
+        part = hold if min(bad_held, int(hold.sum()) - bad_held) >= MIN_HELD else np.ones(len(y), dtype=bool)
+        fits.append(fit_logistic(x[part, k], y[part, k]))
+        if len(y) == 0 or y[:, k].min() == y[:, k].max():
+            fits[-1][0] = NEVER
+    fits = np.array(fits)
     rates = np.array([((size[h] or 0) + 0.5) / (size["n"] + 1) for h in HEADS])
     return QualityModel(known, weights, fits, rates)
 
@@ -224,11 +235,12 @@ def shrunken_rates(sites: DataFrame, by: list[str], prior: str, out: str) -> Dat
     row of sums reaches the driver.
     """
     p = F.col(prior)
-    noise = F.sum(p * (1 - p))  # what sampling alone adds to the squared deviations, weighted by n
+    w = F.col("n") / (F.col("n") + F.lit(20.0))  # a site counts by how well its rate is known; no large one outweighs the rest
     s = sites.agg(
-        F.sum(F.col("n") * (F.col("bad") / F.col("n") - p) ** 2).alias("q"), noise.alias("e"),
-        F.sum(F.col("n") * p * (1 - p)).alias("v"),
-    ).first()
+        F.sum(w * (F.col("bad") / F.col("n") - p) ** 2).alias("q"),
+        F.sum(w * p * (1 - p) / F.col("n")).alias("e"),  # what sampling alone adds
+        F.sum(w * p * (1 - p)).alias("v"),
+    ).first()
     between = max((s["q"] or 0.0) - (s["e"] or 0.0), 0.0) / max(s["v"] or 0.0, 1e-12)  # share of p(1-p) that sites differ by
     strength = min(max((1 - between) / between if between > 1e-6 else 1e6, 1.0), 1e6)
     return sites.select(*by, ((F.col("bad") + F.lit(strength) * p) / (F.col("n") + F.lit(strength))).alias(out))
