@@ -72,3 +72,22 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         sc.setCheckpointDir(target)
         return sc.getCheckpointDir()
     return None
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of its own file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop))
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, modification time in ms) of the entries directly below a folder; empty if it does not exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [(e.getPath().toString(), e.getModificationTime()) for e in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own, such as a hand-over table that has been consumed."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
