@@ -3,7 +3,7 @@
 Layout under ``root``::
 
     _tables/                 pointer log (table, version, path, published_at)
-    <table>/v000000/         one directory per version
+    <table>/v000000-<id>/    one directory per version
 
 Append-only tables (raw, rejects, run events, staging between transforms)
 append into their current version. Replacing tables are written to a fresh
@@ -15,11 +15,13 @@ written but not registered is ignored. Single writer per table root.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from tidemark.session import path_exists
 
 POINTER_SCHEMA = T.StructType(
     [
@@ -31,11 +33,6 @@ POINTER_SCHEMA = T.StructType(
 )
 
 
-def _missing(exc: Exception) -> bool:
-    text = str(exc)
-    return "PATH_NOT_FOUND" in text or "does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text
-
-
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -44,12 +41,8 @@ class Store:
 
     # -- pointers -----------------------------------------------------------------
     def _pointers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(POINTER_SCHEMA).parquet(f"{self.root}/_tables")
-        except AnalysisException as exc:
-            if _missing(exc):
-                return None
-            raise
+        path = f"{self.root}/_tables"
+        return self.spark.read.schema(POINTER_SCHEMA).parquet(path) if path_exists(self.spark, path) else None
 
     def _load_published(self) -> dict[str, tuple[int, str]]:
         """Latest (version, path) per table: aggregated in Spark, one row per table."""
@@ -81,17 +74,18 @@ class Store:
                 self._published[t] = (v, p)
 
     def version_path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:06d}"
+        """A folder of its own for every attempt: what a crashed write left behind is never part of a table."""
+        return f"{self.root}/{table}/v{version:06d}-{uuid.uuid4().hex[:12]}"
 
     # -- reads --------------------------------------------------------------------
     def exists(self, table: str) -> bool:
         return self.current(table) is not None
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """The published version, or None when the table does not exist (or an empty
-        frame with ``schema`` when one is given)."""
+        """The published version, or None when the table does not exist or was created and never written
+        (or an empty frame with ``schema`` when one is given)."""
         cur = self.current(table)
-        if cur is None:
+        if cur is None or not path_exists(self.spark, cur[1]):
             return None if schema is None else self.spark.createDataFrame([], schema)
         reader = self.spark.read
         if schema is not None:
@@ -103,7 +97,9 @@ class Store:
         """Append rows to the current version (creating version 0 on first use).
 
         ``partition_by`` lays rows out in ``col=value`` directories, so readers
-        filtering on those columns only list and read matching directories.
+        filtering on those columns only list and read matching directories. The
+        first append counts once its pointer is registered, a later one once its
+        job commits; before that, readers see nothing of it.
         """
         cur = self.current(table)
         path = self.version_path(table, 0) if cur is None else cur[1]
@@ -114,22 +110,27 @@ class Store:
         if cur is None:
             self._register([(table, 0, path)])
 
-    def create(self, table: str, schema: T.StructType) -> None:
-        """Idempotent creation of an empty table (no-op when it exists)."""
-        if not self.exists(table):
+    def create(self, table: str, schema: T.StructType, partitioned: bool = False) -> None:
+        """Idempotent creation of an empty table (no-op when it exists).
+
+        Of a table that will be appended to in partitions only the pointer is
+        written: a file without partitions would not fit beside them.
+        """
+        if self.exists(table):
+            return
+        if partitioned:
+            self._register([(table, 0, self.version_path(table, 0))])
+        else:
             self.append(table, self.spark.createDataFrame([], schema))
 
-    def publish(self, frames: dict[str, DataFrame], sort_within: dict[str, list[str]] | None = None) -> dict[str, str]:
+    def publish(self, frames: dict[str, DataFrame]) -> dict[str, str]:
         """Write each frame to a new version, then register all of them in one append."""
         entries = []
         for table, df in frames.items():
             cur = self.current(table)
             version = 0 if cur is None else cur[0] + 1
             path = self.version_path(table, version)
-            out = df
-            if sort_within and table in sort_within:
-                out = out.sortWithinPartitions(*sort_within[table])
-            out.write.mode("overwrite").parquet(path)
+            df.write.parquet(path)
             entries.append((table, version, path))
         self._register(entries)
         return {t: p for t, _, p in entries}
