@@ -36,12 +36,14 @@ OVERFLOW = "numeric overflow"
 # Accepted spellings.
 # Decimal literal: optional sign, digits with optional fraction (or a bare
 # fraction), optional exponent. Underscores between digits are removed first.
-NUMBER_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+# Whole number spelt without an exponent: its fraction, if any, is all zeros.
+WHOLE_PATTERN = r"^([+-]?[0-9]+)(\.0*)?\z"
 DIGIT_UNDERSCORE = r"(?<=[0-9])_(?=[0-9])"
 # ISO-8601 extended date or date-time, optional fraction, optional Z or +hh:mm.
 TIMESTAMP_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
+    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?\z"
 )
 
 
@@ -84,13 +86,20 @@ def _is_number(num: Column, parsed: Column) -> Column:
 
 
 def to_integer(k: Column, s: Column) -> Coerced:
-    """Lax integer: integral numbers, numeric strings, booleans as 0/1."""
+    """Lax integer: integral numbers, numeric strings, booleans as 0/1.
+
+    Without an exponent, the digits of the text decide whether it is whole, so no
+    rounding hides a fraction. A whole number beyond the staged type passes the
+    contract and is an insert error.
+    """
     num = F.when(k == J.BOOLEAN, F.when(s == "true", "1").otherwise("0")).otherwise(_number_text(k, s))
-    dec = num.try_cast("decimal(38,10)")
-    integral = dec.isNotNull() & (dec == F.floor(dec))
-    value = F.when(integral, dec.try_cast("bigint"))
-    error = F.when(_empty(k), F.lit(MISSING)).when(value.isNull(), F.lit(NOT_INTEGER))
-    return Coerced(value, error, _none())
+    whole = F.regexp_extract(num, WHOLE_PATTERN, 1)
+    scientific = F.when(num.rlike("[eE]"), num.try_cast("decimal(38,10)"))
+    from_scientific = F.when(scientific == F.floor(scientific), scientific.try_cast("bigint"))
+    value = F.when(whole != "", whole.try_cast("bigint")).otherwise(from_scientific)
+    integral = (whole != "") | from_scientific.isNotNull()
+    error = F.when(_empty(k), F.lit(MISSING)).when(~F.coalesce(integral, F.lit(False)), F.lit(NOT_INTEGER))
+    return Coerced(value, error, F.when(error.isNull() & value.isNull(), F.lit(OVERFLOW)))
 
 
 def to_decimal(s: Column, precision: int = 12, scale: int = 4) -> Coerced:

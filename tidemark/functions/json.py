@@ -20,11 +20,6 @@ def parse_payload(text: Column) -> Column:
     return F.parse_json(text)
 
 
-def try_parse_payload(text: Column) -> Column:
-    """Parse JSON text to VARIANT; malformed text gives NULL."""
-    return F.try_parse_json(text)
-
-
 def field(v: Column, key: str) -> Column:
     """Untyped member access: SQL NULL when absent, a VARIANT null when JSON null."""
     return F.variant_get(v, _path(key), "variant")

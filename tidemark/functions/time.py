@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def utc_wall_clock(ts: Column) -> Column:
-    """TIMESTAMP instant -> TIMESTAMP_NTZ holding its UTC wall clock."""
-    return ts.cast("timestamp_ntz")
-
-
 def local_wall_clock(ts: Column, zone: str) -> Column:
     """TIMESTAMP instant -> TIMESTAMP_NTZ wall clock in ``zone`` (DST aware)."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))

@@ -61,9 +61,6 @@ class Contract:
                     seen.append(key)
         return tuple(seen)
 
-    def with_extra(self, extra: str) -> Contract:
-        return Contract(self.fields, extra)
-
 
 @dataclass(frozen=True)
 class DimSpec:
