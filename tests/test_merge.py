@@ -24,16 +24,13 @@ def test_first_wins_with_a_hot_key(spark):
     assert out.count() == 6001
 
 
-def test_insert_only_keeps_existing_and_both_plans_agree(spark):
+def test_insert_only_keeps_existing(spark):
     target = spark.createDataFrame([("a", 1, "old")], "k string, cur long, payload string")
     batch = spark.createDataFrame(
         [("a", 9, "new"), ("b", 5, "b2"), ("b", 4, "b1")], "k string, cur long, payload string"
     )
-    shuffled = merge.insert_only(batch, target, ["k"], ["cur", "payload"])
-    broadcast = merge.insert_only(batch, target, ["k"], ["cur", "payload"], batch_rows=3)
-    expected = [("b", 4, "b1")]
-    assert sorted(tuple(r) for r in shuffled.collect()) == expected
-    assert sorted(tuple(r) for r in broadcast.collect()) == expected
+    inserts = merge.insert_only(batch, target, ["k"], ["cur", "payload"])
+    assert sorted(tuple(r) for r in inserts.collect()) == [("b", 4, "b1")]
 
 
 def test_upsert_aggregate_overwrites_with_null_and_keeps_extremes(spark):
@@ -62,12 +59,12 @@ def test_anti_join_reads_only_keys(spark):
     assert [tuple(r) for r in merge.anti_join(left, right, ["k"]).collect()] == [(1, "a")]
 
 
-def test_small_batch_is_broadcast_into_the_target_scan(spark, scratch):
+def test_insert_only_reduces_the_target_to_colliding_keys(spark, scratch):
     target_path = f"{scratch}/target"
     spark.range(0, 5000).selectExpr("cast(id as string) as k", "id as cur", "'p' as payload").write.parquet(target_path)
     target = spark.read.parquet(target_path)
     batch = spark.createDataFrame([("1", 9, "x"), ("new", 1, "y")], "k string, cur long, payload string")
-    plan = merge.insert_only(batch, target, ["k"], ["cur", "payload"], batch_rows=2)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan and "LeftSemi" in plan
-    got = [tuple(r) for r in merge.insert_only(batch, target, ["k"], ["cur", "payload"], batch_rows=2).collect()]
-    assert got == [("new", 1, "y")]
+    inserts = merge.insert_only(batch, target, ["k"], ["cur", "payload"])
+    plan = inserts._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "ReadSchema: struct<k:string>" in plan
+    assert [tuple(r) for r in inserts.collect()] == [("new", 1, "y")]

@@ -66,8 +66,8 @@ class _Compiled:
 
 
 @functools.lru_cache(maxsize=64)
-def _compile(contract: Contract, payload_col: str, context_id: int) -> _Compiled:
-    """Build the Column expressions once per contract (and Spark context).
+def _compile(contract: Contract, payload_col: str, application_id: str) -> _Compiled:
+    """Build the Column expressions once per contract (and Spark application).
 
     Building thousands of Column objects costs one JVM round trip each; the
     expressions only name columns, so they are reused across DataFrames.
@@ -118,7 +118,7 @@ def apply_contract(df: DataFrame, contract: Contract, payload_col: str = "payloa
     typed_names = {r.name for r in rules}
     renamed = df.select(*[F.col(c).alias(f"raw_{c}" if c in typed_names else c) for c in df.columns])
     payload_col = f"raw_{payload_col}" if payload_col in typed_names else payload_col
-    compiled = _compile(contract, payload_col, id(df.sparkSession.sparkContext))
+    compiled = _compile(contract, payload_col, df.sparkSession.sparkContext.applicationId)
     base_cols = [F.col(c) for c in renamed.columns]
     # One projection per level: every reused sub-expression becomes a column,
     # so the optimizer never re-inlines (and multiplies) expression trees.
@@ -148,14 +148,6 @@ def reason(errors: Column) -> Column:
     return F.concat_ws("; ", errors)
 
 
-def accepted(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.size("errors") == 0)
-
-
-def rejected(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.size("errors") > 0)
-
-
 def drift_report(df: DataFrame, contract: Contract, payload_col: str = "payload") -> DataFrame:
     """Distinct unknown payload keys with the number of rows carrying each, sorted.
 

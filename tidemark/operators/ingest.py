@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from tidemark.functions import json as J
 from tidemark.operators import merge
 from tidemark.operators.contract import INSERT_FAILED, apply_contract, evaluate_once, reason
-from tidemark.sources.table import spread
 from tidemark.spec import SourceSpec
 
 DUPLICATE_CURSOR = "duplicate cursor"
+NOT_AN_OBJECT = "landing line is not a JSON object"
 
 
 def raw_columns(spec: SourceSpec) -> list[str]:
@@ -74,14 +74,18 @@ def staging_schema(spec: SourceSpec) -> T.StructType:
 def extract_keys(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     """Landing lines (``payload``) -> ``payload``, business key text, cursor.
 
-    Parsing is strict: a malformed line or a cursor that is not a whole
-    number fails the job (no partial append). A fractional cursor truncates.
-    The key and cursor stay NULL when absent or JSON null.
+    Parsing is strict: a malformed line, a line that is not an object, or a
+    cursor that is not a whole number fails the job (no partial append). A
+    fractional cursor truncates. The key and cursor stay NULL when absent or
+    JSON null. Ruling for keys that are no strings: booleans are spelt
+    ``true``/``false``, numbers without trailing zeros (5.0 is ``5``).
     """
     v = J.parse_payload(F.col("payload"))
+    is_object = J.payload_keys(F.col("payload")).isNotNull()
+    key = F.when(is_object, J.field_as(v, spec.key_field, "string")).otherwise(F.raise_error(F.lit(NOT_AN_OBJECT)))
     keyed = lines.select(
         F.col("payload"),
-        J.field_as(v, spec.key_field, "string").alias(spec.business_key),
+        key.alias(spec.business_key),
         J.field_as(v, spec.cursor_field, "bigint").alias(spec.cursor),
     )
     return evaluate_once(keyed)
@@ -103,37 +107,27 @@ def raw_batch(keyed: DataFrame, spec: SourceSpec, run_id: str, ingested_at: dt.d
     )
 
 
-def raw_inserts(
-    batch: DataFrame,
-    raw: DataFrame | None,
-    spec: SourceSpec,
-    batch_rows: int | None = None,
-    deduplicated: bool = False,
-) -> DataFrame:
+def raw_inserts(batch: DataFrame, raw: DataFrame | None, spec: SourceSpec, deduplicated: bool = False) -> DataFrame:
     """Insert-only merge into raw: first (cursor, payload) per key; existing keys never change."""
     order = [spec.cursor, "payload"]
     if raw is None:
         return batch if deduplicated else merge.first_wins(batch, [spec.business_key], order)
-    return merge.insert_only(batch, raw, [spec.business_key], order, batch_rows, deduplicated)
+    return merge.insert_only(batch, raw, [spec.business_key], order, deduplicated)
 
 
-def pending(raw: DataFrame, staging: DataFrame | None, spec: SourceSpec, broadcast_rows: int | None = None) -> DataFrame:
+def pending(raw: DataFrame, staging: DataFrame | None, spec: SourceSpec) -> DataFrame:
     """Raw rows whose (raw, untrimmed) key is not in staging yet (NOT EXISTS).
 
-    Only keys are shuffled for the anti-join; payloads are then fetched by a
-    semi-join on (key, cursor), broadcast when the caller counted the pending
-    keys and found them small, so the payload-heavy raw table is only scanned.
-    The result is spread over all task slots when it is narrower (the JSON
-    contract that follows is the CPU-heavy step).
+    The anti-join moves keys and cursors only; payloads are fetched by a
+    semi-join on (key, cursor), which adaptive execution broadcasts when the
+    pending keys turn out small, so the payload-heavy raw table is scanned.
     """
     if staging is None:
-        return spread(raw, spec.business_key)
+        return raw
     key = spec.business_key
     staged_keys = staging.select(F.col(key).cast("string").alias(key))
     todo = raw.select(key, spec.cursor).join(staged_keys, key, "left_anti")
-    if broadcast_rows is not None and broadcast_rows <= merge.BROADCAST_KEY_ROWS:
-        todo = F.broadcast(todo)
-    return spread(raw.join(todo, [key, spec.cursor], "left_semi"), key)
+    return raw.join(todo, [key, spec.cursor], "left_semi")
 
 
 def validate_frame(pending_raw: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -160,71 +154,59 @@ def validate_frame(pending_raw: DataFrame, spec: SourceSpec) -> DataFrame:
     return checked.select(*cols)
 
 
-def staging_outcome(validated: DataFrame, staging: DataFrame | None, spec: SourceSpec) -> DataFrame:
+def staging_outcome(
+    validated: DataFrame, staging: DataFrame | None, spec: SourceSpec, carry: Sequence[str] | None = None
+) -> DataFrame:
     """Decide every validated row in one pass: ``insert`` or ``reject`` (+ reason).
 
     * rows breaking the contract are rejected with their reasons;
-    * among valid rows the first per cleaned key wins (lowest raw cursor,
-      then payload); later rows and keys already in staging are dropped as
-      duplicates (ON CONFLICT DO NOTHING; counted as read - inserted -
-      rejected, never materialised);
-    * a winner whose cursor is already in staging, or whose cursor another
-      winner with a smaller key also has, is rejected: cursors are unique too.
-
-    Rejected rows ride through the same first-wins aggregation keyed by their
-    raw key (unique in raw), so the contract is evaluated once per row and
-    there is no union of two branches. All steps are aggregations (combined
-    map-side) or joins on keys that are unique on one side.
+    * rows whose cleaned key is in staging are dropped (ON CONFLICT DO NOTHING);
+    * cursors are unique too: of the rows left, one whose cursor staging holds,
+      or whose cursor a row with a smaller key also has, is rejected, so it
+      cannot stand in the way of a later row of its key;
+    * of what remains, the first row per cleaned key wins (lowest cursor, then
+      payload); later rows are duplicates, counted as read - inserted -
+      rejected and never materialised.
+
+    Only staging's key and cursor are read; both are unique there. Rejected rows
+    ride through the first-wins aggregation keyed by their raw key (unique in
+    raw), also in the joins, so rows without a cleaned key spread over all
+    tasks. ``carry`` names the columns kept (default: staging columns and
+    ``raw_payload``); the decision alone needs few.
     """
     key, cur = spec.business_key, spec.cursor
-    cols = staging_columns(spec) + ["raw_payload"]
+    cols = list(carry) if carry is not None else staging_columns(spec) + ["raw_payload"]
     is_valid = F.size("errors") == 0
-    group = F.when(is_valid, F.concat(F.lit("v:"), F.col(key).cast("string"))).otherwise(
-        F.concat(F.lit("r:"), F.col("raw_key"))
-    )
+    own = F.concat(F.lit("r:"), F.col("raw_key"))
     rows = validated.select(
-        *cols, is_valid.alias("__valid"), reason(F.col("errors")).alias("__reason"), group.alias("__group")
-    )
-    winners = merge.first_wins(rows, ["__group"], [cur, "raw_payload"]).drop("__group")
-    if staging is not None:
-        staged_keys = (
-            staging.select(F.col(key).cast(rows.schema[key].dataType).alias(key))
-            .distinct()
-            .withColumn("__staged", F.lit(True))
-        )
-        winners = winners.join(staged_keys, key, "left").filter(
-            ~(F.col("__valid") & F.coalesce(F.col("__staged"), F.lit(False)))
-        )
-        taken_cursors = staging.select(F.col(cur)).distinct().withColumn("__taken", F.lit(True))
-    else:
-        taken_cursors = None
-    cursor_owner = (
-        winners.filter(F.col("__valid")).groupBy(cur).agg(F.min(key).alias("__owner"))
+        *cols,
+        *[F.col(c) for c in dict.fromkeys((key, cur, "raw_payload", "raw_key")) if c not in cols],
+        is_valid.alias("__valid"),
+        reason(F.col("errors")).alias("__reason"),
+        F.when(is_valid, F.concat(F.lit("v:"), F.col(key).cast("string"))).otherwise(own).alias("__group"),
     )
-    decided = winners.join(cursor_owner, cur, "left")
     taken = F.lit(False)
-    if taken_cursors is not None:
-        decided = decided.join(taken_cursors, cur, "left")
+    if staging is not None:
+        staged = staging.select(F.concat(F.lit("v:"), F.col(key).cast("string")).alias("__group"))
+        rows = rows.join(staged, "__group", "left_anti")
+        taken_cursors = staging.select(F.col(cur), F.lit(True).alias("__taken"))
+        rows = rows.join(taken_cursors, cur, "left")
         taken = F.coalesce(F.col("__taken"), F.lit(False))
-    dup_cursor = F.col("__valid") & (taken | (F.col(key) != F.col("__owner")))
-    return decided.select(
+    owners = rows.filter(F.col("__valid") & ~taken).groupBy(cur).agg(F.min(key).alias("__owner"))
+    rows = rows.join(owners, cur, "left")
+    lost = F.col("__valid") & (taken | (F.col(key) != F.col("__owner")))
+    rows = rows.withColumn("__lost", lost).withColumn("__group", F.when(F.col("__lost"), own).otherwise(F.col("__group")))
+    rows = rows.drop("__owner", "__taken")
+    first = merge.first_wins(rows, ["__group"], [cur, "raw_payload"])
+    return first.select(
         *cols,
-        F.when(~F.col("__valid") | dup_cursor, F.lit("reject")).otherwise(F.lit("insert")).alias("outcome"),
+        F.when(~F.col("__valid") | F.col("__lost"), F.lit("reject")).otherwise(F.lit("insert")).alias("outcome"),
         F.when(~F.col("__valid"), F.col("__reason"))
-        .when(dup_cursor, F.lit(f"{INSERT_FAILED}{cur}: {DUPLICATE_CURSOR}"))
+        .when(F.col("__lost"), F.lit(f"{INSERT_FAILED}{cur}: {DUPLICATE_CURSOR}"))
         .alias("reason"),
     )
 
 
-def contract_rejects(validated: DataFrame) -> DataFrame:
-    """Rows breaking the contract (or not fitting staging), with one reason text."""
-    return validated.filter(F.size("errors") > 0).select(
-        F.col("raw_payload"), reason(F.col("errors")).alias("reason"), *[
-            F.col(c) for c in validated.columns if c not in ("raw_payload", "errors")
-        ]
-    )
-
-
 def reject_rows(rejects: DataFrame, run_id: str, source: str, at: dt.datetime) -> DataFrame:
     """Reject-table rows: run id, source, raw payload, reason, rejected_at."""
     return rejects.select(
@@ -242,7 +224,3 @@ def validate_all(pending_raw: DataFrame, staging: DataFrame | None, spec: Source
     Schema: staging columns, ``raw_payload``, ``outcome``, ``reason``.
     """
     return staging_outcome(validate_frame(pending_raw, spec), staging, spec)
-
-
-def outcome_columns(spec: SourceSpec) -> Sequence[str]:
-    return staging_columns(spec) + ["raw_payload", "outcome", "reason"]

@@ -13,10 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest batch (rows) whose key set is broadcast to pre-filter a big target.
-# 8M keys of ~40 bytes stay well under the default 8 GB broadcast limit.
-BROADCAST_KEY_ROWS = 8_000_000
-
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the row with the smallest ``order`` tuple (then all other columns).
@@ -36,8 +32,11 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is absent from ``right`` (NOT EXISTS); reads only right's keys."""
-    return left.join(right.select(*keys), list(keys), "left_anti")
+    """Rows of ``left`` whose key is absent from ``right`` (NOT EXISTS); reads only right's keys.
+
+    A key that ``right`` repeats leaves each map task once, so a hot key costs the shuffle one row per task.
+    """
+    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def insert_only(
@@ -45,22 +44,18 @@ def insert_only(
     target: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    batch_rows: int | None = None,
     deduplicated: bool = False,
 ) -> DataFrame:
     """Rows to append for ``INSERT ... ON CONFLICT (keys) DO NOTHING``.
 
-    First row per key wins inside the batch; keys already in ``target`` never
-    change. When the caller knows the batch is small (``batch_rows`` counted,
-    at most ``BROADCAST_KEY_ROWS``), the batch keys are broadcast into a
-    semi-join over the target, so the (large) target is scanned but never
-    shuffled; otherwise both sides shuffle on the key and AQE picks the join.
+    First row per key wins inside the batch; keys already in ``target`` (unique
+    there) never change. The target's keys are first reduced to those that
+    collide: adaptive execution broadcasts the batch's keys into that semi-join
+    when their measured bytes are small, so a large target is only scanned.
     """
     fresh = batch if deduplicated else first_wins(batch, keys, order)
-    if batch_rows is not None and batch_rows <= BROADCAST_KEY_ROWS:
-        colliding = target.select(*keys).join(F.broadcast(fresh.select(*keys)), list(keys), "left_semi")
-        return fresh.join(colliding, list(keys), "left_anti")
-    return anti_join(fresh, target, keys)
+    colliding = target.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
+    return fresh.join(colliding, list(keys), "left_anti")
 
 
 def upsert_aggregate(

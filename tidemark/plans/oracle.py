@@ -8,6 +8,7 @@ rules with ``TRY_CAST``, ``trim`` and ``regexp_full_match``.
 from __future__ import annotations
 
 from tidemark.plans import queries as Q
+from tidemark.spec import DECIMAL
 
 WS = "(' ' || chr(9) || chr(13) || chr(10))"
 NUM_RE = r"'[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?'"
@@ -94,10 +95,8 @@ staging AS (
   FROM decided WHERE reason IS NULL
 )"""
 
-STAGING_OUT = """unit_result_id, _id, registered_auction_participant, auction_unit, service_type, auction_product,
-  CAST(executed_quantity_mw AS DOUBLE) AS executed_quantity_mw,
-  CAST(clearing_price_gbp_per_mw_h AS DOUBLE) AS clearing_price_gbp_per_mw_h,
-  delivery_start_utc, delivery_end_utc, delivery_start_uk, technology_type, post_code"""
+_DECIMALS = {r.name for r in Q.AUCTION.contract.fields if r.kind == DECIMAL}
+STAGING_OUT = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in _DECIMALS else c for c in Q._STAGING_OUT)
 
 DIM_SQL = """SELECT auction_unit, max(technology_type) AS technology_type, max(post_code) AS post_code,
     max(registered_auction_participant) AS registered_auction_participant,
@@ -283,6 +282,33 @@ SELECT 'lineitem.l_partkey -> part', count(*) FROM lineitem l
 UNION ALL
 SELECT 'lineitem.l_suppkey -> supplier', count(*) FROM lineitem l
   WHERE l.l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)""",
+    "mart_fk_orphans": f"""
+WITH {FEED}
+SELECT auction_unit, count(*) AS n FROM staging
+WHERE auction_unit NOT IN (SELECT auction_unit FROM staging WHERE technology_type = 'T-1') GROUP BY auction_unit""",
+    "validate_duplicate_cursor": f"""
+WITH {FEED},
+both_rows AS (
+  SELECT unit_result_id, reason, CASE WHEN event_id % 10 = 3 THEN _id - 1 ELSE _id END AS cur FROM decided
+  UNION ALL SELECT unit_result_id, reason, _id + 2000000 FROM decided WHERE event_id % 10 = 3
+),
+owners AS (SELECT cur, min(unit_result_id) AS owner FROM both_rows WHERE reason IS NULL GROUP BY cur),
+valid AS (SELECT b.unit_result_id, b.cur, b.unit_result_id = o.owner AS owns FROM both_rows b JOIN owners o ON b.cur = o.cur WHERE reason IS NULL),
+inserted AS (
+  SELECT unit_result_id, cur FROM valid WHERE owns
+  QUALIFY row_number() OVER (PARTITION BY unit_result_id ORDER BY cur) = 1
+)
+SELECT unit_result_id, cur AS _id, 'insert' AS outcome, NULL AS reason FROM inserted
+UNION ALL SELECT unit_result_id, cur, 'reject', 'staging insert failed: _id: duplicate cursor' FROM valid WHERE NOT owns
+UNION ALL SELECT unit_result_id, cur, 'reject', reason FROM both_rows WHERE reason IS NOT NULL""",
+    "validate_grammar_edges": """
+SELECT event_id,
+  CASE WHEN event_id % 6 IN (2, 4) THEN NULL ELSE event_id END AS i_value,
+  CASE WHEN event_id % 6 = 2 THEN 'not an integer' END AS i_error,
+  CASE WHEN event_id % 6 = 4 THEN 'numeric overflow' END AS i_insert_error,
+  CASE WHEN event_id % 6 <> 5 THEN date_trunc('second', ts) END AS t_value,
+  CASE WHEN event_id % 6 = 5 THEN 'not a timestamp' END AS t_error
+FROM events""",
     "null_rates": f"""
 WITH {FEED},
 s AS (SELECT {STAGING_OUT} FROM staging)
@@ -333,5 +359,5 @@ SELECT (SELECT count(*) FROM keyed WHERE raw_key IS NOT NULL) AS rows_read,
   (SELECT count(*) FROM staging) AS staging_rows,
   (SELECT count(*) FROM decided WHERE reason IS NOT NULL) AS rejected_rows,
   (SELECT count(DISTINCT auction_unit) FROM staging) AS dim_rows,
-  (SELECT count(*) FROM staging) AS fact_rows""",
+  (SELECT count(*) FROM (SELECT DISTINCT auction_unit, auction_product, delivery_start_utc FROM staging)) AS fact_rows""",
 }

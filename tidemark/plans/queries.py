@@ -92,11 +92,8 @@ def _staging(spark, sf_dir) -> DataFrame:
     return out.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
 
 
-_STAGING_OUT = [
-    "unit_result_id", "_id", "registered_auction_participant", "auction_unit", "service_type",
-    "auction_product", "executed_quantity_mw", "clearing_price_gbp_per_mw_h", "delivery_start_utc",
-    "delivery_end_utc", "delivery_start_uk", "technology_type", "post_code",
-]
+_PROVENANCE = ("ingested_at", "extract_run_id")
+_STAGING_OUT = [c for c in ingest.staging_columns(AUCTION) if c not in _PROVENANCE]
 
 
 # -- S1 K1 F8 ---------------------------------------------------------------------
@@ -119,7 +116,9 @@ def watermark_max(spark, sf_dir):
 
 # -- S6 S4 ------------------------------------------------------------------------
 def watermark_after(spark, sf_dir):
-    feed = auction_feed(_read(spark, sf_dir, "events"))
+    # a superset on the scanned column, so that the scan is pruned
+    events = _read(spark, sf_dir, "events").filter(F.col("event_id") > KEYSET_WATERMARK - 1 - REISSUE_SHIFT)
+    feed = auction_feed(events)
     v = J.parse_payload(F.col("payload"))
     cursor_kind = F.schema_of_variant(J.field(v, "_id"))
     records = feed.select(
@@ -149,14 +148,14 @@ def _typed_event(payloads: DataFrame) -> DataFrame:
 
 def api_pages_unwrap(spark, sf_dir):
     events = _read(spark, sf_dir, "events")
-    saved = pages.pack_pages(events, F.floor(F.col("event_id") / PAGE_ROWS), F.struct(*_EVENT_RECORD))
+    saved = pages.pack_pages(events, F.expr(f"event_id div {PAGE_ROWS}"), F.struct(*_EVENT_RECORD))
     return _typed_event(pages.unwrap_pages(saved))
 
 
 # -- S10 --------------------------------------------------------------------------
 def json_array_explode(spark, sf_dir):
     events = _read(spark, sf_dir, "events")
-    files = pages.pack_arrays(events, F.floor(F.col("event_id") / ARRAY_ROWS), F.struct(*_EVENT_RECORD))
+    files = pages.pack_arrays(events, F.expr(f"event_id div {ARRAY_ROWS}"), F.struct(*_EVENT_RECORD))
     return _typed_event(pages.explode_json_array(files))
 
 
@@ -214,27 +213,58 @@ def validate_extras_forbid(spark, sf_dir):
     return out.filter(F.col("outcome") == "reject").select("unit_result_id", "_id", "reason")
 
 
+# -- J3 C3 ------------------------------------------------------------------------
+def validate_duplicate_cursor(spark, sf_dir):
+    """Raw in which every tenth row carries the cursor of the row before it, and returns
+    later under a tabbed key: a lost cursor must not hold back the next row of its key."""
+    raw = _raw(spark, sf_dir)
+    clash = (F.col("_id") - 1) % 10 == 3
+    moved = raw.withColumn("_id", F.when(clash, F.col("_id") - 1).otherwise(F.col("_id")))
+    again = raw.filter(clash).withColumn("unit_result_id", F.concat("unit_result_id", F.lit("\t")))
+    both = moved.unionByName(again.withColumn("_id", F.col("_id") + F.lit(2 * REISSUE_SHIFT)))
+    return ingest.validate_all(both, None, AUCTION).select("unit_result_id", "_id", "outcome", "reason")
+
+
+# -- P4 P7 ------------------------------------------------------------------------
+def validate_grammar_edges(spark, sf_dir):
+    """Integer and timestamp texts at the edge of their grammar, made of ``events`` columns."""
+    ev = _read(spark, sf_dir, "events")
+    m, n = F.col("event_id") % 6, F.col("event_id").cast("string")
+    text = (
+        F.when(m == 1, F.concat(n, F.lit("\n")))
+        .when(m == 2, F.concat(n, F.lit(".00000000001")))
+        .when(m == 3, F.concat(n, F.lit(".000")))
+        .when(m == 4, F.lit("9223372036854775808"))
+        .otherwise(n)
+    )
+    start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    whole = C.to_integer(F.lit(J.STRING), text)
+    stamp = C.to_timestamp_utc(F.when(m == 5, F.concat(start, F.lit("\n"))).otherwise(start))
+    return ev.select(
+        "event_id", whole.value.alias("i_value"), whole.error.alias("i_error"), whole.insert_error.alias("i_insert_error"),
+        stamp.value.cast("timestamp_ntz").alias("t_value"), stamp.error.alias("t_error"),
+    )
+
+
 # -- A5 O7 J7 K4 ------------------------------------------------------------------
 def reject_reason_counts(spark, sf_dir):
-    """Two validate runs (first half of raw, then the rest); reasons of the latest run.
+    """Two validate runs (first half of raw, then all pending rows); reasons of the latest run.
 
-    The contract is row-local, so both runs share one validated frame; only the
-    staging decisions differ (run B decides against run A's staging).
+    Staging only grows and decisions are made in order of the cursor, so run A's
+    decisions on its half are those that one pass over all rows makes there: one
+    validated frame serves both runs, and run B's rejects are the rows of that
+    pass which are no duplicates and not in staging.
     """
     raw = _raw(spark, sf_dir)
-    validated = ingest.validate_frame(ingest.pending(raw, None, AUCTION), AUCTION)
     split = raw.agg((F.max("_id") / 2).alias("__split")).scalar()  # scalar subquery
-    out_a = ingest.staging_outcome(validated.filter(F.col("_id") <= split), None, AUCTION)
-    staging_a = out_a.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
-    pending_b = validated.join(
-        staging_a.select(F.col("unit_result_id").alias("raw_key")), "raw_key", "left_anti"
-    )
-    out_b = ingest.staging_outcome(pending_b, staging_a, AUCTION)
-    rejects = ingest.reject_rows(
-        out_a.filter(F.col("outcome") == "reject"), VALIDATE_RUN_A[0], AUCTION.name, VALIDATE_RUN_A[1]
-    ).unionByName(
-        ingest.reject_rows(out_b.filter(F.col("outcome") == "reject"), VALIDATE_RUN_B[0], AUCTION.name, VALIDATE_RUN_B[1])
-    )
+    rejected = _outcomes(spark, sf_dir).filter(F.col("outcome") == "reject")
+    rejects = rejected.select(
+        F.explode(
+            F.when(F.col("_id") <= split, F.array(*[F.struct(F.lit(r).alias("run_id"), F.lit(t).cast("timestamp").alias("rejected_at")) for r, t in (VALIDATE_RUN_A, VALIDATE_RUN_B)]))
+            .otherwise(F.array(F.struct(F.lit(VALIDATE_RUN_B[0]).alias("run_id"), F.lit(VALIDATE_RUN_B[1]).cast("timestamp").alias("rejected_at"))))
+        ).alias("run"),
+        F.lit(AUCTION.name).alias("source"), "raw_payload", "reason",
+    ).select("run.run_id", "source", "raw_payload", "reason", "run.rejected_at")
     events = None
     for run_id, at in (VALIDATE_RUN_A, VALIDATE_RUN_B):
         for seq, (event, status) in enumerate((("start", "running"), ("finish", "success"))):
@@ -252,16 +282,8 @@ def schema_drift_keys(spark, sf_dir):
 
 
 # -- P12 F4 -----------------------------------------------------------------------
-_CLEAN_NOT_NULL = ["registered_auction_participant", "auction_unit", "service_type", "auction_product"]
-_CLEAN_NULLABLE = ["technology_type", "post_code"]
-_CLEAN_ALIASES = {
-    "registered_auction_participant": "registeredAuctionParticipant",
-    "auction_unit": "auctionUnit",
-    "service_type": "serviceType",
-    "auction_product": "auctionProduct",
-    "technology_type": "technologyType",
-    "post_code": "postCode",
-}
+_CLEAN_NOT_NULL, _CLEAN_NULLABLE = list(AUCTION.clean_columns), list(AUCTION.nullable_clean_columns)
+_CLEAN_ALIASES = {r.name: r.alias for r in AUCTION.contract.fields if r.name in _CLEAN_NOT_NULL + _CLEAN_NULLABLE}
 
 
 def _untrimmed_staging(spark, sf_dir) -> DataFrame:
@@ -390,12 +412,20 @@ def fk_orphans(spark, sf_dir):
     ]
     out = None
     for name, child, parent, cc, pc in checks_:
-        one = checks.orphans(child, parent, cc, pc).agg(F.count(F.lit(1)).alias("orphans"))
+        one = checks.orphans(child, parent, cc, pc).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
         one = one.select(F.lit(name).alias("fk"), "orphans")
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def mart_fk_orphans(spark, sf_dir):
+    """Fact rows whose unit is not in a dimension built of one technology only, per unit."""
+    staging = _staging(spark, sf_dir)
+    dim = marts.build_dim(staging.filter(F.col("technology_type") == "T-1"), AUCTION.dim)
+    fact = marts.fact_rows(staging, AUCTION.fact)
+    return checks.orphans(fact, dim, [AUCTION.fact.dim_key], [AUCTION.dim.key])
+
+
 # -- A9 A10 -----------------------------------------------------------------------
 def null_rates(spark, sf_dir):
     staging = _staging(spark, sf_dir).select(*_STAGING_OUT)
@@ -496,23 +526,30 @@ def run_summary(spark, sf_dir):
     raw = ingest.raw_inserts(ingest.raw_batch(keyed, AUCTION, LOAD_RUN_ID, LOAD_AT), None, AUCTION)
     outcomes = ingest.validate_all(raw, None, AUCTION)
     staging = outcomes.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
-    dim = marts.build_dim(staging, AUCTION.dim)
+    # Marts as transform builds them, over marts that hold the first part of the deliveries already.
+    early = staging.filter(F.col("delivery_start_utc") < F.lit(DELIVERY_SPLIT).cast("timestamp"))
+    dim_spec, fact = AUCTION.dim, AUCTION.fact
+    dim = merge.upsert_aggregate(
+        marts.build_dim(early, dim_spec), marts.build_dim(staging, dim_spec), dim_spec.key, dim_spec.attributes,
+        least_cols=(dim_spec.first_seen,), greatest_cols=(dim_spec.last_seen,),
+    )
+    source = marts.fact_rows(staging, fact)
+    upserted = merge.upsert_replace(marts.fact_rows(early, fact), source, fact.grain)
+    # The grain check guards the fact: with a duplicate there is no fact, and the query fails.
+    dup = checks.grain_profile(source, fact.grain).select("dup_groups").scalar()
+    one = F.when(dup == 0, F.lit("fact")).otherwise(F.raise_error(F.lit("fact grain is not unique")))
     metrics = (
         keyed.select(F.when(ingest.loadable(keyed, AUCTION), "read").otherwise("skipped").alias("m"))
         .unionByName(raw.select(F.lit("raw").alias("m")))
         .unionByName(outcomes.select(F.col("outcome").alias("m")))
         .unionByName(dim.select(F.lit("dim").alias("m")))
+        .unionByName(upserted.select(one.alias("m")))
     )
-    return metrics.agg(
-        F.count(F.lit(1)).alias("__all"),
-        *[
-            F.count(F.when(F.col("m") == m, True)).alias(name)
-            for m, name in (
-                ("read", "rows_read"), ("skipped", "rows_skipped"), ("raw", "raw_rows"),
-                ("insert", "staging_rows"), ("reject", "rejected_rows"), ("dim", "dim_rows"),
-            )
-        ],
-    ).drop("__all").withColumn("fact_rows", F.col("staging_rows"))
+    names = (
+        ("read", "rows_read"), ("skipped", "rows_skipped"), ("raw", "raw_rows"), ("insert", "staging_rows"),
+        ("reject", "rejected_rows"), ("dim", "dim_rows"), ("fact", "fact_rows"),
+    )
+    return metrics.agg(*[F.count(F.when(F.col("m") == m, True)).alias(name) for m, name in names])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -529,6 +566,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_accepted": validate_accepted,
     "validate_rejects": validate_rejects,
     "validate_extras_forbid": validate_extras_forbid,
+    "validate_duplicate_cursor": validate_duplicate_cursor,
+    "validate_grammar_edges": validate_grammar_edges,
     "reject_reason_counts": reject_reason_counts,
     "schema_drift_keys": schema_drift_keys,
     "clean_strings": clean_strings,
@@ -541,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grain_violations": grain_violations,
     "uniqueness_proof": uniqueness_proof,
     "fk_orphans": fk_orphans,
+    "mart_fk_orphans": mart_fk_orphans,
     "null_rates": null_rates,
     "cursor_density": cursor_density,
     "freshness": freshness,

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark.operators import checks, contract, ingest, ledger, marts, merge
 from tidemark.functions.text import btrim_ws
 from tidemark.plans.store import Store
-from tidemark.session import apply_required_conf, ensure_checkpoint_dir
+from tidemark.session import apply_required_conf, delete_folder, ensure_checkpoint_dir
 from tidemark.sources import landing, pages, table
 from tidemark.spec import SourceSpec
 
@@ -32,8 +32,23 @@ log = logging.getLogger("tidemark")
 
 RUN_EVENTS = "ops_run_events"
 REJECTS = "ops_rejected_records"
+DRIFT = "ops_schema_drift"
+DRIFT_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("extra_key", T.StringType()),
+        T.StructField("rows_with_key", T.LongType()),
+        T.StructField("seen_at", T.TimestampType()),
+    ]
+)
 RAW_PARTITION = "extract_run_id"  # raw is laid out by load run
 
+LOADS_SCHEMA = T.StructType([T.StructField("load_run_id", T.StringType())])
+TRANSFORMED_SCHEMA = T.StructType(
+    [T.StructField("staging", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("at", T.TimestampType())]
+)
+
 # A source: given the watermark (None on a cold start), the records past it as
 # ``payload`` (JSON text) and ``cursor`` (the cursor where it counts toward the
 # watermark: JSON integers only).
@@ -41,7 +56,7 @@ Fetch = Callable[[int | None], DataFrame]
 
 
 class ValidateFailed(RuntimeError):
-    """Raised under reject policy ``fail`` when any row was rejected."""
+    """A validate run whose policy allows no rejects has recorded some; the marts must not be built on it."""
 
 
 @dataclass(frozen=True)
@@ -70,6 +85,11 @@ def carry_table(spec: SourceSpec) -> str:
     return f"ops_validate_carry_{spec.name}"
 
 
+def transformed_table(spec: SourceSpec) -> str:
+    """What of staging the marts were last built from: its version and row count."""
+    return f"ops_transformed_{spec.name}"
+
+
 def validated_loads_table(spec: SourceSpec) -> str:
     """Load runs whose raw partitions an incremental validate has read."""
     return f"ops_validated_loads_{spec.name}"
@@ -133,7 +153,7 @@ class _Run:
             )
         else:
             counters = dict(rows_read=0, rows_written=0, rows_rejected=0, rows_skipped=0)
-        self._event("finish" if result is None else "policy", "failed", error=error[:2000], **counters)
+        self._event("finish" if result is None else "policy", "failed", error=error, **counters)
 
 
 def _prepare(spark: SparkSession) -> None:
@@ -145,16 +165,28 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back (lineage cut).
 
     Unlike an RDD checkpoint, the input is computed by exactly one job, so
-    observed counters are exact and nothing is recomputed later.
+    observed counters are exact and nothing is recomputed later. The stage that
+    asked for it removes it (``release``) once its results are written.
     """
     base = ensure_checkpoint_dir(spark)
     if base is None:
         raise RuntimeError("spark.checkpoint.dir is not set")
+    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must be a folder that all executors share, not {base}")
     path = f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession, *frames: DataFrame | None) -> None:
+    """Remove hand-over tables made by ``materialize``."""
+    for frame in frames:
+        if frame is not None:
+            for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+                if "/tidemark/" in folder:
+                    delete_folder(spark, folder)
+
+
 def current_watermark(store: Store, spec: SourceSpec) -> int | None:
     """``MAX(cursor)`` of raw; None when raw is missing or empty (cold start)."""
     raw = read_raw(store, spec)
@@ -166,14 +198,11 @@ def current_watermark(store: Store, spec: SourceSpec) -> int | None:
 # -- S12 --------------------------------------------------------------------------
 def create_tables(store: Store, spec: SourceSpec) -> None:
     """Idempotent creation of the source's raw and staging tables and the ops tables."""
-    store.create(raw_table(spec), ingest.raw_schema(spec))
+    store.create(raw_table(spec), ingest.raw_schema(spec), partitioned=True)
     store.create(staging_table(spec), ingest.staging_schema(spec))
     store.create(RUN_EVENTS, ledger.RUN_EVENT_SCHEMA)
     store.create(REJECTS, ledger.REJECT_SCHEMA)
-
-
-# Largest number of distinct unknown keys put in the validate log line.
-DRIFT_LOG_KEYS = 100
+    store.create(DRIFT, DRIFT_SCHEMA)
 
 
 # -- D1 ---------------------------------------------------------------------------
@@ -241,7 +270,7 @@ def load_raw(
         )
         stats = obs.get
         raw = read_raw(store, spec)
-        inserts = ingest.raw_inserts(deduped, raw, spec, batch_rows=stats["read"], deduplicated=True)
+        inserts = ingest.raw_inserts(deduped, raw, spec, deduplicated=True)
         wobs = Observation(f"load_w_{run.run_id}")
         store.append(
             raw_table(spec), inserts.observe(wobs, F.count(F.lit(1)).alias("written")), partition_by=[RAW_PARTITION]
@@ -250,6 +279,7 @@ def load_raw(
             run.run_id, "load_raw", rows_read=stats["read"], rows_written=wobs.get["written"],
             rows_skipped=stats["skipped"],
         )
+        release(spark, deduped)
     except Exception as exc:
         run.failure(str(exc))
         raise
@@ -258,42 +288,38 @@ def load_raw(
 
 
 # -- D3 ---------------------------------------------------------------------------
-def _load_runs_in_raw(store: Store, spec: SourceSpec) -> list[str]:
-    """Load run ids present in raw, from its partition directories (file listing only:
-    the ``binaryFile`` source reads no file bodies when ``content`` is not selected)."""
-    path = store.current(raw_table(spec))[1]
-    files = store.spark.read.format("binaryFile").load(path).select(F.col(RAW_PARTITION).cast("string"))
-    return sorted(r[0] for r in files.distinct().collect())
+def _new_loads(store: Store, spec: SourceSpec, raw: DataFrame) -> list[str]:
+    """Load runs in raw that no incremental validate has read (one, as a rule).
 
+    Ids are text as declared in raw's schema, never inferred from folder names;
+    the two small id tables are compared by an anti-join.
+    """
+    loads = raw.select(F.col(RAW_PARTITION).alias("load_run_id")).distinct()
+    done = store.read(validated_loads_table(spec), LOADS_SCHEMA)
+    return sorted(r[0] for r in loads.join(done.distinct(), "load_run_id", "left_anti").collect())
 
-def _incremental_pending(store: Store, spec: SourceSpec, raw: DataFrame, staging: DataFrame):
-    """Candidates (new load partitions + carried-over keys) and their pending subset.
+
+def _incremental_pending(store: Store, spec: SourceSpec, raw: DataFrame, staging: DataFrame, new_loads: list[str]) -> DataFrame:
+    """Candidates: the rows of new load partitions and the carried-over keys.
 
     Exact: a raw row from an already-validated load can only be pending if it
     was left pending by the previous run (staging only grows), and those rows
-    are exactly the carry-over. Returns (candidates, pending, loads_seen).
+    are exactly the carry-over.
     """
-    key, cur = spec.business_key, spec.cursor
-    loads = _load_runs_in_raw(store, spec)
-    done = store.read(validated_loads_table(spec))
-    done_ids = set() if done is None else {r[0] for r in done.select("load_run_id").distinct().collect()}
-    new_loads = [x for x in loads if x not in done_ids]
     fresh = raw.filter(F.col(RAW_PARTITION).isin(new_loads)) if new_loads else raw.limit(0)
     carry = store.read(carry_table(spec))
     if carry is not None:
-        n_carry = carry.count()
-        carried_keys = F.broadcast(carry) if n_carry <= merge.BROADCAST_KEY_ROWS else carry
-        candidates = fresh.unionByName(raw.join(carried_keys, [key, cur], "left_semi"))
-    else:
-        candidates = fresh
-    candidates = materialize(store.spark, candidates, "candidates")
-    n_candidates = candidates.count()
-    cand_keys = candidates.select(key)
-    if n_candidates <= merge.BROADCAST_KEY_ROWS:
-        cand_keys = F.broadcast(cand_keys)
-    staged = staging.select(F.col(key).cast("string").alias(key)).join(cand_keys, key, "left_semi")
-    pending = table.spread(candidates.join(staged, key, "left_anti"), key)
-    return candidates, pending, new_loads
+        fresh = fresh.unionByName(raw.join(carry, [spec.business_key, spec.cursor], "left_semi"))
+    return ingest.pending(fresh, staging, spec)
+
+
+def _staged_near(staging: DataFrame, validated: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The part of staging that can decide ``validated``: rows with one of its keys or cursors (those two columns)."""
+    key, cur = spec.business_key, spec.cursor
+    held = staging.select(key, cur)
+    by_key = held.join(validated.select(F.col(key).cast(staging.schema[key].dataType).alias(key)), key, "left_semi")
+    by_cursor = held.join(validated.select(cur), cur, "left_semi")
+    return by_key.unionByName(by_cursor.select(*by_key.columns)).distinct()
 
 
 def validate(
@@ -306,68 +332,65 @@ def validate(
     """Raw rows not yet in staging -> typed staging rows + rejects with reasons.
 
     Rejected rows stay out of staging, so later runs read and record them again.
-    ``incremental`` gives the same result without reading all of raw: only raw
-    partitions of load runs not validated before, plus the raw keys the last
-    incremental run left pending (kept in a small carry-over table). The first
-    incremental run (no state yet) reads everything once.
+    The pending rows are checked and written once; decisions are made on their
+    keys, cursors and errors alone, against the part of staging that shares a
+    key or a cursor with them. ``incremental`` gives the same result without
+    reading all of raw: only raw partitions of load runs not validated before,
+    plus the raw keys the last incremental run left pending (kept in a small
+    carry-over table). The first incremental run reads everything once.
     """
     spark = store.spark
     _prepare(spark)
     run = _Run(store, spec, "validate", run_id)
     at = as_of or _now()
+    key, cur = spec.business_key, spec.cursor
     try:
         raw = read_raw(store, spec)
         if raw is None:
             raise RuntimeError(f"raw table for {spec.name} does not exist; load first")
-        staging = store.read(staging_table(spec))
-        candidates = new_loads = None
-        if incremental and staging is not None and store.exists(validated_loads_table(spec)):
-            candidates, todo, new_loads = _incremental_pending(store, spec, raw, staging)
-            n_pending = None
+        staging = store.read(staging_table(spec), ingest.staging_schema(spec))
+        new_loads = _new_loads(store, spec, raw) if incremental else []
+        if incremental and store.exists(validated_loads_table(spec)):
+            todo = _incremental_pending(store, spec, raw, staging, new_loads)
         else:
-            n_pending = None
-            if staging is not None:
-                staged_keys = staging.select(F.col(spec.business_key).cast("string").alias(spec.business_key))
-                n_pending = raw.select(spec.business_key).join(staged_keys, spec.business_key, "left_anti").count()
-            todo = ingest.pending(raw, staging, spec, n_pending)
-            if incremental:
-                candidates, new_loads = raw, _load_runs_in_raw(store, spec)
-        # rows read: the pending count (a key-only anti-join, or a count over the
-        # materialised candidates in incremental mode; raw's row count on a first run)
-        read = n_pending if n_pending is not None else (todo.count() if candidates is not None else raw.count())
+            todo = ingest.pending(raw, staging, spec)
+        seen = Observation(f"pending_{run.run_id}")
+        checked = ingest.validate_frame(todo, spec).observe(seen, F.count(F.lit(1)).alias("read"))
+        validated = materialize(spark, checked, "validated")
+        read = seen.get.get("read", 0)
+        near = _staged_near(staging, validated, spec)
         obs = Observation(f"validate_{run.run_id}")
-        decided = ingest.validate_all(todo, staging, spec).observe(
+        decided = ingest.staging_outcome(validated, near, spec, carry=["raw_key"]).observe(
             obs,
             F.count(F.when(F.col("outcome") == "insert", True)).alias("insert"),
             F.count(F.when(F.col("outcome") == "reject", True)).alias("reject"),
         )
-        outcomes = materialize(spark, decided, "validate")
+        decided = materialize(spark, decided, "decided")
         counts = obs.get
-        store.append(
-            staging_table(spec),
-            outcomes.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(spec)),
-        )
-        rejects = outcomes.filter(F.col("outcome") == "reject")
+        inserted = validated.join(decided.filter(F.col("outcome") == "insert").select("raw_key"), "raw_key", "left_semi")
+        store.append(staging_table(spec), inserted.select(*ingest.staging_columns(spec)))
         if counts.get("reject", 0):
+            rejects = validated.join(decided.filter(F.col("outcome") == "reject").select("raw_key", "reason"), "raw_key")
             store.append(REJECTS, ingest.reject_rows(rejects, run.run_id, spec.name, at))
         if incremental:
-            # next run's carry-over: candidates whose raw key is still not in staging
-            after = store.read(staging_table(spec))
-            staged = after.select(F.col(spec.business_key).cast("string").alias(spec.business_key))
-            carry = candidates.select(spec.business_key, spec.cursor).join(staged, spec.business_key, "left_anti")
-            store.publish({carry_table(spec): carry})
+            # next run's carry-over: pending rows whose raw key is still not in staging
+            left = validated.select(F.col("raw_key").alias(key), cur)
+            staged = inserted.select(F.col(key).cast("string").alias(key))
+            store.publish({carry_table(spec): left.join(staged, key, "left_anti")})
+            store.create(validated_loads_table(spec), LOADS_SCHEMA)
             if new_loads:
-                store.append(
-                    validated_loads_table(spec),
-                    spark.createDataFrame([(x,) for x in new_loads], "load_run_id string"),
-                )
-            elif not store.exists(validated_loads_table(spec)):
-                store.create(validated_loads_table(spec), T.StructType([T.StructField("load_run_id", T.StringType())]))
-        # O8: unknown payload keys seen by this run, logged once per run (a bounded report).
-        drift = contract.drift_report(outcomes.select(F.col("raw_payload").alias("payload")), spec.contract)
-        extras = [r["extra_key"] for r in drift.limit(DRIFT_LOG_KEYS).collect()]
-        if extras:
-            log.info("validate %s: extra keys observed: %s", spec.name, extras)
+                store.append(validated_loads_table(spec), spark.createDataFrame([(x,) for x in new_loads], LOADS_SCHEMA))
+        # O8: every unknown payload key this run met, as a table
+        drift = contract.drift_report(validated.select(F.col("raw_payload").alias("payload")), spec.contract)
+        met = Observation(f"drift_{run.run_id}")
+        drift = drift.select(
+            F.lit(run.run_id).alias("run_id"), F.lit(spec.name).alias("source"), "extra_key", "rows_with_key",
+            F.lit(at).cast("timestamp").alias("seen_at"),
+        ).observe(met, F.count(F.lit(1)).alias("n"))
+        store.append(DRIFT, drift)
+        if met.get.get("n", 0):
+            log.info("validate %s: %d unknown keys recorded in %s", spec.name, met.get["n"], DRIFT)
+        release(spark, validated, decided)
         result = StageResult(
             run.run_id, "validate", rows_read=read, rows_written=counts.get("insert", 0),
             rows_rejected=counts.get("reject", 0),
@@ -378,7 +401,7 @@ def validate(
     run.success(result)
     if result.rows_rejected:
         if spec.reject_policy == "fail":
-            message = f"{result.rows_rejected} rows rejected under reject policy fail"
+            message = f"policy 'fail' allows no rejected rows; this run recorded {result.rows_rejected}"
             run.failure(message, result)
             raise ValidateFailed(message)
         if spec.reject_policy == "warn":
@@ -387,11 +410,14 @@ def validate(
 
 
 # -- D4 ---------------------------------------------------------------------------
-def transform(store: Store, spec: SourceSpec, run_id: str | None = None) -> StageResult:
+def transform(store: Store, spec: SourceSpec, run_id: str | None = None, force: bool = False) -> StageResult:
     """Staging -> cleaned staging, dimension upsert, grain check, fact upsert; all or nothing.
 
     Every check runs before the first write; the new versions are published
-    together. Staging is rewritten only when the clean pass changes a row.
+    together. Staging is rewritten only when the clean pass changes a row. A
+    version of staging only grows, so when it is the one the marts were last
+    built from, with as many rows, nothing is new and nothing is written
+    (``force`` builds anyway, e.g. after a change of the specification).
     """
     spark = store.spark
     _prepare(spark)
@@ -400,6 +426,14 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None) -> Stag
         staging = store.read(staging_table(spec))
         if staging is None:
             raise RuntimeError(f"staging table for {spec.name} does not exist; validate first")
+        before = store.current(staging_table(spec))[1]
+        built = store.read(transformed_table(spec), TRANSFORMED_SCHEMA).agg(F.max_by(F.struct("staging", "n_rows"), "at").alias("b")).first()["b"]
+        if built is not None and not force and built["staging"] == before:
+            rows = staging.count()  # row counts of the files' footers
+            if rows == built["n_rows"]:
+                result = StageResult(run.run_id, "transform", rows_read=rows, rows_written=0)
+                run.success(result)
+                return result
         columns = list(spec.clean_columns) + list(spec.nullable_clean_columns)
         cleaned = marts.clean_strings(staging, columns)
         changed_flag = marts.changed_predicate(spec.clean_columns, spec.nullable_clean_columns)
@@ -426,6 +460,10 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None) -> Stag
                 dim_tgt, dim_src, spec.dim.key, spec.dim.attributes,
                 least_cols=(spec.dim.first_seen,), greatest_cols=(spec.dim.last_seen,),
             )
+        if spec.fact is not None and spec.dim is not None and spec.fact.dim_key:
+            lost = checks.orphans(fact_src, frames[spec.dim.name], [spec.fact.dim_key], [spec.dim.key]).agg(F.sum("n")).first()[0]
+            if lost:
+                raise checks.OrphanViolation(f"{lost} rows of {spec.fact.name} have no row in {spec.dim.name}")
         for name, build in spec.mart_steps:  # X4: further mart steps, in order
             frames[name] = build(cleaned)
         if changed:
@@ -436,9 +474,10 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None) -> Stag
             frames[name] = frames[name].observe(observations[name], F.count(F.lit(1)).alias("n"))
         store.publish(frames)
         written = sum(o.get["n"] for n, o in observations.items() if n != staging_table(spec))
-        result = StageResult(
-            run.run_id, "transform", rows_read=read if read is not None else staging.count(), rows_written=written
-        )
+        read = read if read is not None else staging.count()
+        state = [(store.current(staging_table(spec))[1], read, _now())]
+        store.append(transformed_table(spec), spark.createDataFrame(state, TRANSFORMED_SCHEMA))
+        result = StageResult(run.run_id, "transform", rows_read=read, rows_written=written)
     except Exception as exc:
         run.failure(str(exc))
         raise
