@@ -204,7 +204,7 @@ def compare_neighbours(
     docs = docs.withColumn("_bucket", _bucket(F.col("_id"), bounds))
     # The first document of each range is the guard of the non-empty range before it, in a circle.
     least = docs.groupBy("_bucket").agg(F.min("_id").alias("_id"))
-    heads = docs.join(least, ["_bucket", "_id"])
+    heads = docs.join(F.broadcast(least), ["_bucket", "_id"])  # a row per range, of which there are at most ``parts``
     one = Window.partitionBy("_bucket").orderBy(F.hash("_text"), "_text")
     heads = heads.withColumn("_k", F.row_number().over(one)).filter("_k = 1")
     order = Window.orderBy("_bucket")
