@@ -80,9 +80,10 @@ def find_phrases(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFra
     """
     terms = items.select(F.explode("words").alias("term")).distinct()
     postings = positional_index(docs, terms)
-    freq = postings.groupBy("term").agg(F.count("*").alias("df"))
+    freq = materialize(postings.groupBy("term").agg(F.count("*").alias("df")), "frequencies")
     windows = windows_of(items, freq, window)
     anchors = windows.select("no", F.explode("rare").alias("r")).select("no", F.col("r.at").alias("at"), F.col("r.term").alias("term")).distinct()
+    anchors = _small(anchors, F.octet_length("term") + 48)
     hits = postings.join(anchors, "term").select(*DOC, "no", (F.col("pos") - F.col("at")).alias("diag"), "at")
     hits = hits.groupBy(*DOC, "no", "diag").agg(F.collect_set("at").alias("seen"))
     needs = windows.groupBy("no").agg(F.collect_set(F.array(F.col("rare")[0]["at"], F.element_at("rare", -1)["at"])).alias("pairs"))
@@ -124,11 +125,13 @@ def decontaminate(
     joined = joined.select(
         "_row", "_n", F.size(hit).cast("long").alias("_hit"), F.sort_array(F.array_distinct(F.transform("_met", lambda m: m["item"]))).alias("_items")
     )
-    return joined.select(
+    out = joined.select(
         *[F.col("_row").getField(c).alias(c) for c in names],
         F.col("_n").alias("n_words"), F.col("_hit").alias("n_hit"), F.col("_items").alias("items"), F.size("_items").cast("long").alias("n_items"),
         ((F.col("_hit") > 0) & (F.col("_hit") * 20 >= F.col("_n"))).alias("contaminated"),
     )
+    # Behind a one-row generator: a caller's filter is not pushed below it, which would copy the comparison into itself.
+    return out.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in out.columns]))))
 
 
 def near_phrases(docs: DataFrame, items: DataFrame, reach: int) -> DataFrame:
