@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tidemark.llm import queries as Q
 from tidemark.llm.decontam import decontaminate, item_words, near_phrases
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import count_tokens, mix_sources, probabilities, rake, topic_of
+from tidemark.llm.oracle import ORACLE as LLM_ORACLE
 from tidemark.llm.quality import classify, fit_logistic, shrunken_rates
 from tidemark.llm.sharding import shuffle_into_shards, write_shards
 from tidemark.llm.token_records import frame as record_frame
@@ -388,3 +390,15 @@ def test_entry_registers_every_operator():
 
     names = set(E.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(LLM_ORACLE[name])
+    columns = [d[0] for d in want.description]
+    got = Q.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())

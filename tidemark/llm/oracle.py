@@ -1,3 +1,51 @@
-"""DuckDB SQL for the queries that SQL can express over whole tables."""
+"""DuckDB SQL for the queries that SQL can express over whole tables.
 
-ORACLE: dict[str, str] = {}
+The others rest on fitted models, components, 64-bit hashes or seeded
+permutations; tests/llm holds them against plain Python.
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _split(text: str, breaks: str) -> str:
+    return rf"list_filter(string_split_regex(coalesce({text}, ''), '{breaks}'), lambda x: x <> '')"
+
+
+_SPACES = r"[\x20\x09-\x0D]+"
+_BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_split("text", _SPACES)} AS ws FROM documents),
+starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM starts),
+again AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows WHERE h IN (SELECT h FROM again)),
+words AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS text, count(*) AS n FROM words
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = words.doc_id AND gone.p = words.p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op6_decontamination": f"""
+WITH d AS (SELECT doc_id, {_split(f"translate(text, '{_UPPER}', '{_LOWER}')", _BREAKS)} AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_split(f"translate(text, '{_UPPER}', '{_LOWER}')", _BREAKS)} AS ws FROM benchmark),
+b2 AS (SELECT item, ws, least(13, len(ws)) AS size, unnest(range(1, greatest(len(ws) - 11, 2))) AS i FROM b WHERE len(ws) > 0),
+phrases AS (SELECT DISTINCT item, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM b2),
+sizes AS (SELECT DISTINCT size FROM phrases),
+d2 AS (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d JOIN sizes ON len(ws) >= size),
+met AS (
+  SELECT doc_id, i, d2.size, item FROM (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM d2) d2
+  JOIN phrases ON phrases.size = d2.size AND phrases.phrase = d2.phrase
+),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM met) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id""",
+}
