@@ -16,11 +16,14 @@ every document under these links.
   a bounded sample; the order affects the cost, not the result).
 * Equal sets collapse to one representative before all this.
 * Pass 1 pairs each member of a cell with the cell's least member: linear, and
-  enough to join most groups of copies. Pass 2 takes the cells that still hold
-  documents of different components and searches each cell's R-tree for pairs
-  across components. A cell too large for one task is split into pairs of
-  blocks, which together hold all its pairs. Nothing is capped.
-* Pairs whose count vectors allow a link are verified on the whole texts.
+  enough to join most groups of copies; it need not find every link. Pass 2
+  takes all cells that still hold documents of different components and
+  searches each cell's R-tree for pairs across components. A cell too large for
+  one task is split into pairs of blocks, which together hold all its pairs.
+  Nothing is capped.
+* Linked sets share many cells (see ``_verified``), so pairs that meet in a
+  passage only are dropped by counting; pairs whose count vectors allow a link
+  are then verified on the whole texts.
 
 Links between documents that pass 1 has joined already are not enumerated, for
 they cannot change a component. Components are found by hooking to the least
@@ -98,7 +101,7 @@ def _common(batches, width: int):
             yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(count)], ["h", "c"])
 
 
-def _profile(batches, width: int, percent: int, frequent: np.ndarray, rank: np.ndarray):
+def _profile(batches, width: int, percent: int, frequent: np.ndarray, rank: np.ndarray, bits: int):
     for batch in batches:
         for i, j, buf, bounds in chunks(text_column(batch, "_text")):
             h, doc = shingle_sets(buf, bounds, width, frequent, rank)
@@ -114,7 +117,7 @@ def _profile(batches, width: int, percent: int, frequent: np.ndarray, rank: np.n
             size = prefix_size(n, percent)
             flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - begin, size)
             offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            tokens = (h[flat] >> U64(16)).view(np.int64)  # 48 bits: a clash only adds a candidate
+            tokens = (h[flat] >> U64(64 - bits)).view(np.int64)  # a clash only adds a candidate
             yield pa.RecordBatch.from_arrays(
                 [
                     *[c.slice(i, rows) for c in (batch.column(0), batch.column(1))], pa.array(n.astype(np.int32)), *[pa.array(p) for p in prints],
@@ -163,40 +166,59 @@ class RTree:
         return found[np.minimum(self.points[found], p).sum(1) >= need(self.sizes[found], n, percent)]
 
 
-def _search_cells(batches, percent: int):
-    """Rows come ordered by cell; emits pairs (a, b) of different components that may link."""
+def _search_cells(batches, percent: int, flush: int = 200_000):
+    """Rows come ordered by cell; emits (a, b, cells): pairs of different components that may link, and in how many
+    cells they met (added up as far as one task saw them together)."""
+    found: list = [[], []]
     rows: list = []
-    cell = None
-
-    def pairs(rows):
-        v = np.array([r[3] for r in rows], dtype=np.int64)
-        if len(v) < 2:
-            return
-        comp = np.array([r[4] for r in rows], dtype=np.int64)
-        side = np.array([r[6] for r in rows], dtype=np.int64)
-        sizes = np.array([r[5] for r in rows], dtype=np.int64)
-        points = np.frombuffer(b"".join(r[7] for r in rows), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
-        tree = RTree(points, sizes)
+    cell, size = None, 0
+
+    def search(rows):
+        if len(rows) < 2 or all(x[4] == rows[0][4] for x in rows):
+            return 0
+        v = np.array([x[3] for x in rows], dtype=np.int64)
         split = rows[0][1] != rows[0][2]  # a pair of blocks: only pairs across them
-        a, b = [], []
+        if len(rows) == 2:
+            if not split or rows[0][6] != rows[1][6]:
+                found[0].append(v.min(keepdims=True))
+                found[1].append(v.max(keepdims=True))
+            return 1
+        comp = np.array([x[4] for x in rows], dtype=np.int64)
+        side = np.array([x[6] for x in rows], dtype=np.int64)
+        sizes = np.array([x[5] for x in rows], dtype=np.int64)
+        points = np.frombuffer(b"".join(x[7] for x in rows), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
+        tree = RTree(points, sizes)
+        n = 0
         for q in range(len(v)):
             near = tree.search(q, percent)
             near = near[(v[near] > v[q]) & (comp[near] != comp[q])]
             if split:
                 near = near[side[near] != side[q]]
-            a.append(np.full(len(near), v[q]))
-            b.append(v[near])
-        a, b = np.concatenate(a), np.concatenate(b)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            found[0].append(np.full(len(near), v[q]))
+            found[1].append(v[near])
+            n += len(near)
+        return n
+
+    def counted():
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+        found[:] = [[], []]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
+        count = np.diff(np.append(new, len(a)))
+        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(count)], ["a", "b", "cells"])
 
     for batch in batches:
-        for r in zip(*[batch.column(k).to_pylist() for k in range(8)], strict=True):
-            if r[:3] != cell:
-                yield from pairs(rows)
-                rows, cell = [], r[:3]
-            rows.append(r)
-    yield from pairs(rows)
+        for x in zip(*[batch.column(k).to_pylist() for k in range(8)], strict=True):
+            if x[:3] != cell:
+                size += search(rows)
+                rows, cell = [], x[:3]
+                if size >= flush:
+                    yield counted()
+                    size = 0
+            rows.append(x)
+    search(rows)
+    yield counted()
 
 
 def _verify(batches, width: int, percent: int):
@@ -241,12 +263,22 @@ def _vertex(df: DataFrame, id_col: str, text_col: str) -> Column:
 
 
 def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) that link: bounded by their count vectors, then compared on the texts in ``docs``(_v, _text)."""
+    """The pairs (a, b, cells) that link: bounded by the cells they share and by their count vectors, then compared on
+    the texts in ``docs``(_v, _text).
+
+    Of the two prefixes, take the one that ends first in the order: what it shares with the other set lies in the other
+    prefix too. At most n - need of its shingles are not shared, so linked sets meet in at least
+    prefix - (n - need) cells (2 less, for clashing names of shingles).
+    """
     for end in ("a", "b"):
         pairs = pairs.join(points.select(F.col("_v").alias(end), F.col("n").alias(f"n_{end}"), F.col("vec").alias(f"vec_{end}")), end)
-    fits = F.least("n_a", "n_b").cast("long") * 100 >= F.greatest("n_a", "n_b").cast("long") * percent
+    least, most = F.least("n_a", "n_b").cast("long"), F.greatest("n_a", "n_b").cast("long")
+    overlap = F.ceil((least + most) * percent / (100 + percent))
+    fits = (least * 100 >= most * percent) & (F.col("cells") + 2 >= overlap - F.ceil(most * percent / 100) + 1)
     pairs = pairs.filter(fits).select("a", "b", "n_a", "n_b", "vec_a", "vec_b").mapInArrow(partial(_bounded, percent=percent), "a long, b long")
     pairs = materialize(pairs, f"{name}-bounded")
+    ids = materialize(pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v"))).distinct(), f"{name}-ids")
+    docs = materialize(docs.join(ids, "_v", "left_semi"), f"{name}-texts")  # the texts of few documents
     first = docs.join(pairs, docs["_v"] == pairs["a"]).select("a", "b", F.col("_text").alias("text_a"))
     both = docs.join(first, docs["_v"] == first["b"]).select("a", "b", "text_a", F.col("_text").alias("text_b"))
     return materialize(both.mapInArrow(partial(_verify, width=width, percent=percent), "a long, b long").distinct(), f"{name}-links")
@@ -255,7 +287,10 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, width: int,
 def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """(_v, _th, n, c): each document's vertex, text hash, set size and least reachable vertex."""
     docs = df.select(_vertex(df, id_col, text_col).alias("_v"), F.hash(F.col(text_col)).alias("_th"), F.col(text_col).alias("_text"))
-    total = docs.count()
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("_text")).alias("bytes")).first()
+    total = size["n"]
+    # Names of cells: short, but 64 times as many as there are shingles in prefixes (about one in 24 bytes).
+    bits = min(62, max(24, int((size["bytes"] or 0) // 24).bit_length() + 6))
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
     some = docs.filter(F.pmod(F.xxhash64("_v", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     often = some.mapInArrow(partial(_common, width=width), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter("c >= 3")
@@ -264,7 +299,7 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by = np.argsort(frequent)
     rank = np.minimum(63, 1 + np.log2(np.array([r["c"] for r in often], dtype=float) + 1) * 4).astype(np.int64) if often else np.zeros(0, np.int64)
     profile = docs.mapInArrow(
-        partial(_profile, width=width, percent=percent, frequent=frequent[by], rank=rank[by]),
+        partial(_profile, width=width, percent=percent, frequent=frequent[by], rank=rank[by], bits=bits),
         "_v long, _th int, n int, f1 long, f2 long, vec binary, prefix array<long>",
     )
     profile = materialize(profile, "profile")
@@ -273,31 +308,34 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = materialize(rows.groupBy("n", "f1", "f2").agg(F.min("_v").alias("rep")), "classes")
     members = rows.select("_v", "_th", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("_v", "_th", "rep")
     least = classes.select(F.col("rep").alias("_v"), "n", "f1", "f2")
-    reps = rows.join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
-    points = materialize(reps.select("_v", "n", "vec"), "points")
+    points = rows.select("_v", "n", "f1", "f2", "vec").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
+    points = materialize(points.select("_v", "n", "vec"), "points")
 
-    postings = reps.select(F.explode("prefix").alias("t"), "_v")
-    shared = postings.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1").select("t")
-    shared = materialize(shared, "shared")
-    cells = materialize(postings.join(shared, "t", "left_semi"), "cells")
+    # Most shingles of prefixes are in one document only; they go before representatives are put in.
+    postings = rows.select(F.explode("prefix").alias("t"), "_v")
+    shared = materialize(postings.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1").select("t"), "shared")
+    cells = materialize(postings.join(shared, "t", "left_semi"), "postings")
+    cells = cells.join(members.select("_v", "rep").distinct(), "_v").select("t", F.col("rep").alias("_v")).distinct()
+    cells = materialize(cells, "cells")
 
     # Pass 1: every member with the least member of its cell.
     leaders = materialize(cells.groupBy("t").agg(F.min("_v").alias("a")), "leaders")
-    stars = cells.join(leaders, "t").filter("a != _v").select("a", F.col("_v").alias("b")).distinct()
+    stars = cells.join(leaders, "t").filter("a != _v").groupBy("a", F.col("_v").alias("b")).agg(F.count("*").alias("cells"))
     links = _verified(stars, points, docs.select("_v", "_text"), width, percent, "stars")
     joined = components(links)
 
     # Pass 2: pairs across components in the cells that hold several.
     told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", F.coalesce("c", "_v").alias("c"))
     told = materialize(told, "told")
-    mixed = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).filter("lo != hi AND size > 2")
+    mixed = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
     mixed = materialize(mixed.select("t", F.ceil(F.col("size") / CELL).cast("int").alias("blocks")), "mixed")
     open_cells = told.join(mixed, "t").join(points, "_v")
     block = F.pmod(F.xxhash64("_v"), F.col("blocks")).cast("int")
     open_cells = open_cells.select("t", "_v", "c", "n", "vec", block.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     open_cells = open_cells.select("t", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "_v", "c", "n", "side", "vec")
     open_cells = open_cells.repartition("t", "lo", "hi").sortWithinPartitions("t", "lo", "hi")
-    across = open_cells.mapInArrow(partial(_search_cells, percent=percent), "a long, b long").distinct()
+    across = open_cells.mapInArrow(partial(_search_cells, percent=percent), "a long, b long, cells long")
+    across = across.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
     more = _verified(across, points, docs.select("_v", "_text"), width, percent, "across")
     joined = components(links.unionAll(more))
 
