@@ -17,8 +17,8 @@ table, for reads in any order. A file is written under a name of its own and
 renamed when complete, so a retried task leaves no half file.
 
 Encoding splits a text before white space that follows a visible character,
-where no token of a byte-level BPE can span, encodes each distinct piece of a
-chunk of texts once and puts the ids together again: the same ids as for whole
+where no token of a byte-level BPE can span, encodes each distinct piece that a
+task meets once and puts the ids together again: the same ids as for whole
 texts. Null text is empty and has only the end id. Repeated ids keep an order by
 text; repeated rows are all written.
 """
@@ -41,8 +41,9 @@ from tidemark.llm.common import SPACES, chunks, materialize, shared_dir, span_ha
 
 MASK_DELTA = 0xA282EAD8
 NO_ID = (1 << 32) - 1
-ENCODE_BYTES = 8 << 20  # texts encoded together
-PIECE_BYTES = 128 << 10  # joined distinct pieces per call of the tokenizer
+ENCODE_BYTES = 4 << 20  # texts encoded together
+KNOWN_PIECES = 4 << 20  # pieces a task remembers; then it starts anew
+PIECE_BYTES = 16 << 10  # joined distinct pieces per call of the tokenizer
 
 
 # ------------------------------------------------------------------ records
@@ -109,6 +110,19 @@ class Encoder:
         self.sizes = np.zeros(max(names.values()) + 1, dtype=np.int64)
         for name, i in names.items():
             self.sizes[i] = len(name)  # byte-level: one character a byte
+        self.forget()
+
+    def forget(self) -> None:
+        """No pieces are known: sorted names, where their ids begin in ``flat`` and how many they are."""
+        self.keys, self.offset, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each name stands among the known ones, and whether it is one of them."""
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        return at, known
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -123,7 +137,8 @@ class Encoder:
         # A piece runs from the end of the word before it, or the start of its text, to the end of its word;
         # white space at the end of a text is a piece of its own. No cut follows a wider white-space character.
         cut = ends[~_wide_space(buf, ends)]
-        edges = np.unique(np.concatenate((cut, bounds)))
+        edges = np.sort(np.concatenate((cut, bounds)), kind="stable")
+        edges = edges[np.append(True, edges[1:] != edges[:-1])]
         lo, hi = edges[:-1], edges[1:]
         text = np.searchsorted(bounds, lo, "right") - 1
         keys = np.empty(len(lo), dtype=np.uint64)
@@ -133,32 +148,51 @@ class Encoder:
             base = lo[i]
             keys[i:j] = span_hash(buf[base : hi[j - 1]].astype(np.uint64) + np.uint64(1), lo[i:j] - base, hi[i:j] - base)
             i = j
-        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        a, b = lo[first], hi[first]
+        names, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.keys) + len(names) > KNOWN_PIECES:
+            self.forget()
+        _, known = self._find(names)
+        if not known.all():
+            self._learn(buf, names[~known], lo[first[~known]], hi[first[~known]])
+        at, _ = self._find(names)
+        offset, length, flat = self.offset[at], self.length[at], self.flat
+        count = length[which]
+        total = np.cumsum(count)
+        pick = np.arange(total[-1]) - np.repeat(total - count - offset[which], count)
+        per_text = np.bincount(text, weights=count, minlength=n_texts).astype(np.int64)
+        return flat[pick], per_text
+
+    def _learn(self, buf: np.ndarray, names: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Encode the pieces buf[a:b] and add them to the known ones."""
         joinable = SPACES[buf[a]] & ~SPACES[buf[b - 1]] & ~_wide_space(buf, b)
-        parts: list = [None] * len(first)
+        flat: list[np.ndarray] = []
+        offset, length, done = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64), len(self.flat)
         alone = np.flatnonzero(~joinable)
         for k, ids in zip(alone, self.many([bytes(buf[a[k] : b[k]]).decode() for k in alone]), strict=True):
-            parts[k] = ids
+            offset[k], length[k] = done, len(ids)
+            flat.append(ids)
+            done += len(ids)
         together = np.flatnonzero(joinable)
         size = np.cumsum(b[together] - a[together])
         i = 0
         while i < len(together):
             j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + PIECE_BYTES, "right")))
             some = together[i:j]
-            (ids,) = self.many([b"".join(bytes(buf[a[k] : b[k]]) for k in some).decode()])
-            at = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(b[some] - a[some]), "left") + 1
-            for k, part in zip(some, np.split(ids, at[:-1]), strict=True):
-                parts[k] = part
+            n = b[some] - a[some]
+            ends = np.cumsum(n)
+            where = np.arange(ends[-1]) + np.repeat(a[some] - (ends - n), n)
+            (ids,) = self.many([buf[where].tobytes().decode()])
+            at = np.searchsorted(np.cumsum(self.sizes[ids]), ends, "left") + 1
+            length[some] = np.diff(at, prepend=0)
+            offset[some] = done + at - length[some]
+            flat.append(ids)
+            done += len(ids)
             i = j
-        length = np.array([len(p) for p in parts], dtype=np.int64)
-        flat = np.concatenate(parts)
-        offset = np.cumsum(length) - length
-        count = length[which]
-        total = np.cumsum(count)
-        pick = np.arange(total[-1]) - np.repeat(total - count - offset[which], count)
-        per_text = np.bincount(text, weights=count, minlength=n_texts).astype(np.int64)
-        return flat[pick], per_text
+        self.flat = np.concatenate([self.flat, *flat])
+        where = np.searchsorted(self.keys, names)
+        self.keys, self.offset, self.length = (
+            np.insert(x, where, y) for x, y in ((self.keys, names), (self.offset, offset), (self.length, length))
+        )
 
 
 def _wide_space(buf: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -274,7 +308,7 @@ class RecordSet:
 
 
 def write_records(
-    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocab: int = 50257, file_bytes: int = 16 << 20
+    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocab: int = 50257, file_bytes: int = 48 << 20
 ) -> RecordSet:
     """Encode every whole text of ``df``, append ``end_id`` and write the records in ascending order of the id.
 
