@@ -15,8 +15,9 @@ every document under these links.
   documents with one such shingle. Frequent shingles come last in the order (by
   a bounded sample; the order affects the cost, not the result).
 * Equal sets collapse to one representative before all this.
-* Pass 1 pairs each member of a cell with the cell's least member: linear, and
-  enough to join most groups of copies; it need not find every link. Pass 2
+* Pass 1 pairs each member of a cell with one other member, in a few turns with
+  other leaders each: linear, and enough to join most groups of copies; it need
+  not find every link. Pass 2
   takes all cells that still hold documents of different components and
   searches each cell's R-tree for pairs across components. A cell too large for
   one task is split into pairs of blocks, which together hold all its pairs.
@@ -50,6 +51,7 @@ SAMPLE_DOCS = 10_000
 MAX_FREQUENT = 200_000  # shingles put last in the order
 LEAF = 32  # points in an R-tree leaf
 CELL = 2048  # documents of a cell searched in one task
+TURNS = 3  # of pass 1; more turns leave fewer pairs to pass 2, which finds whatever links are left
 NO_ID = 1 << 62  # vertices of documents without an id
 
 
@@ -318,15 +320,21 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cells = cells.join(members.select("_v", "rep").distinct(), "_v").select("t", F.col("rep").alias("_v")).distinct()
     cells = materialize(cells, "cells")
 
-    # Pass 1: every member with the least member of its cell.
-    leaders = materialize(cells.groupBy("t").agg(F.min("_v").alias("a")), "leaders")
-    stars = cells.join(leaders, "t").filter("a != _v").groupBy("a", F.col("_v").alias("b")).agg(F.count("*").alias("cells"))
-    links = _verified(stars, points, docs.select("_v", "_text"), width, percent, "stars")
-    joined = components(links)
+    # Pass 1: every member with one member of its cell, the first in an order that changes each turn.
+    links, told = None, cells.select("t", "_v", F.col("_v").alias("c"))
+    for turn in range(TURNS):
+        order = F.xxhash64(F.lit(turn), F.col("_v"))
+        leaders = told.groupBy("t").agg(F.min_by("_v", order).alias("a"), F.min_by("c", order).alias("ca"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+        leaders = materialize(leaders.filter("lo != hi").select("t", "a", "ca"), "leaders")
+        stars = told.join(leaders, "t").filter("c != ca")
+        stars = stars.groupBy(F.least("a", "_v").alias("a"), F.greatest("a", "_v").alias("b")).agg(F.count("*").alias("cells"))
+        found = _verified(stars, points, docs.select("_v", "_text"), width, percent, f"stars{turn}")
+        links = found if links is None else links.unionAll(found)
+        joined = components(links)
+        told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", F.coalesce("c", "_v").alias("c"))
+        told = materialize(told, "told")
 
     # Pass 2: pairs across components in the cells that hold several.
-    told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", F.coalesce("c", "_v").alias("c"))
-    told = materialize(told, "told")
     mixed = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
     mixed = materialize(mixed.select("t", F.ceil(F.col("size") / CELL).cast("int").alias("blocks")), "mixed")
     open_cells = told.join(mixed, "t").join(points, "_v")
