@@ -309,6 +309,46 @@ def test_op8_on_the_small_tables(spark):
     assert {r["doc_id"]: r["kept_sha256"] for r in Q.op8_line_dedup(spark, SF).collect()} == want
 
 
+def brute_copies(texts, min_docs=5):
+    """Of each text, the lines dropped by brute_lines, and those that min_docs texts have token for token."""
+    docs_of = defaultdict(set)
+    for d, t in enumerate(texts):
+        for x in (t or "").split("\n"):
+            docs_of[tuple(x.encode().split())].add(d)
+    dropped = {k for k, v in docs_of.items() if k and len(v) >= min_docs}
+    out = []
+    for t, kept in zip(texts, brute_lines(texts), strict=True):
+        left = iter(kept.split("\n") + [None])  # the kept lines are a subsequence of the lines
+        nxt, lines = next(left), []
+        for x in (t or "").split("\n"):
+            if x == nxt:
+                nxt = next(left)
+                if tuple(x.encode().split()) not in dropped:
+                    lines.append(x)
+        out.append("\n".join(lines))
+    return out
+
+
+def test_exact_lines_are_dropped_at_any_length(spark):
+    texts = awkward()
+    for k in range(6):
+        texts.append("\n".join([prose(70 + k, 12), "Menu", "short  one" if k % 2 else "short one", "版权所有不得转载", "call 555 0100 or 555 0199 0r 1", f"day {k}", "", "few" if k < 4 else "less"]))
+    texts += ["few\nfew\nfew", "All  is one"]
+    rows = {r["doc_id"]: r for r in dedup_lines(frame(spark, texts), exact=True).collect()}
+    assert [rows[i]["text"] for i in range(len(texts))] == brute_copies(texts)
+    first = rows[len(awkward())]
+    assert first["n_dropped"] == 5 and first["text"].split("\n")[1:3] == ["day 0", ""]
+    repeated = frame(spark, ["Menu"] * 6, [1, 1, 1, 1, None, None])
+    assert {r["n_dropped"] for r in dedup_lines(repeated, exact=True).collect()} == {0}
+    assert dedup_lines(repeated.limit(0), exact=True).count() == 0
+
+
+def test_op8_drops_short_lines_that_recur(spark):
+    docs = Q.table(spark, SF, "documents").select("doc_id", "text").collect()
+    want = {d["doc_id"]: hashlib.sha256(t.encode()).hexdigest() for d, t in zip(docs, brute_copies([d["text"] for d in docs]), strict=True)}
+    assert {r["doc_id"]: r["kept_sha256"] for r in Q.op8_line_dedup(spark, SF).collect()} == want
+
+
 # --------------------------------------------------------------------- mixing
 def test_rake_meets_all_marginals():
     rng = np.random.default_rng(2)

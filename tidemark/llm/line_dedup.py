@@ -9,14 +9,18 @@ documents is boilerplate, and its lines are dropped.
 1. Leaves are counted by documents; leaves below ``min_docs`` cannot recur.
 2. Lines of the other leaves (token hashes only) give counts per (leaf,
    position, token), which fix the variables, and then of documents per template.
-3. The dropped line numbers are joined to the texts.
+3. With ``exact``, every non-blank line enters the tree, and a line that
+   ``min_docs`` documents have word for word is dropped as well, however short
+   it is and whatever its share of variables. Lines are counted per (leaf, line)
+   first; documents only of the lines that this leaves.
+4. The dropped line numbers are joined to the texts.
 
 All counts combine before the shuffle, so a line that a third of the documents
 share costs a row per task; no leaf is ever collected.
 
 Null text is empty. Blank lines stay and are not counted as lines. Lines of
-fewer than ``min_tokens`` tokens stay. Repeated rows (same id and text) are one
-document. Ties do not arise: the result depends on counts only.
+fewer than ``min_tokens`` tokens have no template: they stay, unless ``exact``
+drops them. Repeated rows (same id and text) are one document. Ties do not arise: the result depends on counts only.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, chunks, id_key, materialize, mix, other_columns, text_column, word_hash, word_spans, words_per_text
+from tidemark.llm.common import U64, chunks, id_key, materialize, mix, other_columns, span_hash, text_column, word_hash, word_spans, words_per_text
 
 VARIABLE = U64(0x2545F4914F6CDD1D)
 DIGIT = np.zeros(256, dtype=np.int64)
@@ -36,7 +40,7 @@ DIGIT[48:58] = 1
 
 
 def parse_lines(buf: np.ndarray, bounds: np.ndarray, depth: int, min_tokens: int) -> dict[str, np.ndarray]:
-    """Of each line with enough tokens: row (text), line number, leaf, and its tokens' hashes as a flat array with offsets."""
+    """Of each line with enough tokens: row (text), line number, leaf, hash of the whole line, and its tokens' hashes as a flat array with offsets."""
     starts, ends = word_spans(buf, bounds)
     at = words_per_text(starts, bounds)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(at))
@@ -48,6 +52,7 @@ def parse_lines(buf: np.ndarray, bounds: np.ndarray, depth: int, min_tokens: int
     count = np.diff(np.append(first, len(starts)))
     digits = np.concatenate(([0], np.cumsum(DIGIT[buf])))
     names = word_hash(buf, starts, ends)
+    spelt = names.copy()
     names[digits[ends] > digits[starts]] = VARIABLE
     ok = count >= min_tokens
     first, count = first[ok], count[ok]
@@ -56,7 +61,7 @@ def parse_lines(buf: np.ndarray, bounds: np.ndarray, depth: int, min_tokens: int
         leaf = np.where(count > k, mix(leaf * U64(0x9FB21C651E98DF25) + names[np.minimum(first + k, max(len(names) - 1, 0))]), leaf) if len(first) else leaf
     offsets = np.concatenate(([0], np.cumsum(count)))
     flat = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - first, count)
-    return {"row": doc[first], "line": line[first], "leaf": leaf, "offsets": offsets, "tokens": (names[flat] >> U64(32)).astype(np.uint32).view(np.int32)}
+    return {"row": doc[first], "line": line[first], "leaf": leaf, "same": span_hash(spelt, first, first + count), "offsets": offsets, "tokens": (names[flat] >> U64(32)).astype(np.uint32).view(np.int32)}
 
 
 # ------------------------------------------------------------------ task side
@@ -68,8 +73,8 @@ def _emit(batches, depth: int, min_tokens: int, tokens: bool):
             cols = [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(r["leaf"].view(np.int64))]
             names = ["_id", "_th", "leaf"]
             if tokens:
-                cols += [pa.array(r["line"].astype(np.int32)), pa.ListArray.from_arrays(pa.array(r["offsets"].astype(np.int32)), pa.array(r["tokens"]))]
-                names += ["line", "tokens"]
+                cols += [pa.array(r["same"].view(np.int64)), pa.array(r["line"].astype(np.int32)), pa.ListArray.from_arrays(pa.array(r["offsets"].astype(np.int32)), pa.array(r["tokens"]))]
+                names += ["same", "line", "tokens"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
 
@@ -90,18 +95,19 @@ def _drop(batches):
 
 # ---------------------------------------------------------------- driver side
 def dedup_lines(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 2, min_docs: int = 5, min_constant: float = 0.6, min_tokens: int = 3
-) -> DataFrame:
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 2, min_docs: int = 5, min_constant: float = 0.6, min_tokens: int = 3,
+    exact: bool = False,
+) -> DataFrame:
     """The other columns of ``df``, the kept lines as ``text_col``, and n_lines and n_dropped (replaced if there)."""
     key = [id_key(df, id_col).alias("_id"), F.hash(F.col(text_col)).alias("_th")]
     docs = df.select(*key, F.col(text_col).alias("_text"))
     kind = docs.schema["_id"].dataType.simpleString()
-    emit = partial(_emit, depth=depth, min_tokens=min_tokens)
+    emit = partial(_emit, depth=depth, min_tokens=1 if exact else min_tokens)
     leaves = docs.mapInArrow(partial(emit, tokens=False), f"_id {kind}, _th int, leaf long").distinct()
     leaves = materialize(leaves.groupBy("leaf").agg(F.count("*").alias("c")).filter(F.col("c") >= min_docs).select("leaf"), "leaves")
-    lines = docs.mapInArrow(partial(emit, tokens=True), f"_id {kind}, _th int, leaf long, line int, tokens array<int>")
+    lines = docs.mapInArrow(partial(emit, tokens=True), f"_id {kind}, _th int, leaf long, same long, line int, tokens array<int>")
     lines = materialize(lines.join(leaves, "leaf", "left_semi"), "lines")
-    each = lines.select("leaf", "_id", "_th", "line", F.posexplode("tokens").alias("pos", "token"))
+    each = lines.filter(F.size("tokens") >= min_tokens).select("leaf", "_id", "_th", "line", F.posexplode("tokens").alias("pos", "token"))
     each = each.filter(F.col("token") != int((np.array([VARIABLE]) >> U64(32)).astype(np.uint32).view(np.int32)[0]))
     votes = each.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th")).alias("a"), F.max(F.struct("_id", "_th")).alias("b"))
     votes = votes.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf", "pos", "token")
@@ -112,8 +118,16 @@ def dedup_lines(
     told = fixed.join(sizes, ["leaf", "_id", "_th", "line"]).filter(F.col("n") >= F.col("size") * min_constant)
     told = materialize(told.select("leaf", "template", "template2", "_id", "_th", "line"), "templates")
     common = told.select("leaf", "template", "template2", "_id", "_th").distinct().groupBy("leaf", "template", "template2").agg(F.count("*").alias("c"))
-    common = common.filter(F.col("c") >= min_docs).select("leaf", "template", "template2")
-    drop = told.join(common, ["leaf", "template", "template2"], "left_semi").groupBy("_id", "_th").agg(F.collect_set("line").alias("drop"))
+    common = materialize(common.filter(F.col("c") >= min_docs).select("leaf", "template", "template2"), "common")
+    gone = told.join(common, ["leaf", "template", "template2"], "left_semi").select("_id", "_th", "line")
+    if exact:
+        often = lines.groupBy("leaf", "same").agg(F.count("*").alias("c"))
+        often = materialize(often.filter(F.col("c") >= min_docs).select("leaf", "same"), "often")
+        copies = materialize(lines.select("leaf", "same", "_id", "_th", "line").join(often, ["leaf", "same"], "left_semi"), "copies")
+        shared = copies.select("leaf", "same", "_id", "_th").distinct().groupBy("leaf", "same").agg(F.count("*").alias("c"))
+        shared = materialize(shared.filter(F.col("c") >= min_docs).select("leaf", "same"), "shared")
+        gone = gone.union(copies.join(shared, ["leaf", "same"], "left_semi").select("_id", "_th", "line"))
+    drop = gone.groupBy("_id", "_th").agg(F.collect_set("line").alias("drop"))
     names = other_columns(df, [text_col, "n_lines", "n_dropped"])
     base = df.select(*key, F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text_col).alias("_text"))
     row = base.schema["_row"].dataType.simpleString()

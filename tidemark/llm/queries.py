@@ -69,7 +69,7 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
