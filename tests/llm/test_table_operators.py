@@ -388,6 +388,33 @@ def test_mixing_nulls_pooled_categories_and_empty(spark, monkeypatch):
     assert all(r["n"] == len((r["text"] or "").encode().split()) for r in rows) and rows[0]["t"] == "(none)"
 
 
+@pytest.mark.parametrize("given", [False, True])
+def test_mixing_every_category_has_its_own_target(spark, given):
+    texts = [prose(i, 5 + i % 9) + (" | x" if i % 5 == 0 else "") for i in range(1300)]
+    df = frame(spark, texts).withColumn("source", F.concat(F.lit("h"), F.floor(F.sqrt("doc_id") * 3.6))).cache()
+    cells, sources = Counter(), Counter()
+    for r in df.select("source", F.coalesce("lang", F.lit("(none)")).alias("l"), topic_of(F.col("text")).alias("t"), count_tokens(F.col("text")).alias("n")).collect():
+        cells[(r["source"], r["l"], r["t"])] += r["n"]
+        sources[r["source"]] += r["n"]
+    assert len(sources) > 101
+    wanted = {s: (1 + k % 3) for k, s in enumerate(sorted(sources))}
+    wanted = {s: v / sum(wanted.values()) for s, v in wanted.items()}
+    keys, tokens = list(cells), np.array(list(cells.values()), dtype=float)
+    codes, shares = [], []
+    for d in range(3):
+        found = sorted({k[d] for k in keys})
+        codes.append(np.array([found.index(k[d]) for k in keys]))
+        have = np.bincount(codes[-1], weights=tokens)
+        share = np.array([wanted[f] for f in found]) if given and d == 0 else have**0.7
+        shares.append(share / share.sum())
+    p, w = probabilities(tokens, rake(tokens, np.array(codes), shares), 0.6)
+    want = {k: (a, b) for k, a, b in zip(keys, p, w, strict=True)}
+    rows = mix_sources(df, {"source": wanted} if given else None, keep_share=0.6).collect()
+    assert 0.4 * len(texts) < len(rows) < 0.8 * len(texts)
+    for r in rows:
+        assert (r["probability"], r["weight"]) == pytest.approx(want[(r["source"], r["lang"] or "(none)", r["topic"])], rel=1e-6)
+
+
 def test_op9_on_the_small_tables(spark):
     rows = Q.op9_mixing(spark, SF).collect()
     total = Q.table(spark, SF, "documents").count()

@@ -9,9 +9,11 @@ takes away stays as ``weight``, so weighted tokens meet the targets in
 expectation.
 
 Targets are given as shares per category, or as a power of the dimension's own
-shares. A dimension has at most ``MAX_CATEGORIES`` categories of its own (those
-with a target, or the ones with most tokens); all others form one more. So the
-cells are bounded, and are raked on the driver; documents never are.
+shares. Every category has its own target; only those that given shares do not
+name form one category, which gets what the named ones leave. If no dimension has
+more than ``MAX_CATEGORIES`` categories, the cells are raked on the driver, else
+on Spark: the cells stay a table, a step is one grouped sum over them, and of
+each dimension a table of factors is carried from step to step.
 
 Null and empty categories form one category. Null text has no tokens; a document
 without tokens is drawn like its cell, or always if its cell has no tokens.
@@ -26,9 +28,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_key, other_columns
+from tidemark.llm.common import id_key, materialize, other_columns
 
-MAX_CATEGORIES = 100
+MAX_CATEGORIES = 100  # of each dimension, for raking on the driver
+KEYS = ("_s", "_l", "_t")
 OTHER, NONE = "(other)", "(none)"
 
 
@@ -89,6 +92,74 @@ def probabilities(tokens: np.ndarray, raked: np.ndarray, keep_share: float) -> t
     return p, np.divide(raw, p, out=np.ones_like(raw), where=p > 0)
 
 
+def rake_cells(cells: DataFrame, targets: list[dict[str, float] | float], keep_share: float, rounds: int = 200, within: float = 1e-9) -> DataFrame:
+    """``rake`` and ``probabilities`` on Spark: the keys of each cell with _p and _w. The driver sees sums only."""
+    spark = cells.sparkSession
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    factors = {}
+    for k, target in zip(KEYS, targets, strict=True):
+        own = cells.groupBy(k).agg(F.sum("tokens").alias("_have"))
+        if isinstance(target, dict):
+            given = {OTHER: max(0.0, 1 - sum(target.values()))} | target
+            own = own.join(spark.createDataFrame([(c, float(v)) for c, v in given.items()], f"{k} string, _share double"), k, "left").fillna(0.0, ["_share"])
+        else:
+            own = own.withColumn("_share", F.when(F.col("_have") > 0, F.pow(F.col("_have").cast("double"), F.lit(float(target)))).otherwise(0.0))
+        factors[k] = materialize(own.select(k, "_share", F.lit(1.0).alias(f"f{k}")), "factors")
+
+    def scaled() -> DataFrame:
+        out = cells
+        for k in KEYS:
+            out = out.join(factors[k].select(k, f"f{k}"), k)
+        return out.select(*KEYS, "tokens", (F.col("tokens") * F.col("f_s") * F.col("f_l") * F.col("f_t")).alias("_x"))
+
+    for _ in range(rounds if total > 0 else 0):
+        worst = 0.0
+        for k in KEYS:
+            step = materialize(scaled().groupBy(k).agg(F.sum("_x").alias("_have")).join(factors[k], k), "factors")
+            ratio = F.col("_share") / F.col("_have")
+            possible, most, least = step.filter("_have > 0").agg(F.sum("_share"), F.max(ratio), F.min(ratio)).first()
+            unit = total / max(possible or 0.0, 1e-300)
+            worst = max(worst, abs((most or 0.0) * unit - 1), abs((least or 0.0) * unit - 1))
+            factors[k] = step.select(k, "_share", (F.col(f"f{k}") * F.when(F.col("_have") > 0, ratio * unit).otherwise(1.0)).alias(f"f{k}"))
+        if worst < within:
+            break
+    raked = materialize(scaled(), "raked")
+    # the kept tokens are concave in the scale, so steps along the tangent rise to the goal and end after finitely many
+    goal, scale = keep_share * total, 0.0
+    least = raked.filter("tokens > 0 AND _x > 0").agg(F.min(F.col("_x") / F.col("tokens"))).first()[0]
+    while least:
+        full = F.col("_x") * scale >= F.col("tokens")
+        capped, free = raked.filter("tokens > 0 AND _x > 0").agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("_x")))).first()
+        after = min((goal - capped) / free, 1 / least) if free else 1 / least if goal > capped else scale
+        if after <= scale * (1 + 1e-12):
+            break
+        scale = after
+    raw = F.when(F.col("tokens") > 0, F.col("_x") / F.col("tokens") * scale).otherwise(1.0)
+    p = F.least(F.lit(1.0), raw)
+    return materialize(raked.select(*KEYS, p.alias("_p"), F.when(p > 0, raw / p).otherwise(1.0).alias("_w")), "probabilities")
+
+
+def _raked_on_driver(tally: DataFrame, targets: list[dict[str, float] | float], keep_share: float) -> DataFrame:
+    """``rake_cells`` for at most MAX_CATEGORIES**3 cells."""
+    cells = sorted(tally.select(*KEYS, "tokens").collect(), key=tuple)
+    tokens = np.array([c["tokens"] for c in cells], dtype=float)
+    codes, shares = [], []
+    for k, target in zip(KEYS, targets, strict=True):
+        found = sorted({c[k] for c in cells})
+        code = np.array([found.index(c[k]) for c in cells], dtype=np.int64)
+        have = np.bincount(code, weights=tokens, minlength=len(found))
+        if isinstance(target, dict):
+            given = {OTHER: max(0.0, 1 - sum(target.values()))} | target
+            share = np.array([given.get(c, 0.0) for c in found])
+        else:
+            share = np.array([h**target if h > 0 else 0.0 for h in have])
+        codes.append(code)
+        shares.append(share / share.sum() if share.sum() > 0 else share)
+    p, weight = probabilities(tokens, rake(tokens, np.array(codes), shares), keep_share) if len(cells) else (tokens, tokens)
+    table = [(*[c[k] for k in KEYS], float(a), float(w)) for c, a, w in zip(cells, p, weight, strict=True) if math.isfinite(a)]
+    return tally.sparkSession.createDataFrame(table, "_s string, _l string, _t string, _p double, _w double")
+
+
 def mix_sources(
     df: DataFrame, targets: dict[str, dict[str, float] | float] | None = None, id_col: str = "doc_id", text_col: str = "text",
     topic: Column | None = None, keep_share: float = 0.7, seed: int = 11,
@@ -108,34 +179,15 @@ def mix_sources(
         (F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_key(df, id_col), F.hash(F.col(text_col))), 11) / F.lit(float(1 << 53))).alias("_u"),
     )
     tally = rows.groupBy(*[f"_{d}" for d in dims]).agg(F.sum("_tokens").alias("tokens"))
-    own: dict[str, list[str]] = {}
-    for d in dims:
-        if isinstance(targets[d], dict):
-            own[d] = sorted(targets[d], key=lambda c: -targets[d][c])[:MAX_CATEGORIES]
-        else:
-            best = tally.groupBy(f"_{d}").agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), f"_{d}").limit(MAX_CATEGORIES)
-            own[d] = [r[0] for r in best.collect()]
-    pooled = {d: F.when(F.col(f"_{d}").isin(own[d]), F.col(f"_{d}")).otherwise(OTHER) if own[d] else F.lit(OTHER) for d in dims}
-    cells = tally.groupBy(*[pooled[d].alias(f"_{d}") for d in dims]).agg(F.sum("tokens").alias("tokens")).collect()  # at most (MAX_CATEGORIES + 1)**3
-    cells = sorted(cells, key=tuple)
-    tokens = np.array([c["tokens"] or 0 for c in cells], dtype=float)
-    codes, shares = [], []
-    for d in dims:
-        found = sorted({c[f"_{d}"] for c in cells})
-        code = np.array([found.index(c[f"_{d}"]) for c in cells], dtype=np.int64)
-        have = np.bincount(code, weights=tokens, minlength=len(found))
-        if isinstance(targets[d], dict):
-            rest = max(0.0, 1 - sum(targets[d].get(c, 0.0) for c in own[d]))
-            share = np.array([targets[d].get(c, rest if c == OTHER else 0.0) for c in found])
-        else:
-            share = np.array([h ** targets[d] if h > 0 else 0.0 for h in have])
-        codes.append(code)
-        shares.append(share / share.sum() if share.sum() > 0 else share)
-    p, weight = probabilities(tokens, rake(tokens, np.array(codes), shares), keep_share) if len(cells) else (tokens, tokens)
-    table = [(*[c[f"_{d}"] for d in dims], float(a), float(w)) for c, a, w in zip(cells, p, weight, strict=True) if math.isfinite(a)]
-    drawn = df.sparkSession.createDataFrame(table, "_s string, _l string, _t string, _p double, _w double")
-    rows = rows.select("_row", "_topic", "_tokens", "_u", *[pooled[d].alias(k) for d, k in zip(dims, ("_s", "_l", "_t"), strict=True)])
-    rows = rows.join(F.broadcast(drawn), ["_s", "_l", "_t"]).filter(F.col("_u") < F.col("_p"))
+    pooled = {d: F.when(F.col(f"_{d}").isin(list(targets[d])), F.col(f"_{d}")).otherwise(OTHER) if isinstance(targets[d], dict) else F.col(f"_{d}") for d in dims}
+    keyed = [pooled[d].alias(k) for d, k in zip(dims, KEYS, strict=True)]
+    tally = materialize(tally.groupBy(*keyed).agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")), "cells")
+    rows = rows.select("_row", "_topic", "_tokens", "_u", *keyed)
+    if max(tally.agg(*[F.count_distinct(k) for k in KEYS]).first()) > MAX_CATEGORIES:
+        drawn = rake_cells(tally, [targets[d] for d in dims], keep_share)
+    else:
+        drawn = F.broadcast(_raked_on_driver(tally, [targets[d] for d in dims], keep_share))
+    rows = rows.join(drawn, list(KEYS)).filter(F.col("_u") < F.col("_p"))
     return rows.select(
         *[F.col("_row").getField(c).alias(c) for c in names],
         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.col("_p").alias("probability"), F.col("_w").alias("weight"),
