@@ -10,7 +10,8 @@ its arcs are the tokens seen after it. With c the training counts and m the
 weighs log10 m / (c(h) + m): a token without an arc is reached by failing to
 shorter histories, down to the root, where p(w) = (c + 0.5) / (N + 0.5 (V + 1)).
 A text is traversed once, left to right: the state before a token is the history
-just read, the weights of the arcs taken add up.
+just read, the weights of the arcs taken add up. That defines the score; no states
+or arcs are stored, p(w | h) is interpolated from the counts, which is equal.
 
 The automaton grows with the corpus, so no task ever holds it whole. Texts are
 dealt to blocks of bounded size. A block sends each of its distinct n-grams
