@@ -71,6 +71,19 @@ def test_sparse_sites_shrink_to_their_prior(spark):
     assert all(abs(r["rate"] - 0.2) < 1e-6 for r in shrunken_rates(same, ["site"], "prior", "rate").collect())
 
 
+def test_quality_null_and_repeated_labelled_ids(judged, spark, monkeypatch):
+    import tidemark.llm.quality as M
+
+    df, labels, _, _ = judged
+    null = spark.createDataFrame([(None, 0, 1)], "doc_id long, quality int, toxic int")
+    assert M._bad(labels.union(null)).count() == M._bad(labels.filter("doc_id IS NOT NULL")).count() == 300
+    sizes, fit = [], M.fit_logistic
+    monkeypatch.setattr(M, "MIN_HELD", 10**9)  # fit on the whole sample
+    monkeypatch.setattr(M, "fit_logistic", lambda x, y: sizes.append(len(y)) or fit(x, y))
+    M.fit_quality(df.union(df.filter("doc_id = 3")).union(df.filter("doc_id = 3")), labels)
+    assert sizes == [300, 300]
+
+
 def test_logistic_fit_recovers_odds():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 2))

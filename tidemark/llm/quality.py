@@ -172,7 +172,7 @@ class QualityModel:
 
 def _bad(labels: DataFrame) -> DataFrame:
     """(_id, junk, toxic) of the labelled ids."""
-    bad = labels.select(id_key(labels, "doc_id").alias("_id"), (F.col("quality") == 0).cast("int").alias("junk"), (F.col("toxic") == 1).cast("int").alias("toxic"))
+    bad = labels.filter(F.col("doc_id").isNotNull()).select(id_key(labels, "doc_id").alias("_id"), (F.col("quality") == 0).cast("int").alias("junk"), (F.col("toxic") == 1).cast("int").alias("toxic"))
     return bad.dropna().groupBy("_id").agg(F.max("junk").alias("junk"), F.max("toxic").alias("toxic"))
 
 
@@ -212,7 +212,9 @@ def fit_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     weights = np.array(list(found.values()), dtype=np.float64).reshape(-1, len(HEADS)).T[:, order]
     told = rows.select(F.struct("_row", *HEADS, "hold").alias("_row"), "_text")
     kind = told.schema["_row"].dataType.simpleString()
-    seen = told.mapInArrow(partial(_evidence, known=known, weights=weights, fits=None), f"_row {kind}, _n long, _x array<double>").collect()  # at most ``sample``
+    seen = told.mapInArrow(partial(_evidence, known=known, weights=weights, fits=None), f"_row {kind}, _n long, _x array<double>")
+    # rows that share a chosen id count once in the logistic fits, by their least evidence: at most ``sample`` rows
+    seen = seen.groupBy("_row").agg(F.min("_x").alias("_x")).collect()
     x = np.array([r["_x"] for r in seen]).reshape(len(seen), len(HEADS), 2)
     y = np.array([[r["_row"][h] for h in HEADS] for r in seen], dtype=float).reshape(-1, len(HEADS))
     hold = np.array([r["_row"]["hold"] for r in seen], dtype=bool)
