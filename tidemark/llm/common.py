@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -170,3 +171,25 @@ def chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
 def words_per_text(starts: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Index of the first word of each text, and the number of words at the end."""
     return np.searchsorted(starts, bounds, "left")
+
+
+# ------------------------------------------------------------- rows with a text
+def _append_columns(batches, work, text_at: int, carried: int, names: list[str]):
+    for batch in batches:
+        parts = [work(i, j, buf, bounds) for i, j, buf, bounds in chunks(text_column(batch, batch.schema.names[text_at]))]
+        if parts:
+            new = [pa.concat_arrays(column) for column in zip(*parts, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:carried], *new], names)
+
+
+def map_texts(df: DataFrame, text_col: str, carry: list[str], work, fields: list[T.StructField]) -> DataFrame:
+    """The columns ``carry`` of ``df`` and the ``fields`` that ``work(i, j, buf, bounds)`` returns for rows i to j of a batch.
+
+    A text goes to Python once, also when it is one of the carried columns; null is empty there.
+    """
+    held = list(carry) if text_col in carry else [*carry, text_col]
+    base = df.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(held)])
+    names = [f"_c{k}" for k in range(len(carry))] + [f.name for f in fields]
+    schema = T.StructType([T.StructField(f"_c{k}", df.schema[c].dataType) for k, c in enumerate(carry)] + list(fields))
+    out = base.mapInArrow(partial(_append_columns, work=work, text_at=held.index(text_col), carried=len(carry), names=names), schema)
+    return out.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *[f.name for f in fields])

@@ -13,6 +13,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.lm import score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import classify
+from tidemark.llm.quality_rules import apply_rules
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.spotsigs import compare_neighbours
 from tidemark.llm.substring_dedup import dedup_substrings
@@ -82,6 +83,11 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = apply_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunk_share", "reason")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -93,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_spotsigs": op10_spotsigs,
+    "op13_quality_rules": op13_quality_rules,
 }
