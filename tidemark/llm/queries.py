@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontam import decontaminate
+from tidemark.llm.importance import resample
 from tidemark.llm.jaccard import cluster_documents
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.lm import score_texts
@@ -83,6 +84,12 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = resample(docs, table(spark, sf_dir, "benchmark"), percent=10, max_n=1, buckets=10_000, min_words=20, columns=["doc_id"])
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = apply_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunk_share", "reason")
@@ -99,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_spotsigs": op10_spotsigs,
+    "op11_importance_resampling": op11_importance_resampling,
     "op13_quality_rules": op13_quality_rules,
 }
