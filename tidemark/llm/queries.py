@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import align_tokenizers
 from tidemark.llm.decontam import decontaminate
 from tidemark.llm.importance import resample
 from tidemark.llm.jaccard import cluster_documents
@@ -90,6 +91,13 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(docs, *[public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")], columns=["doc_id"])
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = apply_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunk_share", "reason")
@@ -107,5 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_spotsigs": op10_spotsigs,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_quality_rules": op13_quality_rules,
 }
