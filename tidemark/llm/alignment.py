@@ -9,8 +9,8 @@ Work is done on Arrow arrays, block by block (about ``block_bytes`` of text):
 * Texts are cut into pieces before a space that follows a visible character. No
   token of A spans that (its pattern splits there) nor one of B (checked: no
   piece of its vocabulary has a space after another character; else, or if its
-  normalizer changes texts, texts stay whole). Each distinct piece of a block is
-  encoded once; taking lists by dictionary index, flattening them and following
+  normalizer changes texts, texts stay whole). Each distinct piece that a task
+  meets is encoded once; taking lists by dictionary index, flattening them and following
   parent indices gives the tokens of all texts.
 * Cumulative sums of token lengths, which start anew with each text, are the
   tokens' ends. An Acero full outer join of the two sides on the end (text
@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import partial
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -51,7 +52,9 @@ from pyspark.sql import types as T
 from tidemark.llm.common import SPACES, chunks, materialize, other_columns, text_column
 from tidemark.llm.token_records import _wide_space
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+KNOWN_PIECES = 1 << 20  # pieces a task remembers; then it starts anew
+JOINED_BYTES = 16 << 10  # pieces that the byte-level tokenizer gets as one text
 SPACE = "▁"  # how sentencepiece writes a space
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 BLOCK_COLUMNS = ["_block", "_row", *[f"_{c}" for c in COUNTS], "_sha", "_held", "_times", "_pairs", "_docs"]
@@ -99,18 +102,66 @@ class Pair:
         spelt_ids = [pc.binary_join_element_wise(digits, pa.scalar(s, pa.large_string()), NO_GLUE) for s in (",", "|", ";", "")]
         self.digits = pa.concat_arrays(spelt_ids)  # by suffix, then id
 
-    def encode_a(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def encode_b(self, pieces: list[str]) -> list[list[int]]:
-        """The model puts a space before a text by itself: the first one of each piece."""
+        self.forget()
+
+    def forget(self) -> None:
+        """No pieces are known: names, ids of both sides, and whether the ids spell the piece."""
+        self.known = pa.array([], pa.large_string())
+        self.lists = [_lists([]), _lists([])]
+        self.faithful = np.zeros(0, bool)
+
+    def encode_a(self, pieces: pa.Array) -> pa.Array:
+        """Ids of each piece. Pieces that end in a visible character are encoded as one text, which cuts between them."""
+        (_, _, buf, bounds), = chunks(pieces, 1 << 62)
+        size = np.diff(bounds)
+        last = bounds[1:]
+        joinable = ~SPACES[buf[last - 1]] & ~_wide_space(buf, last)
+        alone = pieces.filter(pa.array(~joinable)).to_pylist()
+        some = np.flatnonzero(joinable)
+        total = np.cumsum(size[some])
+        ends = np.unique(np.append(np.searchsorted(total, np.arange(JOINED_BYTES, total[-1] if len(some) else 0, JOINED_BYTES), "right"), len(some)))
+        spelt = pieces.take(pa.array(some))
+        (_, _, data, at), = chunks(spelt, 1 << 62) if len(some) else ((0, 0, b"", np.zeros(1, np.int64)),)
+        texts = [bytes(data[at[i] : at[j]]).decode() for i, j in zip([0, *ends[:-1]], ends, strict=True) if j > i]
+        ids = [e.ids for e in self.a.encode_batch_fast([*texts, *alone], add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        length = pc.binary_length(self.bytes_a).to_numpy()[flat]
+        # pieces in the order they were encoded, each with the tokens that end in it
+        order = np.concatenate((some, np.flatnonzero(~joinable)))
+        edge = np.searchsorted(np.cumsum(length), np.cumsum(size[order]), "right")
+        lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], edge))), pa.array(flat))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return lists.take(pa.array(back))
+
+    def encode_b(self, pieces: pa.Array) -> pa.Array:
+        """Ids of each piece; the model puts a space before a text by itself, the first one of the piece."""
+        pieces = pieces.to_pylist()
         ids = self.b.encode([p[1:] for p in pieces], num_threads=1)
-        return [x if len(p) > 1 else [self.space_b] for p, x in zip(pieces, ids, strict=True)]
+        return _lists([x if len(p) > 1 else [self.space_b] for p, x in zip(pieces, ids, strict=True)])
+
+    def learn(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each of the distinct ``pieces`` among the known ones; new ones are encoded."""
+        if len(self.known) + len(pieces) > KNOWN_PIECES:
+            self.forget()
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(pc.is_null(at))
+        if len(new):
+            sides = [self.encode_a(new), self.encode_b(new)]
+            spelt = [_faithful(x, b, new) for x, b in zip(sides, (self.bytes_a, self.bytes_b), strict=True)]
+            self.faithful = np.append(self.faithful, spelt[0] & spelt[1])
+            self.lists = [pa.concat_arrays([old, x]) for old, x in zip(self.lists, sides, strict=True)]
+            fresh = np.asarray(at.is_null())
+            at = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+            at[fresh] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            return at
+        return at.to_numpy().astype(np.int64)
 
 
 def _lists(ids: list[list[int]]) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64)
-    values = np.fromiter((i for x in ids for i in x), np.int32, offsets[-1])
+    values = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
     return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
@@ -139,7 +190,8 @@ def piece_edges(buf: np.ndarray, bounds: np.ndarray, cuts: bool = True) -> np.nd
     at = np.flatnonzero(buf == 0x20)
     at = at[at > 0]
     at = at[~SPACES[buf[at - 1]] & ~_wide_space(buf, at)]
-    return np.union1d(bounds, at)
+    both = np.sort(np.concatenate((bounds, at)), kind="stable")
+    return both[np.append(True, both[1:] != both[:-1])]
 
 
 def _tokens(lists: pa.Array, which: pa.Array, token_length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,10 +207,8 @@ def align(pair: Pair, buf: np.ndarray, edges: np.ndarray, bounds: np.ndarray) ->
     n_texts = len(bounds) - 1
     pieces = pa.Array.from_buffers(pa.large_string(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(buf)])
     named = pieces.dictionary_encode()
-    distinct = named.dictionary.to_pylist()
-    sides = [(_lists(encode(distinct)), spelt) for encode, spelt in ((pair.encode_a, pair.bytes_a), (pair.encode_b, pair.bytes_b))]
-    right = _faithful(*sides[0], named.dictionary) & _faithful(*sides[1], named.dictionary)
-    which = named.indices.to_numpy()
+    which = pair.learn(named.dictionary)[named.indices.to_numpy()]
+    right, sides = pair.faithful, zip(pair.lists, (pair.bytes_a, pair.bytes_b), strict=True)
     of = np.searchsorted(bounds, edges[:-1], "right") - 1  # text of each piece
     bad = np.bincount(of, weights=~right[which], minlength=n_texts) > 0
     kept = np.flatnonzero(~bad[of])
