@@ -9,9 +9,12 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tidemark.plans.queries import QUERIES
+from tidemark.plans.queries import QUERIES as PLAN_QUERIES
+from tidemark.plans.stage_queries import STAGE_QUERIES
 from tools.compare_oracle import TABLES, rows_of
 
+QUERIES = {**PLAN_QUERIES, **STAGE_QUERIES}
+
 
 @pytest.fixture(scope="module")
 def duck():

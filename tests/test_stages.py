@@ -79,7 +79,7 @@ def test_fail_policy_marks_run_failed_after_writing(spark, events, scratch):
     store = Store(spark, f"{scratch}/tables")
     spec = auction_spec(reject_policy="fail")
     stages.load_raw(store, spec, auction_feed(events).select("payload"))
-    with pytest.raises(stages.ValidateFailed):
+    with pytest.raises(stages.RejectsNotAllowed):
         stages.validate(store, spec)
     assert store.read(stages.staging_table(spec)).count() > 0
     assert stages.rejects(store).count() > 0
@@ -431,10 +431,10 @@ def test_transform_without_news_publishes_nothing(spark, scratch):
     stages.load_raw(store, spec, _lines(spark, _record("a", 1), _record("b", 2)))
     stages.validate(store, spec)
     assert stages.transform(store, spec).rows_written == 4
-    before = {t: store.current(t) for t in (spec.dim.name, spec.fact.name)}
+    before = {t: store.pointers(t) for t in (spec.dim.name, spec.fact.name)}
     again = stages.transform(Store(spark, f"{scratch}/tables"), spec)
     assert (again.rows_read, again.rows_written) == (2, 0)
-    assert {t: Store(spark, f"{scratch}/tables").current(t) for t in before} == before
+    assert {t: Store(spark, f"{scratch}/tables").pointers(t) for t in before} == before
     stages.load_raw(store, spec, _lines(spark, _record("c", 3)))
     stages.validate(store, spec)
     assert stages.transform(store, spec).rows_written == 6

@@ -23,6 +23,7 @@ INSERT_FAILED = "staging insert failed: "
 EXTRA_KEYS = "extra keys"
 
 _V = "__v"
+_MEMBER = "__m"
 
 
 def _member(rule: FieldRule) -> Column:
@@ -107,9 +108,26 @@ def _compile(contract: Contract, payload_col: str, application_id: str) -> _Comp
     return _Compiled(members, described, coerced, hooked, arrays, final)
 
 
+def parsed_members(df: DataFrame, contract: Contract, parsed_col: str) -> DataFrame:
+    """``df`` with one VARIANT column per rule in place of ``parsed_col``, the parsed payload.
+
+    Directly above a scan of a shredded VARIANT, Spark reads just the columns
+    of these members; ``apply_contract`` then parses no text.
+    """
+    rest = [c for c in df.columns if c != parsed_col]
+    members = [_member(r).alias(f"{_MEMBER}{i}") for i, r in enumerate(contract.fields)]
+    return df.select(*rest, F.col(parsed_col).alias(_V)).select(*rest, *members)
+
+
+def has_members(df: DataFrame) -> bool:
+    return f"{_MEMBER}0" in df.columns
+
+
 def apply_contract(df: DataFrame, contract: Contract, payload_col: str = "payload") -> DataFrame:
     """Add typed columns (named after the rules) and ``errors: array<string>``.
 
+    Members that ``parsed_members`` has added are used; else the payload text is parsed.
+
     An input column whose name equals a rule name is kept as ``raw_<name>``.
     Contract errors come first; when there are none, insert errors (values that
     do not fit their staging column) are reported with the insert prefix.
@@ -122,8 +140,12 @@ def apply_contract(df: DataFrame, contract: Contract, payload_col: str = "payloa
     base_cols = [F.col(c) for c in renamed.columns]
     # One projection per level: every reused sub-expression becomes a column,
     # so the optimizer never re-inlines (and multiplies) expression trees.
-    with_v = renamed.select(*base_cols, J.parse_payload(F.col(payload_col)).alias(_V))
-    members = with_v.select(*base_cols, *compiled.members)
+    if has_members(df):
+        base_cols = [F.col(c) for c in renamed.columns if not c.startswith(_MEMBER)]
+        members = renamed
+    else:
+        with_v = renamed.select(*base_cols, J.parse_payload(F.col(payload_col)).alias(_V))
+        members = with_v.select(*base_cols, *compiled.members)
     described = members.select(*base_cols, *compiled.described)
     coerced = described.select(*base_cols, *compiled.coerced)
     if compiled.hooked is not None:

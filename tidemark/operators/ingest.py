@@ -11,11 +11,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions import json as J
 from tidemark.operators import merge
-from tidemark.operators.contract import INSERT_FAILED, apply_contract, evaluate_once, reason
+from tidemark.operators.contract import INSERT_FAILED, apply_contract, evaluate_once, has_members, reason
 from tidemark.spec import SourceSpec
 
 DUPLICATE_CURSOR = "duplicate cursor"
 NOT_AN_OBJECT = "landing line is not a JSON object"
+NOT_PARSED = "raw row without its parsed payload"
+PARSED = "payload_parsed"  # the payload as VARIANT, beside its text
 
 
 def raw_columns(spec: SourceSpec) -> list[str]:
@@ -36,8 +38,8 @@ _KIND_TYPES = {
 }
 
 
-def raw_schema(spec: SourceSpec) -> T.StructType:
-    """raw: business key, cursor, payload text, ingest time, load run id."""
+def raw_schema(spec: SourceSpec, parsed: bool = False) -> T.StructType:
+    """raw: business key, cursor, payload text, ingest time, load run id; with ``parsed`` also the payload as VARIANT."""
     return T.StructType(
         [
             T.StructField(spec.business_key, T.StringType(), False),
@@ -45,6 +47,7 @@ def raw_schema(spec: SourceSpec) -> T.StructType:
             T.StructField("payload", T.StringType(), False),
             T.StructField("ingested_at", T.TimestampType(), False),
             T.StructField("extract_run_id", T.StringType(), False),
+            *([T.StructField(PARSED, T.VariantType(), True)] if parsed else []),
         ]
     )
 
@@ -71,8 +74,8 @@ def staging_schema(spec: SourceSpec) -> T.StructType:
     return T.StructType(fields)
 
 
-def extract_keys(lines: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Landing lines (``payload``) -> ``payload``, business key text, cursor.
+def extract_keys(lines: DataFrame, spec: SourceSpec, parsed: bool = False) -> DataFrame:
+    """Landing lines (``payload``) -> ``payload``, business key text, cursor; with ``parsed`` also the VARIANT they are read from.
 
     Parsing is strict: a malformed line, a line that is not an object, or a
     cursor that is not a whole number fails the job (no partial append). A
@@ -83,10 +86,16 @@ def extract_keys(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     v = J.parse_payload(F.col("payload"))
     is_object = J.payload_keys(F.col("payload")).isNotNull()
     key = F.when(is_object, J.field_as(v, spec.key_field, "string")).otherwise(F.raise_error(F.lit(NOT_AN_OBJECT)))
+    if parsed:
+        # behind a barrier, so that each line is parsed once for its key, its cursor and raw
+        lines = evaluate_once(lines.select("payload", F.when(is_object, v).otherwise(F.raise_error(F.lit(NOT_AN_OBJECT))).alias(PARSED)))
+        v = F.col(PARSED)
+        key = J.field_as(v, spec.key_field, "string")
     keyed = lines.select(
         F.col("payload"),
         key.alias(spec.business_key),
         J.field_as(v, spec.cursor_field, "bigint").alias(spec.cursor),
+        *([PARSED] if parsed else []),
     )
     return evaluate_once(keyed)
 
@@ -104,6 +113,7 @@ def raw_batch(keyed: DataFrame, spec: SourceSpec, run_id: str, ingested_at: dt.d
         F.col("payload"),
         F.lit(ingested_at).cast("timestamp").alias("ingested_at"),
         F.lit(run_id).alias("extract_run_id"),
+        *([PARSED] if PARSED in keyed.columns else []),
     )
 
 
@@ -111,7 +121,7 @@ def raw_inserts(batch: DataFrame, raw: DataFrame | None, spec: SourceSpec, dedup
     """Insert-only merge into raw: first (cursor, payload) per key; existing keys never change."""
     order = [spec.cursor, "payload"]
     if raw is None:
-        return batch if deduplicated else merge.first_wins(batch, [spec.business_key], order)
+        return batch if deduplicated else merge.first_wins(batch, [spec.business_key], order, carried=[PARSED])
     return merge.insert_only(batch, raw, [spec.business_key], order, deduplicated)
 
 
@@ -135,6 +145,11 @@ def validate_frame(pending_raw: DataFrame, spec: SourceSpec) -> DataFrame:
 
     The cursor, ingest time and run id come from the raw row, not the payload.
     """
+    if has_members(pending_raw):
+        # raw holds no row without a key in its payload: a null here is a row that was loaded without being parsed
+        at = [r.name for r in spec.contract.fields].index(spec.business_key)
+        held = F.col(f"__m{at}").isNotNull()
+        pending_raw = pending_raw.withColumn("payload", F.when(held, F.col("payload")).otherwise(F.raise_error(F.lit(NOT_PARSED))))
     checked = apply_contract(pending_raw, spec.contract, "payload")
     key = spec.business_key
     raw_key = f"raw_{key}" if f"raw_{key}" in checked.columns else key

@@ -40,6 +40,25 @@ def build_dim(staging: DataFrame, dim: DimSpec) -> DataFrame:
     )
 
 
+def merge_dim_state(state: DataFrame, fresh: DataFrame, dim: DimSpec) -> DataFrame:
+    """Aggregates of earlier rows and of new ones, as of all rows: max of maxima, min and max of the times.
+
+    Both have the columns of ``build_dim``. Rows only ever come to staging, so
+    the state of all rows follows from these two and no old row is read again.
+    """
+    both = state.unionByName(fresh)
+    return both.groupBy(dim.key).agg(
+        *[F.max(a).alias(a) for a in dim.attributes],
+        F.min(dim.first_seen).alias(dim.first_seen),
+        F.max(dim.last_seen).alias(dim.last_seen),
+    )
+
+
+def fact_month(fact: FactSpec) -> Column:
+    """The part of the fact a row belongs to: the (UTC) month of its ``month_of`` time, as yyyy-MM."""
+    return F.date_format(F.col(fact.month_of), "yyyy-MM")
+
+
 def fact_rows(staging: DataFrame, fact: FactSpec) -> DataFrame:
     """Fact projection: grain columns then carried columns."""
     return staging.select(*fact.grain, *[c for c in fact.columns if c not in fact.grain])

@@ -14,19 +14,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
     """One row per key: the row with the smallest ``order`` tuple (then all other columns).
 
+    ``carried`` columns (where ``df`` has them) go with the row but cannot be
+    compared, as a VARIANT: of rows equal in all others, any one's is taken.
+
     Deterministic replacement for "first row in file order wins": the input of
     an extract is ascending by cursor, so the lowest (cursor, payload) is the
     first. Written as ``min(struct)`` so Spark aggregates partially before the
     shuffle instead of sorting each whole key group in one task.
     """
     keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("__w")
-    out = df.groupBy(*keys).agg(packed)
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"__w.{c}").alias(c) for c in order + rest]).select(
+    carried = [c for c in carried if c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in order and c not in carried]
+    row = F.struct(*[F.col(c) for c in order + rest])
+    out = df.groupBy(*keys).agg(F.min(row).alias("__w"), *[F.min_by(c, row).alias(c) for c in carried])
+    return out.select(*[F.col(k) for k in keys], *[F.col(f"__w.{c}").alias(c) for c in order + rest], *carried).select(
         *df.columns
     )
 

@@ -8,6 +8,7 @@ rules with ``TRY_CAST``, ``trim`` and ``regexp_full_match``.
 from __future__ import annotations
 
 from tidemark.plans import queries as Q
+from tidemark.plans import stage_queries as S
 from tidemark.spec import DECIMAL
 
 WS = "(' ' || chr(9) || chr(13) || chr(10))"
@@ -360,4 +361,69 @@ SELECT (SELECT count(*) FROM keyed WHERE raw_key IS NOT NULL) AS rows_read,
   (SELECT count(*) FROM decided WHERE reason IS NOT NULL) AS rejected_rows,
   (SELECT count(DISTINCT auction_unit) FROM staging) AS dim_rows,
   (SELECT count(*) FROM (SELECT DISTINCT auction_unit, auction_product, delivery_start_utc FROM staging)) AS fact_rows""",
+    # -- what the stages wrote (plans/stage_queries.py)
+    "fact_incremental": f"""
+WITH {FEED}
+SELECT auction_unit, auction_product, delivery_start_utc, service_type, delivery_end_utc,
+  CAST(executed_quantity_mw AS DOUBLE) AS executed_quantity_mw,
+  CAST(clearing_price_gbp_per_mw_h AS DOUBLE) AS clearing_price_gbp_per_mw_h, unit_result_id
+FROM staging""",
+    "dim_incremental": f"""
+WITH {FEED}
+{DIM_SQL.format(src="staging")}""",
+    "stage_counters": f"""
+WITH {FEED},
+n AS (
+  SELECT (SELECT count(*) FROM feed) AS records, (SELECT max(_id) FROM feed) AS top, (SELECT max(_id) FROM raw_rows) AS wm,
+    (SELECT count(*) FROM keyed WHERE raw_key IS NOT NULL) AS loadable, (SELECT count(*) FROM raw_rows) AS raw,
+    (SELECT count(*) FROM decided WHERE reason IS NOT NULL) AS rejects, (SELECT count(*) FROM staging) AS staged,
+    (SELECT count(DISTINCT auction_unit) FROM staging) AS units,
+    (SELECT count(*) FROM feed WHERE _id > (SELECT max(_id) FROM raw_rows)) AS late,
+    (SELECT count(*) FROM keyed WHERE raw_key IS NOT NULL AND _id > (SELECT max(_id) FROM raw_rows)) AS late_loadable
+)
+SELECT 'extract' AS stage, 'success' AS status, records AS rows_read, records AS rows_written, 0 AS rows_rejected, 0 AS rows_skipped,
+  NULL AS watermark_before, top AS watermark_after FROM n
+UNION ALL SELECT 'load_raw', 'success', loadable, raw, 0, records - loadable, NULL, NULL FROM n
+UNION ALL SELECT 'validate', 'success', raw, staged, rejects, 0, NULL, NULL FROM n
+UNION ALL SELECT 'transform', 'success', staged, staged + units, 0, 0, NULL, NULL FROM n
+UNION ALL SELECT 'extract', 'success', late, late, 0, 0, wm, greatest(wm, top) FROM n
+UNION ALL SELECT 'load_raw', 'success', late_loadable, 0, 0, late - late_loadable, NULL, NULL FROM n
+UNION ALL SELECT 'validate', 'success', rejects, 0, rejects, 0, NULL, NULL FROM n
+UNION ALL SELECT 'transform', 'success', 0, 0, 0, 0, NULL, NULL FROM n""",
+    "ledger_after_fail": f"""
+WITH {FEED},
+n AS (
+  SELECT (SELECT count(*) FROM feed) AS records, (SELECT count(*) FROM keyed WHERE raw_key IS NOT NULL) AS loadable,
+    (SELECT count(*) FROM raw_rows) AS raw, (SELECT count(*) FROM decided WHERE reason IS NOT NULL) AS rejects, (SELECT count(*) FROM staging) AS staged
+)
+SELECT 'extract' AS stage, 'success' AS status, records AS rows_read, records AS rows_written, 0 AS rows_rejected, false AS has_error,
+  rejects AS rejects_kept, staged AS staging_kept FROM n
+UNION ALL SELECT 'load_raw', 'success', loadable, raw, 0, false, rejects, staged FROM n
+UNION ALL SELECT 'validate', 'failed', raw, staged, rejects, true, rejects, staged FROM n""",
+    "landing_roundtrip": f"""
+WITH {FEED},
+half AS (SELECT max(event_id) // 2 AS h FROM events),
+loaded AS (SELECT max(_id) AS wm FROM raw_rows, half WHERE event_id <= h)
+SELECT raw_key AS unit_result_id, _id FROM keyed, loaded WHERE _id > wm""",
+    "offline_run": f"""
+WITH {FEED}
+SELECT unit_result_id, _id, auction_unit, CAST(executed_quantity_mw AS DOUBLE) AS executed_quantity_mw, delivery_start_utc FROM staging""",
+    "validate_shredded": f"""
+WITH {FEED}
+SELECT unit_result_id, _id, CASE WHEN reason IS NULL THEN 'insert' ELSE 'reject' END AS outcome, reason,
+  CASE WHEN reason IS NULL THEN auction_unit END AS auction_unit, CASE WHEN reason IS NULL THEN technology_type END AS technology_type,
+  CASE WHEN reason IS NULL THEN CAST(executed_quantity_mw AS DOUBLE) END AS executed_quantity_mw,
+  CASE WHEN reason IS NULL THEN delivery_start_utc END AS delivery_start_utc
+FROM decided""",
+    "pending_by_bucket": f"""
+WITH {FEED},
+cut AS (SELECT CAST(floor({S.PENDING_CUT} * (max(event_id) + 1)) AS BIGINT) AS c FROM events)
+SELECT raw_key AS unit_result_id, _id FROM decided, cut WHERE event_id >= c OR reason IS NOT NULL""",
+    "watermark_from_footers": """
+SELECT max(event_id) AS watermark, count(*) AS n_rows FROM events""",
+    "datasource_drain": f"""
+SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id > {Q.KEYSET_WATERMARK}""",
+    "stream_equals_batch": f"""
+WITH {FEED}
+SELECT {STAGING_OUT} FROM staging""",
 }

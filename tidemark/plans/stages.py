@@ -23,9 +23,11 @@ from pyspark.sql import types as T
 
 from tidemark.operators import checks, contract, ingest, ledger, marts, merge
 from tidemark.functions.text import btrim_ws
+from tidemark.plans import key_index
 from tidemark.plans.store import Store
-from tidemark.session import apply_required_conf, delete_folder, ensure_checkpoint_dir
+from tidemark.session import apply_required_conf, delete_folder, ensure_checkpoint_dir, path_exists, work_folder
 from tidemark.sources import landing, pages, table
+from tidemark.sources.footers import footer_watermark
 from tidemark.spec import SourceSpec
 
 log = logging.getLogger("tidemark")
@@ -45,6 +47,8 @@ DRIFT_SCHEMA = T.StructType(
 RAW_PARTITION = "extract_run_id"  # raw is laid out by load run
 
 LOADS_SCHEMA = T.StructType([T.StructField("load_run_id", T.StringType())])
+STAGED_BY = "layout_run"  # staging is laid out by the validate run that inserted the rows
+MERGED_SCHEMA = T.StructType([T.StructField("staging", T.StringType()), T.StructField("validate_run_id", T.StringType())])
 TRANSFORMED_SCHEMA = T.StructType(
     [T.StructField("staging", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("at", T.TimestampType())]
 )
@@ -55,7 +59,7 @@ TRANSFORMED_SCHEMA = T.StructType(
 Fetch = Callable[[int | None], DataFrame]
 
 
-class ValidateFailed(RuntimeError):
+class RejectsNotAllowed(RuntimeError):
     """A validate run whose policy allows no rejects has recorded some; the marts must not be built on it."""
 
 
@@ -90,16 +94,34 @@ def transformed_table(spec: SourceSpec) -> str:
     return f"ops_transformed_{spec.name}"
 
 
+def merged_runs_table(spec: SourceSpec) -> str:
+    """Validate runs whose staging rows the marts hold, per version of staging."""
+    return f"ops_merged_runs_{spec.name}"
+
+
+def dim_state_table(spec: SourceSpec) -> str:
+    """The dimension's aggregates over all staging rows merged so far, which new rows are merged into."""
+    return f"ops_dim_state_{spec.name}"
+
+
 def validated_loads_table(spec: SourceSpec) -> str:
     """Load runs whose raw partitions an incremental validate has read."""
     return f"ops_validated_loads_{spec.name}"
 
 
-def read_raw(store: Store, spec: SourceSpec) -> DataFrame | None:
-    """raw with its declared schema (the load-run partition column stays a string)."""
+def read_raw(store: Store, spec: SourceSpec, parsed: bool = False) -> DataFrame | None:
+    """raw with its declared schema (the load-run partition column stays a string).
+
+    With ``parsed`` also the members of the contract from the parsed payload,
+    where raw has it: Spark writes it shredded, so the scan reads the columns of
+    these members and no text is parsed.
+    """
     if not store.exists(raw_table(spec)):
         return None
-    return store.read(raw_table(spec), ingest.raw_schema(spec))
+    held = store.read(raw_table(spec)) if parsed else None
+    if held is None or ingest.PARSED not in held.columns:
+        return store.read(raw_table(spec), ingest.raw_schema(spec))
+    return contract.parsed_members(store.read(raw_table(spec), ingest.raw_schema(spec, parsed=True)), spec.contract, ingest.PARSED)
 
 
 def staging_table(spec: SourceSpec) -> str:
@@ -168,12 +190,7 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     observed counters are exact and nothing is recomputed later. The stage that
     asked for it removes it (``release``) once its results are written.
     """
-    base = ensure_checkpoint_dir(spark)
-    if base is None:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"spark.checkpoint.dir must be a folder that all executors share, not {base}")
-    path = f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = work_folder(spark, label)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -188,18 +205,18 @@ def release(spark: SparkSession, *frames: DataFrame | None) -> None:
 
 
 def current_watermark(store: Store, spec: SourceSpec) -> int | None:
-    """``MAX(cursor)`` of raw; None when raw is missing or empty (cold start)."""
-    raw = read_raw(store, spec)
-    if raw is None:
+    """``MAX(cursor)`` of raw, from its files' footers; None when raw is missing or empty (cold start)."""
+    cur = store.current(raw_table(spec))
+    if cur is None or not path_exists(store.spark, cur[1]):
         return None
-    return table.watermark(raw, spec.cursor).first()["watermark"]
+    return footer_watermark(store.spark, cur[1], spec.cursor, ingest.raw_schema(spec)).first()["watermark"]
 
 
 # -- S12 --------------------------------------------------------------------------
 def create_tables(store: Store, spec: SourceSpec) -> None:
     """Idempotent creation of the source's raw and staging tables and the ops tables."""
     store.create(raw_table(spec), ingest.raw_schema(spec), partitioned=True)
-    store.create(staging_table(spec), ingest.staging_schema(spec))
+    store.create(staging_table(spec), ingest.staging_schema(spec), layout=STAGED_BY)
     store.create(RUN_EVENTS, ledger.RUN_EVENT_SCHEMA)
     store.create(REJECTS, ledger.REJECT_SCHEMA)
     store.create(DRIFT, DRIFT_SCHEMA)
@@ -257,7 +274,7 @@ def load_raw(
     run = _Run(store, spec, "load_raw", run_id)
     try:
         source = landing.read_landing(spark, lines) if isinstance(lines, str) else lines
-        keyed = ingest.extract_keys(source, spec)
+        keyed = ingest.extract_keys(source, spec, parsed=True)
         obs = Observation(f"load_{run.run_id}")
         counted = keyed.observe(
             obs,
@@ -266,7 +283,7 @@ def load_raw(
         )
         batch = ingest.raw_batch(counted, spec, run.run_id, as_of or _now())
         deduped = materialize(
-            spark, merge.first_wins(batch, [spec.business_key], [spec.cursor, "payload"]), "load"
+            spark, merge.first_wins(batch, [spec.business_key], [spec.cursor, "payload"], carried=[ingest.PARSED]), "load"
         )
         stats = obs.get
         raw = read_raw(store, spec)
@@ -288,6 +305,23 @@ def load_raw(
 
 
 # -- D3 ---------------------------------------------------------------------------
+def _append_staging(store: Store, spec: SourceSpec, rows: DataFrame, run_id: str) -> None:
+    """Rows of one validate run, in a folder of their own (a version written plainly before stays plain)."""
+    table_name = staging_table(spec)
+    plain = store.read(table_name) is not None and not store.layout(table_name)
+    if plain:
+        store.append(table_name, rows)
+    else:
+        store.append(table_name, rows.withColumn(STAGED_BY, F.lit(run_id)), partition_by=[STAGED_BY])
+
+
+def staged_by(store: Store, spec: SourceSpec, runs: list[str]) -> DataFrame:
+    """Staging rows that the given validate runs inserted: no other folder is read."""
+    schema = T.StructType([*ingest.staging_schema(spec).fields, T.StructField(STAGED_BY, T.StringType())])
+    staging = store.read(staging_table(spec), schema, with_layout=True)
+    return staging.filter(F.col(STAGED_BY).isin(runs)).select(*ingest.staging_columns(spec))
+
+
 def _new_loads(store: Store, spec: SourceSpec, raw: DataFrame) -> list[str]:
     """Load runs in raw that no incremental validate has read (one, as a rule).
 
@@ -299,27 +333,54 @@ def _new_loads(store: Store, spec: SourceSpec, raw: DataFrame) -> list[str]:
     return sorted(r[0] for r in loads.join(done.distinct(), "load_run_id", "left_anti").collect())
 
 
-def _incremental_pending(store: Store, spec: SourceSpec, raw: DataFrame, staging: DataFrame, new_loads: list[str]) -> DataFrame:
+def _incremental_pending(store: Store, spec: SourceSpec, raw: DataFrame, staging: DataFrame, new_loads: list[str], indexed: bool) -> DataFrame:
     """Candidates: the rows of new load partitions and the carried-over keys.
 
     Exact: a raw row from an already-validated load can only be pending if it
     was left pending by the previous run (staging only grows), and those rows
-    are exactly the carry-over.
+    are exactly the carry-over. With the index, staged keys are looked up in
+    the candidates' hash buckets; else in all of staging.
     """
     fresh = raw.filter(F.col(RAW_PARTITION).isin(new_loads)) if new_loads else raw.limit(0)
     carry = store.read(carry_table(spec))
     if carry is not None:
         fresh = fresh.unionByName(raw.join(carry, [spec.business_key, spec.cursor], "left_semi"))
+    if indexed:
+        staging = key_index.staged_in_buckets(store, spec, spec.business_key, fresh)
     return ingest.pending(fresh, staging, spec)
 
 
 def _staged_near(staging: DataFrame, validated: DataFrame, spec: SourceSpec) -> DataFrame:
-    """The part of staging that can decide ``validated``: rows with one of its keys or cursors (those two columns)."""
+    """The part of staging that can decide ``validated``: rows with one of its keys or cursors (those two columns).
+
+    One scan of the two columns; each row is marked by its key and by its cursor.
+    """
     key, cur = spec.business_key, spec.cursor
-    held = staging.select(key, cur)
-    by_key = held.join(validated.select(F.col(key).cast(staging.schema[key].dataType).alias(key)), key, "left_semi")
-    by_cursor = held.join(validated.select(cur), cur, "left_semi")
-    return by_key.unionByName(by_cursor.select(*by_key.columns)).distinct()
+    keys = validated.select(F.col(key).cast(staging.schema[key].dataType).alias(key), F.lit(True).alias("__k")).distinct()
+    cursors = validated.select(cur, F.lit(True).alias("__c")).distinct()
+    marked = staging.select(key, cur).join(keys, key, "left").join(cursors, cur, "left")
+    return marked.filter("__k OR __c").select(key, cur)
+
+
+def _indexed_near(store: Store, spec: SourceSpec, validated: DataFrame) -> DataFrame:
+    """As ``_staged_near``, from the buckets of the batch's keys and cursors."""
+    found = [key_index.staged_with(store, spec, c, validated).select(spec.business_key, spec.cursor) for c in (spec.business_key, spec.cursor)]
+    return found[0].unionByName(found[1]).distinct()
+
+
+def _follow_staging(store: Store, spec: SourceSpec) -> bool:
+    """Bring the index of staged keys up to staging; False where staging is not laid out by run."""
+    runs = _staged_runs(store, spec)
+    if runs:
+        key_index.follow(store, spec, runs, staged_by)
+    return bool(runs)
+
+
+def pending_rows(store: Store, spec: SourceSpec) -> DataFrame:
+    """The raw rows that the next incremental validate takes up."""
+    raw = read_raw(store, spec)
+    staging = store.read(staging_table(spec), ingest.staging_schema(spec))
+    return _incremental_pending(store, spec, raw, staging, _new_loads(store, spec, raw), _follow_staging(store, spec))
 
 
 def validate(
@@ -345,20 +406,21 @@ def validate(
     at = as_of or _now()
     key, cur = spec.business_key, spec.cursor
     try:
-        raw = read_raw(store, spec)
+        raw = read_raw(store, spec, parsed=True)
         if raw is None:
             raise RuntimeError(f"raw table for {spec.name} does not exist; load first")
         staging = store.read(staging_table(spec), ingest.staging_schema(spec))
         new_loads = _new_loads(store, spec, raw) if incremental else []
+        indexed = incremental and _follow_staging(store, spec)
         if incremental and store.exists(validated_loads_table(spec)):
-            todo = _incremental_pending(store, spec, raw, staging, new_loads)
+            todo = _incremental_pending(store, spec, raw, staging, new_loads, indexed)
         else:
             todo = ingest.pending(raw, staging, spec)
         seen = Observation(f"pending_{run.run_id}")
         checked = ingest.validate_frame(todo, spec).observe(seen, F.count(F.lit(1)).alias("read"))
         validated = materialize(spark, checked, "validated")
         read = seen.get.get("read", 0)
-        near = _staged_near(staging, validated, spec)
+        near = _indexed_near(store, spec, validated) if indexed else _staged_near(staging, validated, spec)
         obs = Observation(f"validate_{run.run_id}")
         decided = ingest.staging_outcome(validated, near, spec, carry=["raw_key"]).observe(
             obs,
@@ -368,7 +430,7 @@ def validate(
         decided = materialize(spark, decided, "decided")
         counts = obs.get
         inserted = validated.join(decided.filter(F.col("outcome") == "insert").select("raw_key"), "raw_key", "left_semi")
-        store.append(staging_table(spec), inserted.select(*ingest.staging_columns(spec)))
+        _append_staging(store, spec, inserted.select(*ingest.staging_columns(spec)), run.run_id)
         if counts.get("reject", 0):
             rejects = validated.join(decided.filter(F.col("outcome") == "reject").select("raw_key", "reason"), "raw_key")
             store.append(REJECTS, ingest.reject_rows(rejects, run.run_id, spec.name, at))
@@ -403,14 +465,104 @@ def validate(
         if spec.reject_policy == "fail":
             message = f"policy 'fail' allows no rejected rows; this run recorded {result.rows_rejected}"
             run.failure(message, result)
-            raise ValidateFailed(message)
+            raise RejectsNotAllowed(message)
         if spec.reject_policy == "warn":
             log.warning("validate %s: %d rows rejected", spec.name, result.rows_rejected)
     return result
 
 
 # -- D4 ---------------------------------------------------------------------------
-def transform(store: Store, spec: SourceSpec, run_id: str | None = None, force: bool = False) -> StageResult:
+def _staged_runs(store: Store, spec: SourceSpec) -> list[str]:
+    """Validate runs with a folder in staging's current version (a listing of folders, no file is read)."""
+    return [n.partition("=")[2] for n in store.layout(staging_table(spec)) if n.startswith(f"{STAGED_BY}=")]
+
+
+def _merged_frame(store: Store, spec: SourceSpec, runs: list[str]) -> DataFrame:
+    version = store.current(staging_table(spec))[1]
+    return store.spark.createDataFrame([(version, r) for r in runs], MERGED_SCHEMA)
+
+
+def unmerged_runs(store: Store, spec: SourceSpec) -> list[str]:
+    """Validate runs whose rows the marts do not hold yet. After a rewrite of staging that is every run: merging again changes nothing."""
+    here = _merged_frame(store, spec, _staged_runs(store, spec))
+    done = store.read(merged_runs_table(spec), MERGED_SCHEMA)
+    return sorted(r["validate_run_id"] for r in here.join(done, ["staging", "validate_run_id"], "left_anti").collect())
+
+
+def _observed(frames: dict, run: _Run) -> dict[str, Observation]:
+    """Count the rows of each frame while it is written; frames are (DataFrame) or (DataFrame, part)."""
+    seen = {}
+    for name, frame in frames.items():
+        seen[name] = Observation(f"tf_{name}_{run.run_id}")
+        count = F.count(F.lit(1)).alias("n")
+        frames[name] = (frame[0].observe(seen[name], count), frame[1]) if isinstance(frame, tuple) else frame.observe(seen[name], count)
+    return seen
+
+
+def _no_orphans(fact_src: DataFrame, dim: DataFrame, spec: SourceSpec) -> None:
+    if spec.fact.dim_key:
+        lost = checks.orphans(fact_src, dim, [spec.fact.dim_key], [spec.dim.key]).agg(F.sum("n")).first()[0]
+        if lost:
+            raise checks.OrphanViolation(f"{lost} rows of {spec.fact.name} have no row in {spec.dim.name}")
+
+
+def _upserted_dim(store: Store, dim, source: DataFrame) -> DataFrame:
+    target = store.read(dim.name, source.schema)
+    return merge.upsert_aggregate(target, source, dim.key, dim.attributes, least_cols=(dim.first_seen,), greatest_cols=(dim.last_seen,))
+
+
+def _merge_new(store: Store, spec: SourceSpec, run: _Run) -> StageResult | None:
+    """Marts after the staging rows they do not hold yet, at the cost of those rows; None where all of staging is needed.
+
+    The fact is published by month: the months of the new rows are read, merged
+    and replaced, the files of the other months stay. A grain that the fact
+    holds for another business key is a duplicate in staging, as the fact
+    carries its row's key. The dimension is upserted from a stored state of its
+    aggregates, into which the new rows are merged. What was merged is
+    published with the marts, in the same append.
+    """
+    fact, dim = spec.fact, spec.dim
+    if spec.mart_steps or fact is None or fact.month_of is None or spec.business_key not in fact.columns + fact.grain:
+        return None
+    if not _staged_runs(store, spec) or store.current(fact.name) or (dim is not None and store.exists(dim.name) and not store.exists(dim_state_table(spec))):
+        return None
+    runs = unmerged_runs(store, spec)
+    if not runs:
+        return StageResult(run.run_id, "transform")
+    fresh = staged_by(store, spec, runs)
+    columns = list(spec.clean_columns) + list(spec.nullable_clean_columns)
+    cleaned = marts.clean_strings(fresh, columns)
+    fact_src = marts.fact_rows(cleaned, fact)
+    flagged = fresh.select(
+        *[(btrim_ws(F.col(g)) if g in columns else F.col(g)).alias(g) for g in fact.grain],
+        marts.changed_predicate(spec.clean_columns, spec.nullable_clean_columns).alias("__changed"),
+    )
+    profile = checks.grain_and_flag_profile(flagged, fact.grain, F.col("__changed"))
+    if profile["flagged"]:
+        return None  # the clean pass rewrites staging
+    checks.raise_on_duplicates(profile, fact.grain)
+    months = sorted(r[0] for r in fact_src.select(marts.fact_month(fact).alias("m")).distinct().collect())
+    target = store.read(fact.name, fact_src.schema, parts=months)
+    held = target.select(*fact.grain, F.col(spec.business_key).alias("__held"))
+    clash = held.join(fact_src.select(*fact.grain, spec.business_key), list(fact.grain)).filter(~F.col("__held").eqNullSafe(F.col(spec.business_key)))
+    checks.raise_on_duplicates({"dup_groups": clash.select(*fact.grain).distinct().count()}, fact.grain)
+    parts = {fact.name: (merge.upsert_replace(target, fact_src, fact.grain), marts.fact_month(fact))}
+    frames: dict[str, DataFrame] = {}
+    if dim is not None:
+        units = marts.build_dim(cleaned, dim)
+        state = marts.merge_dim_state(store.read(dim_state_table(spec), units.schema), units, dim)
+        frames[dim.name] = _upserted_dim(store, dim, state.join(units.select(dim.key), dim.key, "left_semi"))
+        frames[dim_state_table(spec)] = state
+        _no_orphans(fact_src, frames[dim.name], spec)
+    seen = _observed(frames, run)
+    seen |= _observed(parts, run)
+    done = store.read(merged_runs_table(spec), MERGED_SCHEMA).unionByName(_merged_frame(store, spec, runs))
+    store.publish({**frames, merged_runs_table(spec): done}, parts)
+    written = sum(o.get["n"] for n, o in seen.items() if n != dim_state_table(spec))
+    return StageResult(run.run_id, "transform", rows_read=profile["n_rows"], rows_written=written)
+
+
+def transform(store: Store, spec: SourceSpec, run_id: str | None = None, force: bool = False, incremental: bool = False) -> StageResult:
     """Staging -> cleaned staging, dimension upsert, grain check, fact upsert; all or nothing.
 
     Every check runs before the first write; the new versions are published
@@ -418,26 +570,35 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None, force:
     version of staging only grows, so when it is the one the marts were last
     built from, with as many rows, nothing is new and nothing is written
     (``force`` builds anyway, e.g. after a change of the specification).
+    ``incremental`` merges only the staging rows of validate runs that the marts
+    do not hold yet (see ``_merge_new``), to the same marts.
     """
     spark = store.spark
     _prepare(spark)
     run = _Run(store, spec, "transform", run_id)
     try:
-        staging = store.read(staging_table(spec))
+        staging = store.read(staging_table(spec), with_layout=True)
         if staging is None:
             raise RuntimeError(f"staging table for {spec.name} does not exist; validate first")
+        if incremental and not force:
+            result = _merge_new(store, spec, run)
+            if result is not None:
+                run.success(result)
+                return result
         before = store.current(staging_table(spec))[1]
         built = store.read(transformed_table(spec), TRANSFORMED_SCHEMA).agg(F.max_by(F.struct("staging", "n_rows"), "at").alias("b")).first()["b"]
-        if built is not None and not force and built["staging"] == before:
+        if built is not None and not force and not incremental and built["staging"] == before:
             rows = staging.count()  # row counts of the files' footers
             if rows == built["n_rows"]:
                 result = StageResult(run.run_id, "transform", rows_read=rows, rows_written=0)
                 run.success(result)
                 return result
+        merged = _merged_frame(store, spec, _staged_runs(store, spec))
         columns = list(spec.clean_columns) + list(spec.nullable_clean_columns)
         cleaned = marts.clean_strings(staging, columns)
         changed_flag = marts.changed_predicate(spec.clean_columns, spec.nullable_clean_columns)
         frames: dict[str, DataFrame] = {}
+        parts: dict[str, tuple] = {}
         if spec.fact is not None:
             # one pass: grain check on the cleaned grain + count of rows the clean pass rewrites
             flagged = staging.select(
@@ -449,31 +610,28 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None, force:
             read, changed = profile["n_rows"], profile["flagged"]
             fact_src = marts.fact_rows(cleaned, spec.fact)
             fact_tgt = store.read(spec.fact.name, fact_src.schema)
-            frames[spec.fact.name] = merge.upsert_replace(fact_tgt, fact_src, spec.fact.grain)
+            upserted = merge.upsert_replace(fact_tgt, fact_src, spec.fact.grain)
+            if spec.fact.month_of is not None and store.current(spec.fact.name) is None:
+                parts[spec.fact.name] = (upserted, marts.fact_month(spec.fact))
+            else:
+                frames[spec.fact.name] = upserted
         else:
             read = None
             changed = staging.filter(changed_flag).count()
         if spec.dim is not None:
             dim_src = marts.build_dim(cleaned, spec.dim)
-            dim_tgt = store.read(spec.dim.name, dim_src.schema)
-            frames[spec.dim.name] = merge.upsert_aggregate(
-                dim_tgt, dim_src, spec.dim.key, spec.dim.attributes,
-                least_cols=(spec.dim.first_seen,), greatest_cols=(spec.dim.last_seen,),
-            )
-        if spec.fact is not None and spec.dim is not None and spec.fact.dim_key:
-            lost = checks.orphans(fact_src, frames[spec.dim.name], [spec.fact.dim_key], [spec.dim.key]).agg(F.sum("n")).first()[0]
-            if lost:
-                raise checks.OrphanViolation(f"{lost} rows of {spec.fact.name} have no row in {spec.dim.name}")
+            frames[spec.dim.name] = _upserted_dim(store, spec.dim, dim_src)
+            frames[dim_state_table(spec)] = dim_src
+        if spec.fact is not None and spec.dim is not None:
+            _no_orphans(fact_src, frames[spec.dim.name], spec)
         for name, build in spec.mart_steps:  # X4: further mart steps, in order
-            frames[name] = build(cleaned)
+            frames[name] = build(cleaned.drop(STAGED_BY))
         if changed:
             frames[staging_table(spec)] = cleaned
-        observations = {}
-        for name in list(frames):
-            observations[name] = Observation(f"tf_{name}_{run.run_id}")
-            frames[name] = frames[name].observe(observations[name], F.count(F.lit(1)).alias("n"))
-        store.publish(frames)
-        written = sum(o.get["n"] for n, o in observations.items() if n != staging_table(spec))
+        seen = _observed(frames, run)
+        seen |= _observed(parts, run)
+        store.publish({**frames, merged_runs_table(spec): merged} if not changed else frames, parts)
+        written = sum(o.get["n"] for n, o in seen.items() if n not in (staging_table(spec), dim_state_table(spec)))
         read = read if read is not None else staging.count()
         state = [(store.current(staging_table(spec))[1], read, _now())]
         store.append(transformed_table(spec), spark.createDataFrame(state, TRANSFORMED_SCHEMA))
@@ -502,7 +660,7 @@ def run_stages(
     """Run the named stages in order; a failing stage raises and stops the rest.
 
     ``load_raw`` alone reads the newest committed landing directory;
-    ``incremental`` selects the incremental validate (same result, reads less).
+    ``incremental`` selects the incremental validate and transform (same result, reads less).
     """
     results: dict[str, StageResult] = {}
     landing_dir = None
@@ -517,7 +675,7 @@ def run_stages(
     if "validate" in stages:
         results["validate"] = validate(store, spec, as_of=as_of, incremental=incremental)
     if "transform" in stages:
-        results["transform"] = transform(store, spec)
+        results["transform"] = transform(store, spec, incremental=incremental)
     return results
 
 

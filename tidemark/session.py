@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every stage depends on for correct results.
@@ -74,6 +77,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return None
 
 
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share; a local session may do without the setting."""
+    base = ensure_checkpoint_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tidemark-work-"))
+    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must be a folder that all executors share, not {base}")
+    return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, asked of its own file system."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

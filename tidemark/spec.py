@@ -76,12 +76,21 @@ class DimSpec:
 
 @dataclass(frozen=True)
 class FactSpec:
-    """Fact table: grain columns (unique) plus carried columns."""
+    """Fact table: grain columns (unique) plus carried columns.
+
+    ``month_of`` names a time column of the grain by whose month the table is
+    published part by part (None: as a whole).
+    """
 
     name: str
     grain: tuple[str, ...]
     columns: tuple[str, ...]
     dim_key: str | None = None
+    month_of: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.month_of is not None and self.month_of not in self.grain:
+            raise ValueError(f"{self.month_of!r} is no column of the grain: an upsert could move a row to another month")
 
 
 @dataclass(frozen=True)
@@ -102,6 +111,7 @@ class SourceSpec:
     dim: DimSpec | None = None
     fact: FactSpec | None = None
     freshness_delivery: str | None = None
+    key_buckets: int = 64  # folders of the staged keys' index; fixed once it is written
     # Extra mart steps run by transform in this order after dim and fact:
     # (table name, builder from cleaned staging to the table's rows).
     mart_steps: tuple[tuple[str, Callable], ...] = ()

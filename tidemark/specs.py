@@ -45,6 +45,7 @@ AUCTION_FACT = FactSpec(
         "unit_result_id",
     ),
     dim_key="auction_unit",
+    month_of="delivery_start_utc",
 )
 
 
