@@ -7,13 +7,14 @@ position is a variable too; a line's template is its constant tokens. A template
 documents is boilerplate, and its lines are dropped.
 
 1. Leaves are counted by documents; leaves below ``min_docs`` cannot recur.
-2. Lines of the other leaves (token hashes only) give counts per (leaf,
-   position, token), which fix the variables, and then of documents per template.
+2. Lines of the other leaves (token hashes only) are grouped by (leaf, line).
+   The tokens of each different line, weighed by how many lines it stands for,
+   give counts per (leaf, position, token), which fix the variables; documents
+   are counted per template.
 3. With ``exact``, every non-blank line enters the tree, and a line that
    ``min_docs`` documents have word for word is dropped as well, however short
-   it is and whatever its share of variables. Lines are counted per (leaf, line)
-   first; documents only of the lines that this leaves.
-4. The dropped line numbers are joined to the texts.
+   it is and whatever its share of variables.
+4. The dropped (leaf, line) are joined to the lines, their numbers to the texts.
 
 All counts combine before the shuffle, so a line that a third of the documents
 share costs a row per task; no leaf is ever collected.
@@ -94,40 +95,54 @@ def _drop(batches):
 
 
 # ---------------------------------------------------------------- driver side
+def _in_documents(lines: DataFrame, by: list[str], min_docs: int) -> DataFrame:
+    """The values of ``by`` that lines of at least ``min_docs`` documents have."""
+    return lines.select(*by, "_id", "_th").distinct().groupBy(*by).agg(F.count("*").alias("c")).filter(F.col("c") >= min_docs).select(*by)
+
+
 def dedup_lines(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 2, min_docs: int = 5, min_constant: float = 0.6, min_tokens: int = 3,
-    exact: bool = False,
+    exact: bool = True,
 ) -> DataFrame:
     """The other columns of ``df``, the kept lines as ``text_col``, and n_lines and n_dropped (replaced if there)."""
-    key = [id_key(df, id_col).alias("_id"), F.hash(F.col(text_col)).alias("_th")]
+    key = [id_key(df, id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th")]
     docs = df.select(*key, F.col(text_col).alias("_text"))
     kind = docs.schema["_id"].dataType.simpleString()
     emit = partial(_emit, depth=depth, min_tokens=1 if exact else min_tokens)
-    leaves = docs.mapInArrow(partial(emit, tokens=False), f"_id {kind}, _th int, leaf long").distinct()
-    leaves = materialize(leaves.groupBy("leaf").agg(F.count("*").alias("c")).filter(F.col("c") >= min_docs).select("leaf"), "leaves")
-    lines = docs.mapInArrow(partial(emit, tokens=True), f"_id {kind}, _th int, leaf long, same long, line int, tokens array<int>")
+    leaves = docs.mapInArrow(partial(emit, tokens=False), f"_id {kind}, _th long, leaf long")
+    leaves = materialize(_in_documents(leaves, ["leaf"], min_docs), "leaves")
+    lines = docs.mapInArrow(partial(emit, tokens=True), f"_id {kind}, _th long, leaf long, same long, line int, tokens array<int>")
     lines = materialize(lines.join(leaves, "leaf", "left_semi"), "lines")
-    each = lines.filter(F.size("tokens") >= min_tokens).select("leaf", "_id", "_th", "line", F.posexplode("tokens").alias("pos", "token"))
-    each = each.filter(F.col("token") != int((np.array([VARIABLE]) >> U64(32)).astype(np.uint32).view(np.int32)[0]))
-    votes = each.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th")).alias("a"), F.max(F.struct("_id", "_th")).alias("b"))
-    votes = votes.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf", "pos", "token")
-    fixed = each.join(votes, ["leaf", "pos", "token"]).groupBy("leaf", "_id", "_th", "line").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("pos", "token").cast("decimal(20,0)")).alias("template"), F.sum(F.xxhash64("token", "pos", F.lit(1)).cast("decimal(20,0)")).alias("template2")
-    )
-    sizes = lines.select("leaf", "_id", "_th", "line", F.size("tokens").alias("size"))
-    told = fixed.join(sizes, ["leaf", "_id", "_th", "line"]).filter(F.col("n") >= F.col("size") * min_constant)
-    told = materialize(told.select("leaf", "template", "template2", "_id", "_th", "line"), "templates")
-    common = told.select("leaf", "template", "template2", "_id", "_th").distinct().groupBy("leaf", "template", "template2").agg(F.count("*").alias("c"))
-    common = materialize(common.filter(F.col("c") >= min_docs).select("leaf", "template", "template2"), "common")
-    gone = told.join(common, ["leaf", "template", "template2"], "left_semi").select("_id", "_th", "line")
+
+    # Equal lines have equal templates: from here on each different line counts once, with how many lines it stands for.
+    doc = F.struct("_id", "_th")
+    kinds = lines.groupBy("leaf", "same").agg(F.count("*").alias("c"), F.min(doc).alias("a"), F.max(doc).alias("b"), F.any_value("tokens").alias("tokens"))
+    kinds = materialize(kinds, "kinds")
+    variable = int((np.array([VARIABLE]) >> U64(32)).astype(np.uint32).view(np.int32)[0])
+    long = kinds.filter(F.size("tokens") >= min_tokens)
+    each = long.select("leaf", "same", "c", "a", "b", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token")).filter(F.col("token") != variable)
+    votes = each.groupBy("leaf", "pos", "token").agg(F.sum("c").alias("n"), F.min("a").alias("lo"), F.max("b").alias("hi"))
+    votes = votes.filter((F.col("n") >= min_docs) & (F.col("lo") != F.col("hi"))).select("leaf", "pos", "token")
+    fixed = each.select("leaf", "same", "c", "a", "b", "size", "pos", "token").join(votes, ["leaf", "pos", "token"])
+    fixed = fixed.groupBy("leaf", "same", "size").agg(
+        F.count("*").alias("n"), F.any_value("c").alias("c"), F.any_value("a").alias("a"), F.any_value("b").alias("b"),
+        F.bit_xor(F.xxhash64("pos", "token")).alias("t1"), F.bit_xor(F.xxhash64("token", "pos", F.lit(1))).alias("t2"),
+    )
+    template = ["leaf", "t1", "t2"]
+    told = materialize(fixed.filter(F.col("n") >= F.col("size") * min_constant).select(*template, "same", "c", "a", "b"), "templates")
+    # A template of too few lines, or of one document, cannot be common; documents are counted for the others only.
+    often = told.groupBy(*template).agg(F.sum("c").alias("n"), F.min("a").alias("lo"), F.max("b").alias("hi"))
+    often = often.filter((F.col("n") >= min_docs) & (F.col("lo") != F.col("hi"))).select(*template)
+    spelt = told.join(often, template, "left_semi").select(*template, "same")
+    common = _in_documents(lines.select("leaf", "same", "_id", "_th").join(spelt, ["leaf", "same"]), template, min_docs)
+    gone = told.select(*template, "same").join(common, template, "left_semi").select("leaf", "same")
     if exact:
-        often = lines.groupBy("leaf", "same").agg(F.count("*").alias("c"))
-        often = materialize(often.filter(F.col("c") >= min_docs).select("leaf", "same"), "often")
-        copies = materialize(lines.select("leaf", "same", "_id", "_th", "line").join(often, ["leaf", "same"], "left_semi"), "copies")
-        shared = copies.select("leaf", "same", "_id", "_th").distinct().groupBy("leaf", "same").agg(F.count("*").alias("c"))
-        shared = materialize(shared.filter(F.col("c") >= min_docs).select("leaf", "same"), "shared")
-        gone = gone.union(copies.join(shared, ["leaf", "same"], "left_semi").select("_id", "_th", "line"))
-    drop = gone.groupBy("_id", "_th").agg(F.collect_set("line").alias("drop"))
+        again = kinds.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf", "same")
+        copies = lines.select("leaf", "same", "_id", "_th").join(again, ["leaf", "same"], "left_semi")
+        gone = gone.union(_in_documents(copies, ["leaf", "same"], min_docs))
+    gone = materialize(gone.distinct(), "gone")
+    drop = lines.select("leaf", "same", "_id", "_th", "line").join(gone, ["leaf", "same"], "left_semi")
+    drop = drop.groupBy("_id", "_th").agg(F.collect_set("line").alias("drop"))
     names = other_columns(df, [text_col, "n_lines", "n_dropped"])
     base = df.select(*key, F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text_col).alias("_text"))
     row = base.schema["_row"].dataType.simpleString()
