@@ -182,14 +182,16 @@ def _append_columns(batches, work, text_at: int, carried: int, names: list[str])
             yield pa.RecordBatch.from_arrays([*batch.columns[:carried], *new], names)
 
 
-def map_texts(df: DataFrame, text_col: str, carry: list[str], work, fields: list[T.StructField]) -> DataFrame:
+def map_texts(df: DataFrame, text_col: str, carry: list[str], work, fields: list[T.StructField], row: str | None = None) -> DataFrame:
     """The columns ``carry`` of ``df`` and the ``fields`` that ``work(i, j, buf, bounds)`` returns for rows i to j of a batch.
 
-    A text goes to Python once, also when it is one of the carried columns; null is empty there.
+    A text goes to Python once, also when it is one of the carried columns; null is empty there. With ``row`` the carried
+    columns come back as a struct of that name, so that they cannot clash with the fields.
     """
     held = list(carry) if text_col in carry else [*carry, text_col]
     base = df.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(held)])
     names = [f"_c{k}" for k in range(len(carry))] + [f.name for f in fields]
     schema = T.StructType([T.StructField(f"_c{k}", df.schema[c].dataType) for k, c in enumerate(carry)] + list(fields))
     out = base.mapInArrow(partial(_append_columns, work=work, text_at=held.index(text_col), carried=len(carry), names=names), schema)
-    return out.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *[f.name for f in fields])
+    own = [F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)]
+    return out.select(*([F.struct(F.lit(0).alias("_"), *own).alias(row)] if row else own), *[f.name for f in fields])

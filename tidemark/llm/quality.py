@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LOWER, U64, byte_table, chunks, id_key, mix, other_columns, span_hash, text_column, word_hash, word_spans, words_per_text
+from tidemark.llm.common import LOWER, U64, byte_table, chunks, id_key, map_texts, materialize, mix, other_columns, text_column, word_hash, word_spans, words_per_text
 
 SAMPLE = 10_000
 MAX_FEATURES = 20_000
@@ -45,8 +45,10 @@ MIN_Z = 4.0
 MIN_HELD = 10  # documents of each class that the held-out part needs
 NEVER = -20.0  # log odds of a head that knows nothing
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
+FEATURE_BYTES = 1 << 20  # text whose features are held at a time: some 30 bytes for each of its own
 BREAKS = byte_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 HEADS = ("junk", "toxic")
+EVIDENCE = [T.StructField("_n", T.LongType()), T.StructField("_x", T.ArrayType(T.DoubleType()))]
 CAPITAL = np.zeros(256, dtype=np.int64)
 CAPITAL[65:91] = 1
 MARK = BREAKS.astype(np.int64)
@@ -130,7 +132,7 @@ def _count_features(batches):
     """Per batch and feature: texts and occurrences in all and in each head's bad class."""
     for batch in batches:
         y = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, 1 + len(HEADS))])
-        for i, j, buf, bounds in chunks(text_column(batch, "_text")):
+        for i, j, buf, bounds in chunks(text_column(batch, "_text"), FEATURE_BYTES):
             names, doc, _ = features(buf, bounds)
             distinct, which = np.unique(names, return_inverse=True)
             pair = np.unique(which.astype(np.int64) * (j - i) + doc)
@@ -146,20 +148,21 @@ def _count_features(batches):
             )
 
 
-def _evidence(batches, known: np.ndarray, weights: np.ndarray, fits: np.ndarray | None):
-    """Raw evidence (fits None) or log odds of each head, and the number of words."""
-    for batch in batches:
-        rows = []
-        for _, _, buf, bounds in chunks(text_column(batch, "_text")):
-            names, doc, n_words = features(buf, bounds)
-            x = evidence(names, doc, n_words, known, weights)
-            if fits is not None:
-                x = fits[:, 0] + (x * fits[:, 1:]).sum(2)
-            rows.append(np.column_stack((n_words, x.reshape(len(n_words), -1))))
-        x = np.concatenate(rows)
-        flat = pa.array(x[:, 1:].ravel())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] - 1)), flat)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x[:, 0].astype(np.int64)), lists], ["_row", "_n", "_x"])
+def _evidence(i, j, buf, bounds, known: np.ndarray, weights: np.ndarray, fits: np.ndarray | None):
+    """Number of words, and raw evidence (fits None) or log odds of each head, of the texts in ``buf``."""
+    rows = []
+    lo = 0
+    while lo < j - i:  # a few texts at a time
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + FEATURE_BYTES, "right")) - 1)
+        names, doc, n_words = features(buf[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo])
+        x = evidence(names, doc, n_words, known, weights)
+        if fits is not None:
+            x = fits[:, 0] + (x * fits[:, 1:]).sum(2)
+        rows.append(np.column_stack((n_words, x.reshape(len(n_words), -1))))
+        lo = hi
+    x = np.concatenate(rows)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] - 1)), pa.array(x[:, 1:].ravel()))
+    return [pa.array(x[:, 0].astype(np.int64)), lists]
 
 
 # ---------------------------------------------------------------- driver side
@@ -211,8 +214,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     known = known[order]
     weights = np.array(list(found.values()), dtype=np.float64).reshape(-1, len(HEADS)).T[:, order]
     told = rows.select(F.struct("_row", *HEADS, "hold").alias("_row"), "_text")
-    kind = told.schema["_row"].dataType.simpleString()
-    seen = told.mapInArrow(partial(_evidence, known=known, weights=weights, fits=None), f"_row {kind}, _n long, _x array<double>")
+    seen = map_texts(told, "_text", ["_row"], partial(_evidence, known=known, weights=weights, fits=None), EVIDENCE)
     # rows that share a chosen id count once in the logistic fits, by their least evidence: at most ``sample`` rows
     seen = seen.groupBy("_row").agg(F.min("_x").alias("_x")).collect()
     x = np.array([r["_x"] for r in seen]).reshape(len(seen), len(HEADS), 2)
@@ -269,11 +271,14 @@ def classify(
         under = paths.select("_host", "_path", "n", F.col(h).alias("bad")).join(host_rate, F.col("_host").eqNullSafe(F.col("_h"))).drop("_h")
         path_rate = shrunken_rates(under, ["_host", "_path"], "prior", f"rate_{h}").withColumnsRenamed({"_host": "_h", "_path": "_p"})
         site = site.join(path_rate, F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p"))).drop("_h", "_p")
-    base = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text_col).alias("_text"))
-    kind = base.schema["_row"].dataType.simpleString()
-    scored = base.mapInArrow(partial(_evidence, known=model.known, weights=model.weights, fits=model.fits), f"_row {kind}, _n long, _x array<double>")
     site = site.select(F.col("_host").alias("_h"), F.col("_path").alias("_p"), *[f"rate_{h}" for h in HEADS])
-    scored = scored.join(site, F.col(f"_row.`{host}`").eqNullSafe(F.col("_h")) & F.col(f"_row.`{path}`").eqNullSafe(F.col("_p")), "left")
+    # As a written table its size is known when the join is planned: broadcast if small, so that texts are not shuffled by site.
+    site = materialize(site, "sites")
+    carry = [*names, *[c for c in (host, path) if c not in names]]
+    work = partial(_evidence, known=model.known, weights=model.weights, fits=model.fits)
+    scored = map_texts(df, text_col, carry, work, EVIDENCE, row="_row")
+    scored = scored.select("_row", "_n", "_x", F.col("_row").getField(host).alias("_host"), F.col("_row").getField(path).alias("_path"))
+    scored = scored.join(site, F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p")), "left")
     odds = {}
     for k, h in enumerate(HEADS):
         rate = float(model.rates[k])
