@@ -219,6 +219,62 @@ def test_jaccard_text_ids(spark):
     assert got == {"k0": "k0", "k1": "k0", "k2": "k2", "k3": "k3"}
 
 
+@pytest.mark.parametrize("ids", [[(1 << 62) + 5, (1 << 62) + 9, 7 * 10**18, 3], [-(1 << 63), (1 << 63) - 1, -5, 8]])
+def test_jaccard_ids_of_any_size(spark, ids):
+    """With rows without an id beside them, whose vertices must be none of the ids."""
+    texts = ["a b c d e f g", "a b c d e f g", "q r s t u v w", "q r s t u v w", "a b c d e f g", "lone words without a mate here", "lone words without a mate here"]
+    df = frame(spark, texts, [*ids, None, None, None])
+    got = sorted(((r["doc_id"], r["component_id"]) for r in cluster_documents(df).collect()), key=str)
+    a, q = min(ids[:2]), min(ids[2:])
+    assert got == sorted([(ids[0], a), (ids[1], a), (None, a), (ids[2], q), (ids[3], q), (None, None), (None, None)], key=str)
+    assert sorted(r["text"][0] for r in keep_one(df).collect()) == ["a", "l", "q"]
+
+
+def test_jaccard_an_id_with_two_texts_joins_their_groups(spark):
+    df = frame(spark, ["a b c d e f g", "q r s t u v w", "a b c d e f g", "q r s t u v w"], [9, 9, 4, 6])
+    assert {(r["doc_id"], r["component_id"]) for r in cluster_documents(df).collect()} == {(9, 4), (4, 4), (6, 4)}
+
+
+def test_jaccard_very_long_texts_at_the_threshold(spark):
+    """200,000 words: prefixes of 50,000 shingles, whose short names clash; 75 of 100 shared, and one less."""
+    words = [f"w{i}" for i in range(200_004)]  # 200,000 shingles
+    texts = [" ".join(words), " ".join(words[:150_004]), " ".join(words[:150_003]), " ".join(words[100_000:])]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in cluster_documents(frame(spark, texts)).collect()}
+    assert got == {0: (200_000, 0), 1: (150_000, 0), 2: (149_999, 0), 3: (100_000, 3)}
+    apart = {r["doc_id"]: r["component_id"] for r in cluster_documents(frame(spark, [texts[0], texts[2]])).collect()}
+    assert apart == {0: 0, 1: 1}
+
+
+def test_keep_one_with_columns_of_the_operators_own_names(spark):
+    df = frame(spark, ["a b c d e f", "a b c d e f", "x y"])
+    for name in ("_v", "_th", "_row", "c", "n", "rep", "a"):
+        df = df.withColumn(name, F.lit(f"my {name}"))
+    out = keep_one(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"], r["_v"], r["_th"], r["c"]) for r in out.collect()) == [(0, "my _v", "my _th", "my c"), (2, "my _v", "my _th", "my c")]
+
+
+def test_pairs_of_near_copies_that_are_no_links_meet_seldom(spark, monkeypatch):
+    """600 copies of one text with edits each, most pairs of them below the threshold: pass 2 stays far from all pairs in all cells."""
+    import tidemark.llm.jaccard as J
+
+    seen = []
+    base = prose(41, 150, 3000).split()
+    texts = [edited(base, s, 2 + s % 8) for s in range(600)]
+    real = J._verified
+
+    def verified(pairs, *args):
+        if args[-1] == "across":
+            pairs = J.materialize(pairs, "counted")
+            seen.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(J, "_verified", verified)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in cluster_documents(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_components(texts)))
+    assert len({c for _, c in got.values()}) > 100 and seen[0] < 600 * 599 / 2 / 10
+
+
 def test_op4_on_the_small_tables(spark):
     docs = Q.table(spark, SF, "documents").select("doc_id", "text").orderBy("doc_id").collect()
     ids = [d["doc_id"] for d in docs]

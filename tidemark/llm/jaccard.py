@@ -22,9 +22,14 @@ every document under these links.
   searches each cell's R-tree for pairs across components. A cell too large for
   one task is split into pairs of blocks, which together hold all its pairs.
   Nothing is capped.
-* Linked sets share many cells (see ``_verified``), so pairs that meet in a
-  passage only are dropped by counting; pairs whose count vectors allow a link
-  are then verified on the whole texts.
+* A pair counts in a cell only if it could be the first cell, in the order, that
+  both share: what stands before it in either prefix is then not shared, and
+  must leave enough for a link. The first shared cell of linked sets passes.
+  So near copies that are no links, each with edits of its own, which are rare
+  shingles and come first, meet in few of the cells they share.
+* Linked sets share many shingles of their prefixes (see ``_bounded``), so pairs
+  that meet in a passage only are dropped; pairs whose count vectors also allow
+  a link are then verified on the whole texts.
 
 Links between documents that pass 1 has joined already are not enumerated, for
 they cannot change a component. Components are found by hooking to the least
@@ -44,15 +49,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LOWER, U64, chunks, materialize, mix, other_columns, span_hash, text_column, word_hash, word_spans, words_per_text
+from tidemark.llm.common import LOWER, U64, chunks, materialize, mix, span_hash, text_column, word_hash, word_spans, words_per_text
 
 GROUPS = 64
 SAMPLE_DOCS = 10_000
 MAX_FREQUENT = 200_000  # shingles put last in the order
 LEAF = 32  # points in an R-tree leaf
+FAN = 8  # nodes below a node
 CELL = 2048  # documents of a cell searched in one task
 TURNS = 3  # of pass 1; more turns leave fewer pairs to pass 2, which finds whatever links are left
-NO_ID = 1 << 62  # vertices of documents without an id
+HIGH = 1 << 62  # vertices of documents without an id are from here up, if no id is
 
 
 # ------------------------------------------------------------------ task side
@@ -134,43 +140,70 @@ def _vectors(col: pa.Array) -> np.ndarray:
 
 
 def _bounded(batches, percent: int):
-    """Pairs (a, b) whose sizes and count vectors allow a link."""
+    """Pairs (a, b) whose sizes, count vectors and prefixes allow a link.
+
+    Of two prefixes, take the one that ends first in the order: what it shares
+    with the other set lies in the other prefix too. At most n - need of its
+    shingles are not shared, so linked sets share prefix - (n - need) of them at
+    least; that many less the names that clash within either prefix are equal.
+    """
     for batch in batches:
         col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
         if not len(col["a"]):
             continue
-        least = np.minimum(_vectors(col["vec_a"]), _vectors(col["vec_b"])).sum(1)
-        ok = least >= need(col["n_a"].to_numpy().astype(np.int64), col["n_b"].to_numpy().astype(np.int64), percent)
+        n_a, n_b = (col[f"n_{e}"].to_numpy().astype(np.int64) for e in "ab")
+        overlap = need(n_a, n_b, percent)
+        ok = np.minimum(_vectors(col["vec_a"]), _vectors(col["vec_b"])).sum(1) >= overlap
+        least = np.minimum(prefix_size(n_a, percent) - (n_a - overlap), prefix_size(n_b, percent) - (n_b - overlap))
+        sides = []
+        for e in "ab":
+            lists = col[f"prefix_{e}"]
+            sides.append((lists.offsets.to_numpy(), lists.values.to_numpy()))
+        for i in np.flatnonzero(ok & (least > 1)):
+            x, y = (values[at[i] : at[i + 1]] for at, values in sides)
+            dx, dy = np.unique(x), np.unique(y)
+            clashes = min(len(x) - len(dx), len(y) - len(dy))
+            ok[i] = len(np.intersect1d(dx, dy, assume_unique=True)) >= least[i] - clashes
         keep = pa.array(np.flatnonzero(ok))
         yield pa.RecordBatch.from_arrays([col["a"].take(keep), col["b"].take(keep)], ["a", "b"])
 
 
 class RTree:
-    """Points of a cell, packed into leaves by size and by their largest groups; one level of upper corners above them."""
+    """Points of a cell, packed into leaves by size and by their largest groups, and nodes of ``FAN`` nodes above them.
+
+    A node knows the upper corner of its points and the least of their sizes.
+    """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         top = points.argmax(1)
         self.order = np.lexsort((points[np.arange(len(points)), top], top, sizes // max(1, int(sizes.max()) // 8 + 1)))
         cuts = np.arange(0, len(points), LEAF)
-        packed = points[self.order]
-        self.corner = np.maximum.reduceat(packed, cuts, axis=0)
-        self.least = np.minimum.reduceat(sizes[self.order], cuts)
+        levels = [(np.maximum.reduceat(points[self.order], cuts, axis=0), np.minimum.reduceat(sizes[self.order], cuts))]
+        while len(levels[-1][1]) > FAN:
+            corner, least = levels[-1]
+            cuts = np.arange(0, len(least), FAN)
+            levels.append((np.maximum.reduceat(corner, cuts, axis=0), np.minimum.reduceat(least, cuts)))
+        self.levels = levels  # leaves first
         self.points, self.sizes = points, sizes
 
     def search(self, q: int, percent: int) -> np.ndarray:
-        """Indices of points that may link with point ``q``."""
+        """Indices of points that may link with point ``q``: down from the root, through nodes that may hold one."""
         p, n = self.points[q], self.sizes[q]
-        leaves = np.flatnonzero(np.minimum(self.corner, p).sum(1) >= need(self.least, n, percent))
-        if not len(leaves):
-            return leaves
-        at = (leaves[:, None] * LEAF + np.arange(LEAF)).ravel()
-        found = self.order[at[at < len(self.order)]]
+        nodes = np.arange(len(self.levels[-1][1]))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            corner, least = self.levels[depth]
+            nodes = nodes[np.minimum(corner[nodes], p).sum(1) >= need(least[nodes], n, percent)]
+            if not len(nodes):
+                return nodes
+            fan, size = (FAN, len(self.levels[depth - 1][1])) if depth else (LEAF, len(self.order))
+            nodes = (nodes[:, None] * fan + np.arange(fan)).ravel()
+            nodes = nodes[nodes < size]
+        found = self.order[nodes]
         return found[np.minimum(self.points[found], p).sum(1) >= need(self.sizes[found], n, percent)]
 
 
 def _search_cells(batches, percent: int, flush: int = 200_000):
-    """Rows come ordered by cell; emits (a, b, cells): pairs of different components that may link, and in how many
-    cells they met (added up as far as one task saw them together)."""
+    """Rows come ordered by cell; emits (a, b): pairs of different components that may link and may share no earlier cell."""
     found: list = [[], []]
     rows: list = []
     cell, size = None, 0
@@ -180,20 +213,17 @@ def _search_cells(batches, percent: int, flush: int = 200_000):
             return 0
         v = np.array([x[3] for x in rows], dtype=np.int64)
         split = rows[0][1] != rows[0][2]  # a pair of blocks: only pairs across them
-        if len(rows) == 2:
-            if not split or rows[0][6] != rows[1][6]:
-                found[0].append(v.min(keepdims=True))
-                found[1].append(v.max(keepdims=True))
-            return 1
         comp = np.array([x[4] for x in rows], dtype=np.int64)
         side = np.array([x[6] for x in rows], dtype=np.int64)
         sizes = np.array([x[5] for x in rows], dtype=np.int64)
+        left = np.array([x[8] for x in rows], dtype=np.int64)
         points = np.frombuffer(b"".join(x[7] for x in rows), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
         tree = RTree(points, sizes)
         n = 0
         for q in range(len(v)):
             near = tree.search(q, percent)
             near = near[(v[near] > v[q]) & (comp[near] != comp[q])]
+            near = near[np.minimum(left[near], left[q]) >= need(sizes[near], sizes[q], percent)]
             if split:
                 near = near[side[near] != side[q]]
             found[0].append(np.full(len(near), v[q]))
@@ -201,26 +231,25 @@ def _search_cells(batches, percent: int, flush: int = 200_000):
             n += len(near)
         return n
 
-    def counted():
+    def once():
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
         found[:] = [[], []]
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
         new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-        count = np.diff(np.append(new, len(a)))
-        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(count)], ["a", "b", "cells"])
+        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
 
     for batch in batches:
-        for x in zip(*[batch.column(k).to_pylist() for k in range(8)], strict=True):
+        for x in zip(*[batch.column(k).to_pylist() for k in range(9)], strict=True):
             if x[:3] != cell:
                 size += search(rows)
                 rows, cell = [], x[:3]
                 if size >= flush:
-                    yield counted()
+                    yield once()
                     size = 0
             rows.append(x)
     search(rows)
-    yield counted()
+    yield once()
 
 
 def _verify(batches, width: int, percent: int):
@@ -258,26 +287,40 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _vertex(df: DataFrame, id_col: str, text_col: str) -> Column:
-    kind = df.schema[id_col].dataType
-    own = F.col(id_col).cast("long") if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 2)
-    return F.when(F.col(id_col).isNull(), F.shiftrightunsigned(F.xxhash64(F.col(text_col)), 2).bitwiseOR(F.lit(NO_ID))).otherwise(own)
+def _is_long(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b, cells) that link: bounded by the cells they share and by their count vectors, then compared on
-    the texts in ``docs``(_v, _text).
+def _vertices(df: DataFrame, id_col: str, text_col: str) -> tuple[Column, str]:
+    """The vertex of a row, and what vertices are: ``ids`` all, ``high`` ones from HIGH on have none, or ``other``.
 
-    Of the two prefixes, take the one that ends first in the order: what it shares with the other set lies in the other
-    prefix too. At most n - need of its shingles are not shared, so linked sets meet in at least
-    prefix - (n - need) cells (2 less, for clashing names of shingles).
+    An integral id is its own vertex, another kind its 64-bit hash. A row without an id gets a hash of its text, from a
+    part of the 64-bit numbers that holds no id; only if ids lie in both outer quarters is that left to the hash alone.
     """
+    text = F.xxhash64(F.col(f"`{text_col}`"), F.lit(7))
+    if not _is_long(df, id_col):
+        return F.when(F.col(f"`{id_col}`").isNull(), text).otherwise(F.xxhash64(F.col(f"`{id_col}`"))), "other"
+    own = F.col(f"`{id_col}`").cast("long")
+    seen = df.agg(F.min(own).alias("lo"), F.max(own).alias("hi"), F.count(F.when(own.isNull(), 1)).alias("none")).first()
+    if not seen["none"]:
+        return own, "ids"
+    short = F.shiftrightunsigned(text, 2)
+    if (seen["hi"] or 0) < HIGH:
+        return F.coalesce(own, short.bitwiseOR(F.lit(HIGH))), "high"
+    if (seen["lo"] or 0) >= -HIGH:
+        return F.coalesce(own, short.bitwiseOR(F.lit(-(1 << 63)))), "other"
+    return F.coalesce(own, text), "other"
+
+
+def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) that link: bounded by sizes, count vectors and prefixes, then compared on the texts in ``docs``(_v, _text)."""
+    pairs = materialize(pairs, f"{name}-pairs")
+    ids = materialize(pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v"))).distinct(), f"{name}-met")
+    near = points.join(ids, "_v", "left_semi")  # ids is a written table: broadcast while it is small
     for end in ("a", "b"):
-        pairs = pairs.join(points.select(F.col("_v").alias(end), F.col("n").alias(f"n_{end}"), F.col("vec").alias(f"vec_{end}")), end)
-    least, most = F.least("n_a", "n_b").cast("long"), F.greatest("n_a", "n_b").cast("long")
-    overlap = F.ceil((least + most) * percent / (100 + percent))
-    fits = (least * 100 >= most * percent) & (F.col("cells") + 2 >= overlap - F.ceil(most * percent / 100) + 1)
-    pairs = pairs.filter(fits).select("a", "b", "n_a", "n_b", "vec_a", "vec_b").mapInArrow(partial(_bounded, percent=percent), "a long, b long")
+        pairs = pairs.join(near.select(F.col("_v").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "vec", "prefix")]), end)
+    columns = [f"{c}_{end}" for c in ("n", "vec", "prefix") for end in ("a", "b")]
+    pairs = pairs.select("a", "b", *columns).mapInArrow(partial(_bounded, percent=percent), "a long, b long")
     pairs = materialize(pairs, f"{name}-bounded")
     ids = materialize(pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v"))).distinct(), f"{name}-ids")
     docs = materialize(docs.join(ids, "_v", "left_semi"), f"{name}-texts")  # the texts of few documents
@@ -286,9 +329,9 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, width: int,
     return materialize(both.mapInArrow(partial(_verify, width=width, percent=percent), "a long, b long").distinct(), f"{name}-links")
 
 
-def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
-    """(_v, _th, n, c): each document's vertex, text hash, set size and least reachable vertex."""
-    docs = df.select(_vertex(df, id_col, text_col).alias("_v"), F.hash(F.col(text_col)).alias("_th"), F.col(text_col).alias("_text"))
+def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
+    """(_v, _th, n, c): each document's ``vertex``, text hash, set size and least reachable vertex."""
+    docs = df.select(vertex.alias("_v"), F.xxhash64(F.col(f"`{text_col}`")).alias("_th"), F.col(f"`{text_col}`").alias("_text"))
     size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("_text")).alias("bytes")).first()
     total = size["n"]
     # Names of cells: short, but 64 times as many as there are shingles in prefixes (about one in 24 bytes).
@@ -302,7 +345,7 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rank = np.minimum(63, 1 + np.log2(np.array([r["c"] for r in often], dtype=float) + 1) * 4).astype(np.int64) if often else np.zeros(0, np.int64)
     profile = docs.mapInArrow(
         partial(_profile, width=width, percent=percent, frequent=frequent[by], rank=rank[by], bits=bits),
-        "_v long, _th int, n int, f1 long, f2 long, vec binary, prefix array<long>",
+        "_v long, _th long, n int, f1 long, f2 long, vec binary, prefix array<long>",
     )
     profile = materialize(profile, "profile")
 
@@ -310,40 +353,45 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = materialize(rows.groupBy("n", "f1", "f2").agg(F.min("_v").alias("rep")), "classes")
     members = rows.select("_v", "_th", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("_v", "_th", "rep")
     least = classes.select(F.col("rep").alias("_v"), "n", "f1", "f2")
-    points = rows.select("_v", "n", "f1", "f2", "vec").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
-    points = materialize(points.select("_v", "n", "vec"), "points")
+    points = rows.select("_v", "n", "f1", "f2", "vec", "prefix").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
+    points = materialize(points.select("_v", "n", "vec", "prefix"), "points")
 
     # Most shingles of prefixes are in one document only; they go before representatives are put in.
-    postings = rows.select(F.explode("prefix").alias("t"), "_v")
+    postings = rows.select(F.posexplode("prefix").alias("pos", "t"), "_v", "n")
     shared = materialize(postings.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1").select("t"), "shared")
     cells = materialize(postings.join(shared, "t", "left_semi"), "postings")
-    cells = cells.join(members.select("_v", "rep").distinct(), "_v").select("t", F.col("rep").alias("_v")).distinct()
-    cells = materialize(cells, "cells")
+    # equal sets have equal prefixes; of rows that share an id and not their text, all sets stand for it
+    cells = cells.join(members.select("_v", "rep").distinct(), "_v").groupBy("t", F.col("rep").alias("v2"))
+    cells = cells.agg(F.max(F.col("n") - F.col("pos")).alias("left"), F.min("n").alias("n"))  # shingles from this one on
+    cells = materialize(cells.select("t", F.col("v2").alias("_v"), "left", "n"), "cells")
+    # a vertex with several sets links them
+    several = members.groupBy("_v").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("_v", "a")
+    links = materialize(members.join(several, "_v").filter("a != rep").select("a", F.col("rep").alias("b")).distinct(), "own")
 
     # Pass 1: every member with one member of its cell, the first in an order that changes each turn.
-    links, told = None, cells.select("t", "_v", F.col("_v").alias("c"))
+    told = cells.withColumn("c", F.col("_v"))
     for turn in range(TURNS):
         order = F.xxhash64(F.lit(turn), F.col("_v"))
-        leaders = told.groupBy("t").agg(F.min_by("_v", order).alias("a"), F.min_by("c", order).alias("ca"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-        leaders = materialize(leaders.filter("lo != hi").select("t", "a", "ca"), "leaders")
-        stars = told.join(leaders, "t").filter("c != ca")
-        stars = stars.groupBy(F.least("a", "_v").alias("a"), F.greatest("a", "_v").alias("b")).agg(F.count("*").alias("cells"))
+        lead = F.min_by(F.struct("_v", "c", "left", "n"), order).alias("lead")
+        leaders = told.groupBy("t").agg(lead, F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi")
+        leaders = materialize(leaders.select("t", *[F.col(f"lead.{c}").alias(a) for c, a in (("_v", "a"), ("c", "ca"), ("left", "la"), ("n", "na"))]), "leaders")
+        stars = told.join(leaders, "t").filter("c != ca").filter(_may_be_first("n", "left", "na", "la", percent))
+        stars = stars.select(F.least("a", "_v").alias("a"), F.greatest("a", "_v").alias("b")).distinct()
         found = _verified(stars, points, docs.select("_v", "_text"), width, percent, f"stars{turn}")
-        links = found if links is None else links.unionAll(found)
+        links = links.unionAll(found)
         joined = components(links)
-        told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", F.coalesce("c", "_v").alias("c"))
+        told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", "left", "n", F.coalesce("c", "_v").alias("c"))
         told = materialize(told, "told")
 
     # Pass 2: pairs across components in the cells that hold several.
     mixed = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
     mixed = materialize(mixed.select("t", F.ceil(F.col("size") / CELL).cast("int").alias("blocks")), "mixed")
-    open_cells = told.join(mixed, "t").join(points, "_v")
+    open_cells = told.drop("n").join(mixed, "t").join(points.drop("prefix"), "_v")
     block = F.pmod(F.xxhash64("_v"), F.col("blocks")).cast("int")
-    open_cells = open_cells.select("t", "_v", "c", "n", "vec", block.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    open_cells = open_cells.select("t", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "_v", "c", "n", "side", "vec")
+    open_cells = open_cells.select("t", "_v", "c", "n", "vec", "left", block.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    open_cells = open_cells.select("t", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "_v", "c", "n", "side", "vec", "left")
     open_cells = open_cells.repartition("t", "lo", "hi").sortWithinPartitions("t", "lo", "hi")
-    across = open_cells.mapInArrow(partial(_search_cells, percent=percent), "a long, b long, cells long")
-    across = across.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
+    across = open_cells.mapInArrow(partial(_search_cells, percent=percent), "a long, b long").distinct()
     more = _verified(across, points, docs.select("_v", "_text"), width, percent, "across")
     joined = components(links.unionAll(more))
 
@@ -351,31 +399,38 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return profile.select("_v", "_th", "n").join(classed, ["_v", "_th"], "left").select("_v", "_th", "n", F.coalesce("c", "_v").alias("c"))
 
 
+def _may_be_first(n_a: str, left_a: str, n_b: str, left_b: str, percent: int) -> Column:
+    """Whether two sets may link if the first shingle they share, in the order, is one with this many left from it on."""
+    overlap = F.ceil((F.col(n_a).cast("long") + F.col(n_b)) * percent / (100 + percent))
+    return F.least(left_a, left_b) >= overlap
+
+
 def cluster_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """(id, n_shingles, component_id): a row per row of ``df``; component_id is the least id reachable by links.
 
     A component without any id has a null component_id.
     """
-    linked = link_documents(df, id_col, text_col, width, percent)
-    ids = df.select(_vertex(df, id_col, text_col).alias("_v"), F.col(id_col).alias("_id")).distinct()
-    if isinstance(df.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        name = F.when(F.col("c") < NO_ID, F.col("c"))
-        own = F.when(F.col("_v") < NO_ID, F.col("_v"))
+    vertex, kinds = _vertices(df, id_col, text_col)
+    linked = link_documents(df, vertex, text_col, width, percent)
+    n = F.col("n").cast("long").alias("n_shingles")
+    if kinds != "other":
+        own, least = (F.col(c) if kinds == "ids" else F.when(F.col(c) < HIGH, F.col(c)) for c in ("_v", "c"))
         kind = df.schema[id_col].dataType
-        return linked.select(own.cast(kind).alias(id_col), F.col("n").cast("long").alias("n_shingles"), name.cast(kind).alias("component_id"))
+        return linked.select(own.cast(kind).alias(id_col), n, least.cast(kind).alias("component_id"))
+    ids = df.select(vertex.alias("_v"), F.col(f"`{id_col}`").alias("_id")).distinct()
     named = linked.join(ids, "_v")
     least = named.groupBy("c").agg(F.min("_id").alias("component_id"))
-    return named.join(least, "c").select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return named.join(least, "c").select(F.col("_id").alias(id_col), n, "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each component the row with the least vertex; rows without words all stay."""
-    linked = link_documents(df, id_col, text_col, width, percent)
+    vertex, _ = _vertices(df, id_col, text_col)
+    linked = link_documents(df, vertex, text_col, width, percent)
     gone = linked.filter("_v != c").select("_v", "_th").distinct()
-    names = other_columns(df, [])
-    keyed = df.select(*[F.col(f"`{c}`") for c in names], _vertex(df, id_col, text_col).alias("_v"), F.hash(F.col(text_col)).alias("_th"))
+    keyed = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in df.columns]).alias("_row"), vertex.alias("_v"), F.xxhash64(F.col(f"`{text_col}`")).alias("_th"))
     left = keyed.join(gone, ["_v", "_th"], "left_anti")
     twice = linked.filter("n > 0 AND _v = c").groupBy("_v").agg(F.count("*").alias("k")).filter("k > 1").select("_v")
     once = left.join(twice, "_v", "left_anti")
     again = left.join(twice, "_v", "left_semi").dropDuplicates(["_v"])
-    return once.unionByName(again).select(*[F.col(f"`{c}`") for c in names])
+    return once.unionByName(again).select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
