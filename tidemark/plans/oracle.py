@@ -426,4 +426,21 @@ SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id >
     "stream_equals_batch": f"""
 WITH {FEED}
 SELECT {STAGING_OUT} FROM staging""",
+    "json_array_split": """
+SELECT event_id, user_id, event_type, value, props FROM events""",
+    "cursor_gaps": f"""
+WITH {FEED},
+near AS (SELECT _id, lag(_id) OVER (ORDER BY _id) AS before FROM (SELECT DISTINCT _id FROM raw_rows))
+SELECT before + 1 AS first_missing, _id - 1 AS last_missing FROM near WHERE _id > before + 1""",
+    "key_uniqueness": f"""
+WITH {FEED}
+SELECT 'raw' AS table_name, count(*) AS n_rows, 0 AS dup_groups FROM raw_rows
+UNION ALL SELECT 'staging', count(*), 0 FROM staging
+UNION ALL SELECT 'staging_cursor', count(*), 0 FROM staging
+UNION ALL SELECT 'dim', count(DISTINCT auction_unit), 0 FROM staging
+UNION ALL SELECT 'fact', count(*), 0 FROM (SELECT DISTINCT auction_unit, auction_product, delivery_start_utc FROM staging)
+UNION ALL SELECT 'runs', 8, 0""",
+    "hooked_mart_step": f"""
+WITH {FEED}
+SELECT auction_unit, upper(auction_product) AS auction_product, count(*) AS n_rows FROM staging WHERE length(auction_unit) >= 4 GROUP BY ALL""",
 }

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from tidemark.functions import coerce as C
 from tidemark.functions import json as J
 from tidemark.functions.time import local_wall_clock
 from tidemark.operators import checks, contract, ingest, ledger, marts, merge
-from tidemark.session import apply_required_conf
+from tidemark.session import apply_required_conf, work_folder
 from tidemark.sources import pages, table
 from tidemark.sources.feeds import REISSUE_SHIFT, auction_feed, orders_feed
 from tidemark.specs import LOCAL_ZONE, auction_spec, orders_spec
@@ -83,8 +83,18 @@ def _raw(spark, sf_dir, spec=AUCTION) -> DataFrame:
     return ingest.raw_inserts(batch, None, spec)
 
 
+def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below ``spark.checkpoint.dir`` and read back, as the stages do with what two reads need."""
+    path = work_folder(spark, f"query-{label}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _outcomes(spark, sf_dir, spec=AUCTION) -> DataFrame:
-    return ingest.validate_all(_raw(spark, sf_dir, spec), None, spec)
+    """Decided rows of raw. The checked rows are written first, as ``validate`` does: deciding reads them twice, and the
+    contract is evaluated once per row."""
+    checked = written(spark, ingest.validate_frame(_raw(spark, sf_dir, spec), spec), "checked")
+    return ingest.staging_outcome(checked, None, spec)
 
 
 def _staging(spark, sf_dir) -> DataFrame:
@@ -92,6 +102,11 @@ def _staging(spark, sf_dir) -> DataFrame:
     return out.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
 
 
+def _staging_table(spark, sf_dir) -> DataFrame:
+    """Staging as a table, for queries that read it more than once."""
+    return written(spark, _staging(spark, sf_dir), "staging")
+
+
 _PROVENANCE = ("ingested_at", "extract_run_id")
 _STAGING_OUT = [c for c in ingest.staging_columns(AUCTION) if c not in _PROVENANCE]
 
@@ -342,7 +357,7 @@ def dim_build(spark, sf_dir):
 
 # -- J4 P19 -----------------------------------------------------------------------
 def dim_upsert(spark, sf_dir):
-    staging = _staging(spark, sf_dir)
+    staging = _staging_table(spark, sf_dir)
     split = F.lit(DELIVERY_SPLIT).cast("timestamp")
     dim = AUCTION.dim
     first = marts.build_dim(staging.filter(F.col("delivery_start_utc") < split), dim)
@@ -355,7 +370,7 @@ def dim_upsert(spark, sf_dir):
 
 # -- J5 P15 U2 --------------------------------------------------------------------
 def fact_upsert(spark, sf_dir):
-    staging = _staging(spark, sf_dir)
+    staging = _staging_table(spark, sf_dir)
     fact = AUCTION.fact
     start = F.col("delivery_start_utc")
     target = marts.fact_rows(staging.filter(start < F.lit(DELIVERY_SPLIT + OVERLAP).cast("timestamp")), fact)
@@ -420,7 +435,7 @@ def fk_orphans(spark, sf_dir):
 
 def mart_fk_orphans(spark, sf_dir):
     """Fact rows whose unit is not in a dimension built of one technology only, per unit."""
-    staging = _staging(spark, sf_dir)
+    staging = _staging_table(spark, sf_dir)
     dim = marts.build_dim(staging.filter(F.col("technology_type") == "T-1"), AUCTION.dim)
     fact = marts.fact_rows(staging, AUCTION.fact)
     return checks.orphans(fact, dim, [AUCTION.fact.dim_key], [AUCTION.dim.key])
@@ -520,15 +535,23 @@ def second_source(spark, sf_dir):
 
 # -- D5 D6 (flagship) ----------------------------------------------------------------
 def run_summary(spark, sf_dir):
-    """Row counts of every stage of one full run over the events-backed source."""
-    feed = _feed_lines(spark, sf_dir)
-    keyed = ingest.extract_keys(feed, AUCTION)
+    """Row counts of every stage of one full run over the events-backed source.
+
+    The feed is read once: what load reads and skips is counted while its
+    checked rows are written, decisions while staging is written.
+    """
+    keyed = ingest.extract_keys(_feed_lines(spark, sf_dir), AUCTION)
+    loadable = ingest.loadable(keyed, AUCTION)
+    load, decide = Observation(), Observation()
+    keyed = keyed.observe(load, F.count(F.when(loadable, True)).alias("rows_read"), F.count(F.when(~loadable, True)).alias("rows_skipped"))
     raw = ingest.raw_inserts(ingest.raw_batch(keyed, AUCTION, LOAD_RUN_ID, LOAD_AT), None, AUCTION)
-    outcomes = ingest.validate_all(raw, None, AUCTION)
-    staging = outcomes.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION))
+    checked = written(spark, ingest.validate_frame(raw, AUCTION), "checked")
+    outcome = ingest.staging_outcome(checked, None, AUCTION)
+    outcome = outcome.observe(decide, *[F.count(F.when(F.col("outcome") == o, True)).alias(o) for o in ("insert", "reject")])
+    staging = written(spark, outcome.filter(F.col("outcome") == "insert").select(*ingest.staging_columns(AUCTION)), "staging")
     # Marts as transform builds them, over marts that hold the first part of the deliveries already.
-    early = staging.filter(F.col("delivery_start_utc") < F.lit(DELIVERY_SPLIT).cast("timestamp"))
     dim_spec, fact = AUCTION.dim, AUCTION.fact
+    early = staging.filter(F.col("delivery_start_utc") < F.lit(DELIVERY_SPLIT).cast("timestamp"))
     dim = merge.upsert_aggregate(
         marts.build_dim(early, dim_spec), marts.build_dim(staging, dim_spec), dim_spec.key, dim_spec.attributes,
         least_cols=(dim_spec.first_seen,), greatest_cols=(dim_spec.last_seen,),
@@ -539,17 +562,14 @@ def run_summary(spark, sf_dir):
     dup = checks.grain_profile(source, fact.grain).select("dup_groups").scalar()
     one = F.when(dup == 0, F.lit("fact")).otherwise(F.raise_error(F.lit("fact grain is not unique")))
     metrics = (
-        keyed.select(F.when(ingest.loadable(keyed, AUCTION), "read").otherwise("skipped").alias("m"))
-        .unionByName(raw.select(F.lit("raw").alias("m")))
-        .unionByName(outcomes.select(F.col("outcome").alias("m")))
+        checked.select(F.lit("raw").alias("m"))
         .unionByName(dim.select(F.lit("dim").alias("m")))
         .unionByName(upserted.select(one.alias("m")))
     )
-    names = (
-        ("read", "rows_read"), ("skipped", "rows_skipped"), ("raw", "raw_rows"), ("insert", "staging_rows"),
-        ("reject", "rejected_rows"), ("dim", "dim_rows"), ("fact", "fact_rows"),
-    )
-    return metrics.agg(*[F.count(F.when(F.col("m") == m, True)).alias(name) for m, name in names])
+    counted = metrics.agg(*[F.count(F.when(F.col("m") == m, True)).alias(f"{m}_rows") for m in ("raw", "dim", "fact")])
+    seen = {"rows_read": load.get["rows_read"], "rows_skipped": load.get["rows_skipped"], "staging_rows": decide.get["insert"], "rejected_rows": decide.get["reject"]}
+    order = ("rows_read", "rows_skipped", "raw_rows", "staging_rows", "rejected_rows", "dim_rows", "fact_rows")
+    return counted.select(*[F.lit(seen[c]).cast("long").alias(c) if c in seen else F.col(c) for c in order])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

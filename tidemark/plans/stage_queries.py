@@ -3,19 +3,22 @@ over the driver tables and reads the published tables, the ledger or the landing
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import ingest
+from tidemark.operators import checks, ingest
 from tidemark.plans import stages
 from tidemark.plans.queries import _EVENT_RECORD, _STAGING_OUT, ARRAY_ROWS, AUCTION, KEYSET_WATERMARK, LOAD_AT, _read, _typed_event, comparable
 from tidemark.plans.store import Store
 from tidemark.session import work_folder
-from tidemark.sources import landing, saved_pages
+from tidemark.sources import landing, pages, saved_pages
 from tidemark.sources.footers import footer_watermark
 from tidemark.sources.feeds import auction_feed, auction_source
+from tidemark.sources.json_split import read_array_elements
+from tidemark.spec import Contract
 from tidemark.specs import auction_spec
 from tidemark.streaming.landing_stream import start_pages_stream
 
@@ -168,6 +171,67 @@ def stream_equals_batch(spark, sf_dir):
     return comparable(store.read(stages.staging_table(AUCTION)).select(*_STAGING_OUT))
 
 
+# -- S10: array files over several tasks each ---------------------------------------------------
+SPLIT_FILE_ROWS = 2500
+SPLITS_A_FILE = 8
+
+
+def json_array_split(spark, sf_dir):
+    """Records of JSON-array files, each dealt over several tasks by byte ranges."""
+    _, root = _fresh_store(spark)
+    files = pages.pack_arrays(_events(spark, sf_dir), F.expr(f"event_id div {SPLIT_FILE_ROWS}"), F.struct(*_EVENT_RECORD))
+    files.write.partitionBy("file").text(f"{root}/arrays")
+    size = spark.read.format("binaryFile").load(f"{root}/arrays").agg(F.max("length")).first()[0] or SPLITS_A_FILE
+    return _typed_event(read_array_elements(spark, f"{root}/arrays", -(-size // SPLITS_A_FILE)))
+
+
+# -- A10: missing cursors as intervals, from runs merged load by load ------------------------------
+def cursor_gaps(spark, sf_dir):
+    store, _ = _fresh_store(spark)
+    events = _events(spark, sf_dir)
+    end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    for lo, hi in BATCHES:
+        part = events.filter((F.col("event_id") >= int(lo * end)) & (F.col("event_id") < int(hi * end)))
+        stages.load_raw(store, AUCTION, auction_feed(part).select("payload"), as_of=LOAD_AT)
+        stages.track_cursors(store, AUCTION)
+    return stages.cursor_gaps(store, AUCTION)
+
+
+# -- C2 C3: keys of every table a run wrote ----------------------------------------------------------
+def key_uniqueness(spark, sf_dir):
+    """Rows and repeated keys of each table after two runs over the same source."""
+    store, root = _fresh_store(spark)
+    for _ in range(2):
+        stages.run_stages(store, AUCTION, auction_source(_events(spark, sf_dir)), root, as_of=LOAD_AT, incremental=True)
+    keys = {
+        "raw": (stages.read_raw(store, AUCTION), [AUCTION.business_key]), "staging": (store.read(stages.staging_table(AUCTION)), [AUCTION.business_key]),
+        "staging_cursor": (store.read(stages.staging_table(AUCTION)), [AUCTION.cursor]), "dim": (store.read(AUCTION.dim.name), [AUCTION.dim.key]),
+        "fact": (store.read(AUCTION.fact.name), list(AUCTION.fact.grain)), "runs": (stages.runs(store), ["run_id"]),
+    }
+    out = None
+    for name, (df, key) in keys.items():
+        one = checks.grain_profile(df, key).select(F.lit(name).alias("table_name"), "n_rows", "dup_groups")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# -- X3 X4: hooks of the contract and a further mart step ----------------------------------------------
+def hooked_mart_step(spark, sf_dir):
+    """Rows per unit of a mart step, under a contract that upper-cases products and refuses short units."""
+    store, _ = _fresh_store(spark)
+    hooks = {
+        "auction_product": {"clean": F.upper},
+        "auction_unit": {"check": lambda c: F.when(F.length(c) < 4, F.lit("too short"))},
+    }
+    fields = tuple(dataclasses.replace(r, **hooks.get(r.name, {})) for r in AUCTION.contract.fields)
+    step = ("unit_products", lambda staging: staging.groupBy("auction_unit", "auction_product").agg(F.count(F.lit(1)).alias("n_rows")))
+    spec = dataclasses.replace(AUCTION, contract=Contract(fields), mart_steps=(step,))
+    stages.load_raw(store, spec, auction_feed(_events(spark, sf_dir)).select("payload"), as_of=LOAD_AT)
+    stages.validate(store, spec, as_of=LOAD_AT)
+    stages.transform(store, spec)
+    return store.read("unit_products")
+
+
 STAGE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_incremental": fact_incremental,
     "dim_incremental": dim_incremental,
@@ -179,5 +243,9 @@ STAGE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pending_by_bucket": pending_by_bucket,
     "watermark_from_footers": watermark_from_footers,
     "datasource_drain": datasource_drain,
+    "json_array_split": json_array_split,
+    "cursor_gaps": cursor_gaps,
+    "key_uniqueness": key_uniqueness,
+    "hooked_mart_step": hooked_mart_step,
     "stream_equals_batch": stream_equals_batch,
 }

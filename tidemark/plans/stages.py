@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import checks, contract, ingest, ledger, marts, merge
+from tidemark.operators import checks, contract, ingest, intervals, ledger, marts, merge
 from tidemark.functions.text import btrim_ws
 from tidemark.plans import key_index
 from tidemark.plans.store import Store
 from tidemark.session import apply_required_conf, delete_folder, ensure_checkpoint_dir, path_exists, work_folder
-from tidemark.sources import landing, pages, table
+from tidemark.sources import landing, table
 from tidemark.sources.footers import footer_watermark
+from tidemark.sources.json_split import read_array_elements
 from tidemark.spec import SourceSpec
 
 log = logging.getLogger("tidemark")
@@ -304,6 +305,60 @@ def load_raw(
     return result
 
 
+# -- A10 --------------------------------------------------------------------------
+RUNS_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in ("rng", "first", "last")])
+
+
+def cursor_runs_table(spec: SourceSpec) -> str:
+    """Raw's cursors as runs of consecutive ones, published in parts of 2**28 cursors."""
+    return f"ops_cursor_runs_{spec.name}"
+
+
+def tracked_loads_table(spec: SourceSpec) -> str:
+    return f"ops_tracked_loads_{spec.name}"
+
+
+def _untracked_loads(store: Store, spec: SourceSpec) -> list[str]:
+    """Load runs with a folder in raw (a listing, no file is read) whose cursors are not in the runs yet."""
+    loads = [n.partition("=")[2] for n in store.layout(raw_table(spec)) if n.startswith(f"{RAW_PARTITION}=")]
+    done = store.read(tracked_loads_table(spec), LOADS_SCHEMA)
+    here = store.spark.createDataFrame([(x,) for x in loads], LOADS_SCHEMA)
+    return sorted(r[0] for r in here.join(done, "load_run_id", "left_anti").collect())
+
+
+def untracked_cursors(store: Store, spec: SourceSpec, loads: list[str] | None = None) -> DataFrame:
+    """Cursors of the raw rows of loads that are not tracked yet: only their folders are read."""
+    loads = _untracked_loads(store, spec) if loads is None else loads
+    raw = store.read(raw_table(spec), ingest.raw_schema(spec))
+    return raw.filter(F.col(RAW_PARTITION).isin(loads)).select(spec.cursor)
+
+
+def track_cursors(store: Store, spec: SourceSpec) -> int:
+    """Merge the cursors of new loads into the stored runs; returns how many loads were merged.
+
+    The parts of the state that the new cursors fall into are read, merged and
+    replaced; what was merged is published with them.
+    """
+    _prepare(store.spark)
+    loads = _untracked_loads(store, spec)
+    if not loads:
+        return 0
+    name = cursor_runs_table(spec)
+    fresh = materialize(store.spark, intervals.runs_of(untracked_cursors(store, spec, loads), spec.cursor), "runs")
+    part = F.shiftright("rng", intervals.GROUP_BITS).cast("string")
+    touched = sorted(r[0] for r in fresh.select(part.alias("p")).distinct().collect())  # one in 2**28 cursors
+    merged = intervals.merge_runs(fresh.unionByName(store.read(name, RUNS_SCHEMA, parts=touched)))
+    done = store.read(tracked_loads_table(spec), LOADS_SCHEMA).unionByName(store.spark.createDataFrame([(x,) for x in loads], LOADS_SCHEMA))
+    store.publish({tracked_loads_table(spec): done}, {name: (merged, part)})
+    release(store.spark, fresh)
+    return len(loads)
+
+
+def cursor_gaps(store: Store, spec: SourceSpec) -> DataFrame:
+    """Cursors missing in raw between its least and its greatest, as intervals, from the tracked runs."""
+    return intervals.gaps(store.read(cursor_runs_table(spec), RUNS_SCHEMA))
+
+
 # -- D3 ---------------------------------------------------------------------------
 def _append_staging(store: Store, spec: SourceSpec, rows: DataFrame, run_id: str) -> None:
     """Rows of one validate run, in a folder of their own (a version written plainly before stays plain)."""
@@ -680,13 +735,14 @@ def run_stages(
 
 
 def run_from_json_array(
-    store: Store, spec: SourceSpec, path: str, landing_root: str, as_of: dt.datetime | None = None
+    store: Store, spec: SourceSpec, path: str, landing_root: str, as_of: dt.datetime | None = None, split_bytes: int | None = None
 ) -> dict[str, StageResult]:
-    """Offline run: a JSON-array file -> landing -> load -> validate -> transform."""
+    """Offline run: JSON-array files of any size -> landing -> load -> validate -> transform."""
     spark = store.spark
+    _prepare(spark)
     run_id = str(uuid.uuid4())
     target = landing.landing_path(landing_root, spec.name, run_id)
-    landing.write_landing(pages.explode_json_array(pages.read_whole_files(spark, path)), target)
+    landing.write_landing(read_array_elements(spark, path, split_bytes), target)
     results = {"load_raw": load_raw(store, spec, target, as_of=as_of)}
     results["validate"] = validate(store, spec, as_of=as_of)
     results["transform"] = transform(store, spec)
