@@ -121,7 +121,7 @@ def _profile(batches, width: int, percent: int, frequent: np.ndarray, rank: np.n
                 total = np.zeros(len(h) + 1, dtype=U64)
                 np.cumsum(mix(h ^ U64(salt)), out=total[1:])
                 prints.append((total[begin + n] - total[begin]).view(np.int64))
-            vec = np.bincount(doc * GROUPS + (h & U64(GROUPS - 1)).astype(np.int64), minlength=rows * GROUPS).astype("<u4").reshape(rows, GROUPS)
+            vec = np.bincount(doc * GROUPS + (h & U64(GROUPS - 1)).astype(np.int64), minlength=rows * GROUPS).reshape(rows, GROUPS)
             size = prefix_size(n, percent)
             flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - begin, size)
             offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
@@ -129,14 +129,35 @@ def _profile(batches, width: int, percent: int, frequent: np.ndarray, rank: np.n
             yield pa.RecordBatch.from_arrays(
                 [
                     *[c.slice(i, rows) for c in (batch.column(0), batch.column(1))], pa.array(n.astype(np.int32)), *[pa.array(p) for p in prints],
-                    pa.array([v.tobytes() for v in vec], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)),
+                    pa.array(_packed(vec), pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)),
                 ],
                 ["_v", "_th", "n", "f1", "f2", "vec", "prefix"],
             )
 
 
-def _vectors(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
+def _packed(vec: np.ndarray) -> list[bytes]:
+    """Each count vector in as few bytes a count as its largest needs (1, 2 or 4)."""
+    most = vec.max(1, initial=0)
+    out: list[bytes] = [b""] * len(vec)
+    for kind, low, high in (("<u1", 0, 1 << 8), ("<u2", 1 << 8, 1 << 16), ("<u4", 1 << 16, 1 << 32)):
+        some = np.flatnonzero((most >= low) & (most < high))
+        data = vec[some].astype(kind).tobytes()
+        size = GROUPS * int(kind[2])
+        for k, i in enumerate(some):
+            out[i] = data[k * size : (k + 1) * size]
+    return out
+
+
+def _vectors(col) -> np.ndarray:
+    """Count vectors, one row each, from a list or an array of packed ones."""
+    rows = col.to_pylist() if isinstance(col, pa.Array) else col
+    out = np.empty((len(rows), GROUPS), np.int64)
+    size = np.array([len(r) for r in rows], dtype=np.int64)
+    for width in (1, 2, 4):
+        some = np.flatnonzero(size == GROUPS * width)
+        if len(some):
+            out[some] = np.frombuffer(b"".join([rows[i] for i in some]), dtype=f"<u{width}").reshape(-1, GROUPS)
+    return out
 
 
 def _bounded(batches, percent: int):
@@ -203,32 +224,49 @@ class RTree:
 
 
 def _search_cells(batches, percent: int, flush: int = 200_000):
-    """Rows come ordered by cell; emits (a, b): pairs of different components that may link and may share no earlier cell."""
+    """Rows come ordered by cell; emits (a, b): pairs of different components that may link and may share no earlier cell.
+
+    A cell of one leaf has no tree above it: the pairs of all such cells of a batch are bounded together.
+    """
     found: list = [[], []]
-    rows: list = []
-    cell, size = None, 0
-
-    def search(rows):
-        if len(rows) < 2 or all(x[4] == rows[0][4] for x in rows):
-            return 0
-        v = np.array([x[3] for x in rows], dtype=np.int64)
-        split = rows[0][1] != rows[0][2]  # a pair of blocks: only pairs across them
-        comp = np.array([x[4] for x in rows], dtype=np.int64)
-        side = np.array([x[6] for x in rows], dtype=np.int64)
-        sizes = np.array([x[5] for x in rows], dtype=np.int64)
-        left = np.array([x[8] for x in rows], dtype=np.int64)
-        points = np.frombuffer(b"".join(x[7] for x in rows), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
-        tree = RTree(points, sizes)
+    rest: pa.Table | None = None  # of a cell that the next batch may go on with
+
+    def emit(v, i, j):
+        found[0].append(np.minimum(v[i], v[j]))
+        found[1].append(np.maximum(v[i], v[j]))
+        return len(i)
+
+    def search(tbl: pa.Table) -> int:
+        """All cells of ``tbl``, which holds them whole."""
+        v, comp, sizes, side, left = (tbl.column(c).to_numpy().astype(np.int64) for c in ("_v", "c", "n", "side", "left"))
+        t, lo, hi = (tbl.column(c).to_numpy() for c in ("t", "lo", "hi"))
+        first = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
+        many = np.diff(np.append(first, len(v)))
+        cell = np.repeat(np.arange(len(first)), many)
+        vec = tbl.column("vec").combine_chunks()
+        vec = vec.chunk(0) if isinstance(vec, pa.ChunkedArray) else vec
+        across = lo != hi  # a pair of blocks: only pairs across them
+
+        def allowed(i, j):
+            return (comp[i] != comp[j]) & (np.minimum(left[i], left[j]) >= need(sizes[i], sizes[j], percent)) & (~across[i] | (side[i] != side[j]))
+
         n = 0
-        for q in range(len(v)):
-            near = tree.search(q, percent)
-            near = near[(v[near] > v[q]) & (comp[near] != comp[q])]
-            near = near[np.minimum(left[near], left[q]) >= need(sizes[near], sizes[q], percent)]
-            if split:
-                near = near[side[near] != side[q]]
-            found[0].append(np.full(len(near), v[q]))
-            found[1].append(v[near])
-            n += len(near)
+        small = np.repeat(many <= LEAF, many)
+        for d in range(1, min(LEAF, int(many.max()))):
+            i = np.flatnonzero(small[:-d] & (cell[:-d] == cell[d:]))
+            i = i[allowed(i, i + d)]
+            if len(i):
+                ends = [_vectors(vec.take(pa.array(x))) for x in (i, i + d)]
+                i = i[np.minimum(*ends).sum(1) >= need(sizes[i], sizes[i + d], percent)]
+                n += emit(v, i, i + d)
+        for k in np.flatnonzero(many > LEAF):
+            at = np.arange(first[k], first[k] + many[k])
+            tree = RTree(_vectors(vec.slice(first[k], many[k])), sizes[at])
+            for q in range(len(at)):
+                near = tree.search(q, percent)
+                near = at[near[near > q]]
+                near = near[allowed(np.full(len(near), at[q]), near)]
+                n += emit(v, np.full(len(near), at[q]), near)
         return n
 
     def once():
@@ -239,16 +277,23 @@ def _search_cells(batches, percent: int, flush: int = 200_000):
         new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
 
+    size = 0
     for batch in batches:
-        for x in zip(*[batch.column(k).to_pylist() for k in range(9)], strict=True):
-            if x[:3] != cell:
-                size += search(rows)
-                rows, cell = [], x[:3]
-                if size >= flush:
-                    yield once()
-                    size = 0
-            rows.append(x)
-    search(rows)
+        tbl = pa.Table.from_batches([batch])
+        tbl = tbl if rest is None else pa.concat_tables([rest, tbl])
+        if not tbl.num_rows:
+            continue
+        keys = [tbl.column(c).to_numpy() for c in ("t", "lo", "hi")]
+        last = np.logical_and.reduce([k == k[-1] for k in keys])
+        cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0  # where the last cell begins
+        rest = tbl.slice(cut)
+        if cut:
+            size += search(tbl.slice(0, cut).combine_chunks())
+        if size >= flush:
+            yield once()
+            size = 0
+    if rest is not None and rest.num_rows:
+        search(rest.combine_chunks())
     yield once()
 
 
@@ -312,11 +357,12 @@ def _vertices(df: DataFrame, id_col: str, text_col: str) -> tuple[Column, str]:
     return F.coalesce(own, text), "other"
 
 
-def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, profile: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) that link: bounded by sizes, count vectors and prefixes, then compared on the texts in ``docs``(_v, _text)."""
     pairs = materialize(pairs, f"{name}-pairs")
     ids = materialize(pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v"))).distinct(), f"{name}-met")
-    near = points.join(ids, "_v", "left_semi")  # ids is a written table: broadcast while it is small
+    # ids is a written table, broadcast while it is small: prefixes are read of the documents in pairs only
+    near = points.join(ids, "_v", "left_semi").join(profile.select("_v", "f1", "prefix").join(ids, "_v", "left_semi").dropDuplicates(["_v", "f1"]), ["_v", "f1"])
     for end in ("a", "b"):
         pairs = pairs.join(near.select(F.col("_v").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "vec", "prefix")]), end)
     columns = [f"{c}_{end}" for c in ("n", "vec", "prefix") for end in ("a", "b")]
@@ -353,8 +399,8 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
     classes = materialize(rows.groupBy("n", "f1", "f2").agg(F.min("_v").alias("rep")), "classes")
     members = rows.select("_v", "_th", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("_v", "_th", "rep")
     least = classes.select(F.col("rep").alias("_v"), "n", "f1", "f2")
-    points = rows.select("_v", "n", "f1", "f2", "vec", "prefix").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
-    points = materialize(points.select("_v", "n", "vec", "prefix"), "points")
+    points = rows.select("_v", "n", "f1", "f2", "vec").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
+    points = materialize(points.select("_v", "n", "f1", "vec"), "points")
 
     # Most shingles of prefixes are in one document only; they go before representatives are put in.
     postings = rows.select(F.posexplode("prefix").alias("pos", "t"), "_v", "n")
@@ -372,12 +418,12 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
     told = cells.withColumn("c", F.col("_v"))
     for turn in range(TURNS):
         order = F.xxhash64(F.lit(turn), F.col("_v"))
-        lead = F.min_by(F.struct("_v", "c", "left", "n"), order).alias("lead")
+        lead = F.min_by(F.struct("_v", "c", "n"), order).alias("lead")
         leaders = told.groupBy("t").agg(lead, F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi")
-        leaders = materialize(leaders.select("t", *[F.col(f"lead.{c}").alias(a) for c, a in (("_v", "a"), ("c", "ca"), ("left", "la"), ("n", "na"))]), "leaders")
-        stars = told.join(leaders, "t").filter("c != ca").filter(_may_be_first("n", "left", "na", "la", percent))
+        leaders = materialize(leaders.select("t", *[F.col(f"lead.{c}").alias(a) for c, a in (("_v", "a"), ("c", "ca"), ("n", "na"))]), "leaders")
+        stars = told.join(leaders, "t").filter("c != ca").filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
         stars = stars.select(F.least("a", "_v").alias("a"), F.greatest("a", "_v").alias("b")).distinct()
-        found = _verified(stars, points, docs.select("_v", "_text"), width, percent, f"stars{turn}")
+        found = _verified(stars, points, rows, docs.select("_v", "_text"), width, percent, f"stars{turn}")
         links = links.unionAll(found)
         joined = components(links)
         told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", "left", "n", F.coalesce("c", "_v").alias("c"))
@@ -386,25 +432,19 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
     # Pass 2: pairs across components in the cells that hold several.
     mixed = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
     mixed = materialize(mixed.select("t", F.ceil(F.col("size") / CELL).cast("int").alias("blocks")), "mixed")
-    open_cells = told.drop("n").join(mixed, "t").join(points.drop("prefix"), "_v")
+    open_cells = told.drop("n").join(mixed, "t").join(points.drop("f1"), "_v")
     block = F.pmod(F.xxhash64("_v"), F.col("blocks")).cast("int")
     open_cells = open_cells.select("t", "_v", "c", "n", "vec", "left", block.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     open_cells = open_cells.select("t", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "_v", "c", "n", "side", "vec", "left")
     open_cells = open_cells.repartition("t", "lo", "hi").sortWithinPartitions("t", "lo", "hi")
     across = open_cells.mapInArrow(partial(_search_cells, percent=percent), "a long, b long").distinct()
-    more = _verified(across, points, docs.select("_v", "_text"), width, percent, "across")
+    more = _verified(across, points, rows, docs.select("_v", "_text"), width, percent, "across")
     joined = components(links.unionAll(more))
 
     classed = members.join(joined.withColumnRenamed("v", "rep"), "rep", "left").select("_v", "_th", F.coalesce("c", "rep").alias("c")).distinct()
     return profile.select("_v", "_th", "n").join(classed, ["_v", "_th"], "left").select("_v", "_th", "n", F.coalesce("c", "_v").alias("c"))
 
 
-def _may_be_first(n_a: str, left_a: str, n_b: str, left_b: str, percent: int) -> Column:
-    """Whether two sets may link if the first shingle they share, in the order, is one with this many left from it on."""
-    overlap = F.ceil((F.col(n_a).cast("long") + F.col(n_b)) * percent / (100 + percent))
-    return F.least(left_a, left_b) >= overlap
-
-
 def cluster_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """(id, n_shingles, component_id): a row per row of ``df``; component_id is the least id reachable by links.
 
