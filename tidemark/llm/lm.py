@@ -9,16 +9,22 @@ its arcs are the tokens seen after it. With c the training counts and m the
 (Dirichlet smoothing; h' drops the oldest token), and the failure arc of h to h'
 weighs log10 m / (c(h) + m): a token without an arc is reached by failing to
 shorter histories, down to the root, where p(w) = (c + 0.5) / (N + 0.5 (V + 1)).
-A text is traversed once, left to right: the state before a token is the history
-just read, the weights of the arcs taken add up. That defines the score; no states
-or arcs are stored, p(w | h) is interpolated from the counts, which is equal.
+A text is traversed once, left to right: the state is carried from token to
+token, and the weights of the arcs taken, failure arcs included, add up.
 
 The automaton grows with the corpus, so no task ever holds it whole. Texts are
 dealt to blocks of bounded size. A block sends each of its distinct n-grams
 once, with its training count, packed into rows by hash bucket; a bucket sums
 the counts of all blocks and answers each of them with the counts that the
-others hold. So a block gets exactly the part of the automaton that its texts
-walk through. A hot word is one entry per block, whatever its count.
+others hold. From these the block builds the states, arcs and failure arcs that
+its texts can walk through (``Automaton``). A hot word is one entry per block,
+whatever its count; an empty pack is not sent, so there are at most as many
+packs as entries.
+
+All texts of a block walk in step, one token of each at a time. A long text
+walks in pieces: the state depends on the last ``order`` - 1 tokens only, so a
+piece that first reads those of the piece before, without adding their weights,
+goes on in the state that one ends in.
 
 N-grams are named by 64-bit hashes. Null text is empty (its end is its only
 token). Repeated rows are trained on and scored like others. A null id counts as
@@ -130,6 +136,94 @@ def _sum(key, tbl):
     )
 
 
+class Automaton:
+    """The part of the automaton that the texts of a block can walk through.
+
+    ``which[k]`` numbers the distinct (k + 1)-grams that end at each token,
+    ``counts[k]`` are their training counts. State 0 is the root; the states of
+    histories of j tokens follow, then those before a text, one for each j.
+    """
+
+    def __init__(self, which: list[np.ndarray], counts: list[np.ndarray], first: np.ndarray, texts: int, tokens: int, types: int, strength: float):
+        order = len(which)
+        self.order, self.width = order, max(1, len(counts[0]))  # an arc's key is state * width + token
+        base = [0, *np.cumsum([1, *[len(c) for c in counts[: order - 1]]]).tolist()]  # base[j]: first state of j tokens
+        n_states = base[order] + order - 1
+        self.fail = np.zeros(n_states, np.int64)
+        self.fail_weight = np.zeros(n_states)
+        begins = np.zeros(len(which[0]), bool)
+        begins[first] = True
+        state = [np.zeros(len(which[0]), np.int64)]  # of the history of j tokens that ends at each token
+        for j in range(1, order):
+            state.append(base[j] + which[j - 1])
+            seen = np.append(counts[j - 1], texts)
+            weight = np.log10(strength / (seen + strength))
+            self.fail_weight[base[j] : base[j] + len(counts[j - 1])] = weight[:-1]
+            self.fail[state[j]] = state[j - 1]  # the same end, the oldest token dropped
+            self.fail_weight[base[order] + j - 1] = weight[-1]
+            self.fail[base[order] + j - 1] = base[order] + j - 2 if j > 1 else 0
+        self.start = base[order] + order - 2 if order > 1 else 0
+        if not texts and order > 1:
+            self.start = 0  # no text was trained on
+        keys, to, weights = [], [], []
+        p = (counts[0] + 0.5) / (tokens + 0.5 * (types + 1))
+        for k in range(order):  # arcs of histories of k tokens
+            distinct, at = np.unique(which[k], return_index=True)  # one place of each
+            if k:
+                before = np.where(begins[at], base[order] + k - 1, state[k][np.maximum(at - 1, 0)])
+                held = np.where(begins[at], texts, counts[k - 1][which[k - 1][np.maximum(at - 1, 0)]])
+                p = (counts[k] + strength * p[which[k - 1][at]]) / (held + strength)
+            else:
+                before = np.zeros(len(at), np.int64)
+            arc = np.flatnonzero(counts[k] > 0) if k else np.arange(len(at))  # the root has one for every token
+            end = min(k + 1, order - 1)
+            reached = state[end][at[arc]]
+            if not k and order > 1:
+                reached = np.where(counts[0][arc] > 0, reached, 0)
+            keys.append(before[arc] * self.width + which[0][at[arc]])
+            to.append(reached)
+            weights.append(np.log10(p[arc]))
+        self.keys = np.concatenate(keys)
+        by = np.argsort(self.keys)
+        self.keys, self.to, self.weight = self.keys[by], np.concatenate(to)[by], np.concatenate(weights)[by]
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, weights) of reading one token in each state, through as many failure arcs as it takes."""
+        state, total = state.copy(), np.zeros(len(state))
+        left = np.arange(len(state))
+        while len(left):
+            key = state[left] * self.width + token[left]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[at] == key
+            done = left[hit]
+            total[done] += self.weight[at[hit]]
+            state[done] = self.to[at[hit]]
+            left = left[~hit]
+            total[left] += self.fail_weight[state[left]]
+            state[left] = self.fail[state[left]]
+        return state, total
+
+    def score(self, token: np.ndarray, first: np.ndarray, sizes: np.ndarray, piece: int = 2048) -> np.ndarray:
+        """Log probability of each text: tokens first to first + size."""
+        warm = self.order - 1
+        n = -(-sizes // piece)
+        text = np.repeat(np.arange(len(sizes)), n)
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        begin = first[text] + k * piece
+        end = np.minimum(begin + piece, (first + sizes)[text])
+        lead = np.minimum(begin - first[text], warm)  # tokens of the piece before
+        by = np.argsort(begin - lead - end, kind="stable")  # long ones first
+        text, begin, end, lead = text[by], begin[by], end[by], lead[by]
+        state = np.where(begin - lead == first[text], self.start, 0)
+        total = np.zeros(len(text))
+        length = end - begin + lead
+        for i in range(int(length.max(initial=0))):
+            active = int(np.searchsorted(-length, -i, "left"))  # pieces longer than i
+            state[:active], weight = self.step(state[:active], token[begin[:active] - lead[:active] + i])
+            total[:active] += np.where(i >= lead[:active], weight, 0.0)
+        return np.bincount(text, weights=total, minlength=len(sizes))
+
+
 def _score(key, texts, answers, order: int, strength: float):
     batch, buf, bounds = _block_texts(texts)
     names, first = grams(buf, bounds, order)
@@ -140,29 +234,24 @@ def _score(key, texts, answers, order: int, strength: float):
     by = np.lexsort((answers.column("bucket").to_numpy(), answers.column("k").to_numpy()))
     ks = answers.column("k").to_numpy()[by]
     n_types, n_tokens = answers.column("V")[0].as_py(), answers.column("N")[0].as_py()
-    docs = np.repeat(np.arange(len(first)), sizes)
-    p = base = known = None
-    history = None
+    which, counts = [], []
     for k, name in enumerate(names, 1):
-        distinct, which = np.unique(name, return_inverse=True)
-        counts = np.bincount(which, weights=weight, minlength=len(distinct)).astype(np.int64)
-        counts += np.concatenate([_wide(answers.column("others")[int(i)].as_py()) for i in by[ks == k]])
-        c = counts[which]
+        distinct, at = np.unique(name, return_inverse=True)
+        own = np.bincount(at, weights=weight, minlength=len(distinct)).astype(np.int64)
+        which.append(at)
+        counts.append(own + np.concatenate([_wide(answers.column("others")[int(i)].as_py()) for i in by[ks == k]]))
         if k == 1:
-            p = (c + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-            base, known = np.log10(p), c > 0
-            n_train_texts = counts[np.searchsorted(distinct, END)]
-        else:
-            seen = np.empty_like(history)  # how often the history was seen
-            seen[1:] = history[:-1]
-            seen[first] = n_train_texts
-            p = (c + strength * p) / (seen + strength)
-        history = c
+            n_train_texts = int(counts[0][np.searchsorted(distinct, END)])
+    c = counts[0][which[0]]
+    base = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
+    automaton = Automaton(which, counts, first, n_train_texts, n_tokens, n_types, strength)
+    score = automaton.score(which[0], first, sizes)
     n = len(first)
+    docs = np.repeat(np.arange(n), sizes)
     columns = [
         batch.column(batch.schema.get_field_index("_row")), pa.array(sizes.astype(np.int64)),
-        pa.array(np.bincount(docs, weights=known, minlength=n).astype(np.int64)), pa.array(np.full(n, n_tokens, dtype=np.int64)),
-        pa.array(np.bincount(docs, weights=base, minlength=n)), pa.array(np.bincount(docs, weights=np.log10(p), minlength=n)),
+        pa.array(np.bincount(docs, weights=c > 0, minlength=n).astype(np.int64)), pa.array(np.full(n, n_tokens, dtype=np.int64)),
+        pa.array(np.bincount(docs, weights=base, minlength=n)), pa.array(score),
     ]
     return pa.table(columns, names=["_row", "_n", "_known", "_train_n", "_base", "_score"])
 
