@@ -422,6 +422,30 @@ def test_mixing_every_category_has_its_own_target(spark, given):
         assert (r["probability"], r["weight"]) == pytest.approx(want[(r["source"], r["lang"] or "(none)", r["topic"])], rel=1e-6)
 
 
+@pytest.mark.parametrize("on_spark", [False, True])
+def test_mixing_without_a_share_meets_targets_by_the_draw_alone(spark, monkeypatch, on_spark):
+    import tidemark.llm.mixing as M
+
+    if on_spark:
+        monkeypatch.setattr(M, "MAX_CATEGORIES", 1)
+    texts = [prose(i, 20) + (" | x" if i % 5 == 0 else "") for i in range(6000)] + [None]
+    df = frame(spark, texts).withColumn("source", F.when(F.col("doc_id") % 7 < 5, "big").otherwise(F.concat(F.lit("s"), F.col("doc_id") % 2)))
+    powers = {"source": 0.8, "lang": 0.9, "topic": 1.0}
+    rows = mix_sources(df, powers, keep_share=None).collect()
+    cells = mix_sources(df, {"source": 1.0, "lang": 1.0, "topic": 1.0}, keep_share=1.0).select("source", F.coalesce("lang", F.lit("(none)")).alias("lang"), "topic", "tokens").collect()
+    assert {r["weight"] for r in rows} == {1.0} and max(r["probability"] for r in rows) == pytest.approx(1.0)
+    total = sum(r["tokens"] for r in rows)
+    for d, power in powers.items():
+        have = Counter()
+        for c in cells:
+            have[c[d]] += c["tokens"]
+        want = {k: v**power for k, v in have.items() if v}
+        for k, v in want.items():
+            drawn = sum(r["tokens"] for r in rows if (r[d] or "(none)") == k) / total
+            assert drawn == pytest.approx(v / sum(want.values()), abs=0.02), (d, k)
+    assert None in {r["text"] for r in rows}
+
+
 def test_op9_on_the_small_tables(spark):
     rows = Q.op9_mixing(spark, SF).collect()
     total = Q.table(spark, SF, "documents").count()
@@ -429,6 +453,11 @@ def test_op9_on_the_small_tables(spark):
 
 
 # ------------------------------------------------------------------- pipeline
+def docs_of(spark, rows):
+    """Rows collected from a frame, as one again."""
+    return spark.createDataFrame(rows)
+
+
 def test_pipeline_stages_against_plain_python(spark, scratch):
     from tests.llm.test_text_operators import brute_components
 
@@ -450,7 +479,11 @@ def test_pipeline_stages_against_plain_python(spark, scratch):
     assert set(ids[2]) == want
     bench = [(str(r["item_id"]), r["text"]) for r in Q.table(spark, SF, "benchmark").collect()]
     assert set(ids[3]) == {r["doc_id"] for r, hit in zip(seen[2], brute_hits([r["text"] for r in seen[2]], bench, 13), strict=True) if not hit[3]}
-    assert len(ids[4]) >= 0.5 * len(ids[3]) and set(ids[5]) == set(ids[4])
+    # the mixing stage draws unweighted: the drawn tokens' shares are those of its targets, and most is kept
+    drawn = mix_sources(docs_of(spark, seen[3]), corpus_pipeline.MIX, keep_share=None)
+    assert sorted(r["doc_id"] for r in drawn.select("doc_id").collect()) == sorted(ids[4]) and len(ids[4]) >= 0.6 * len(ids[3])
+    assert {r[0] for r in drawn.select("weight").distinct().collect()} == {1.0}
+    assert set(ids[5]) == set(ids[4])
     slots = defaultdict(list)
     for r in seen[5]:
         slots[r["shard"]].append(r["slot"])

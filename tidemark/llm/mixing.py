@@ -6,7 +6,9 @@ three hold. The ratio of a cell's raked to its own tokens, scaled so that the
 expected tokens are ``keep_share`` of all, is its weight; documents are drawn
 with that probability (1 at most) by a seeded hash, and what the bound of 1
 takes away stays as ``weight``, so weighted tokens meet the targets in
-expectation.
+expectation. Without a ``keep_share`` as much is kept as no cell's probability
+exceeds 1 by: every weight is 1, and the drawn tokens themselves meet the
+targets in expectation.
 
 Targets are given as shares per category, or as a power of the dimension's own
 shares. Every category has its own target; only those that given shares do not
@@ -73,9 +75,12 @@ def rake(tokens: np.ndarray, codes: np.ndarray, targets: list[np.ndarray], round
     return x
 
 
-def probabilities(tokens: np.ndarray, raked: np.ndarray, keep_share: float) -> tuple[np.ndarray, np.ndarray]:
+def probabilities(tokens: np.ndarray, raked: np.ndarray, keep_share: float | None) -> tuple[np.ndarray, np.ndarray]:
     """(probability, weight) of each cell: weight is what a drawn document counts."""
     ratio = np.divide(raked, tokens, out=np.full(len(tokens), np.inf), where=tokens > 0)
+    if keep_share is None:
+        most = ratio[np.isfinite(ratio)].max(initial=0.0)
+        return np.where(np.isfinite(ratio), ratio / (most or 1.0), 1.0), np.ones(len(ratio))
     goal = keep_share * tokens.sum()
     low, high = 0.0, 1.0
     finite = ratio[np.isfinite(ratio) & (ratio > 0)]
@@ -92,7 +97,7 @@ def probabilities(tokens: np.ndarray, raked: np.ndarray, keep_share: float) -> t
     return p, np.divide(raw, p, out=np.ones_like(raw), where=p > 0)
 
 
-def rake_cells(cells: DataFrame, targets: list[dict[str, float] | float], keep_share: float, rounds: int = 200, within: float = 1e-9) -> DataFrame:
+def rake_cells(cells: DataFrame, targets: list[dict[str, float] | float], keep_share: float | None, rounds: int = 200, within: float = 1e-9) -> DataFrame:
     """``rake`` and ``probabilities`` on Spark: the keys of each cell with _p and _w. The driver sees sums only."""
     spark = cells.sparkSession
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
@@ -124,6 +129,10 @@ def rake_cells(cells: DataFrame, targets: list[dict[str, float] | float], keep_s
         if worst < within:
             break
     raked = materialize(scaled(), "raked")
+    if keep_share is None:
+        most = raked.filter("tokens > 0").agg(F.max(F.col("_x") / F.col("tokens"))).first()[0]
+        p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("_x") / F.col("tokens") / F.lit(most or 1.0))).otherwise(1.0)
+        return materialize(raked.select(*KEYS, p.alias("_p"), F.lit(1.0).alias("_w")), "probabilities")
     # the kept tokens are concave in the scale, so steps along the tangent rise to the goal and end after finitely many
     goal, scale = keep_share * total, 0.0
     least = raked.filter("tokens > 0 AND _x > 0").agg(F.min(F.col("_x") / F.col("tokens"))).first()[0]
@@ -139,7 +148,7 @@ def rake_cells(cells: DataFrame, targets: list[dict[str, float] | float], keep_s
     return materialize(raked.select(*KEYS, p.alias("_p"), F.when(p > 0, raw / p).otherwise(1.0).alias("_w")), "probabilities")
 
 
-def _raked_on_driver(tally: DataFrame, targets: list[dict[str, float] | float], keep_share: float) -> DataFrame:
+def _raked_on_driver(tally: DataFrame, targets: list[dict[str, float] | float], keep_share: float | None) -> DataFrame:
     """``rake_cells`` for at most MAX_CATEGORIES**3 cells."""
     cells = sorted(tally.select(*KEYS, "tokens").collect(), key=tuple)
     tokens = np.array([c["tokens"] for c in cells], dtype=float)
@@ -162,12 +171,12 @@ def _raked_on_driver(tally: DataFrame, targets: list[dict[str, float] | float],
 
 def mix_sources(
     df: DataFrame, targets: dict[str, dict[str, float] | float] | None = None, id_col: str = "doc_id", text_col: str = "text",
-    topic: Column | None = None, keep_share: float = 0.7, seed: int = 11,
+    topic: Column | None = None, keep_share: float | None = 0.7, seed: int = 11,
 ) -> DataFrame:
     """The drawn rows of ``df`` with topic, tokens, probability and weight; input columns with these names are replaced.
 
     ``targets`` maps source, lang and topic to shares per category or to a power
-    (default 0.7: large categories give way, but stay the largest).
+    (default 0.7: large categories give way, but stay the largest). ``keep_share`` None keeps the most at weight 1.
     """
     dims = ["source", "lang", "topic"]
     targets = {d: 0.7 for d in dims} | (targets or {})
@@ -176,7 +185,7 @@ def mix_sources(
     named = [F.when(F.coalesce(c.cast("string"), F.lit("")) == "", NONE).otherwise(c.cast("string")).alias(f"_{d}") for d, c in told.items()]
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), *named, count_tokens(F.col(text_col)).alias("_tokens"),
-        (F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_key(df, id_col), F.hash(F.col(text_col))), 11) / F.lit(float(1 << 53))).alias("_u"),
+        (F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_key(df, id_col), F.xxhash64(F.col(text_col))), 11) / F.lit(float(1 << 53))).alias("_u"),
     )
     tally = rows.groupBy(*[f"_{d}" for d in dims]).agg(F.sum("_tokens").alias("tokens"))
     pooled = {d: F.when(F.col(f"_{d}").isin(list(targets[d])), F.col(f"_{d}")).otherwise(OTHER) if isinstance(targets[d], dict) else F.col(f"_{d}") for d in dims}
