@@ -1,7 +1,17 @@
 """The corpus pipeline: stages applied one after another to ``documents``.
 
 Each stage gets what its predecessor kept, written as Parquet and read again.
-All stages but the last return the columns of their input.
+All stages but the last return the columns of their input; the last adds size,
+shard, bucket, slot and grown_shard.
+
+Null text and empty text have no words: the first stage rejects them. Of rows
+that share an id and of near copies the third stage sees one; rows with a null
+id are told apart by their texts. Very long texts are worked on whole. Ties (of
+near copies, of drawn documents) go to the least id and to hashes of the rows,
+so a run on the same tables gives the same rows. Empty tables give an empty
+result; without labels nothing but texts without words is rejected. Extra
+columns, whatever their names, come through all stages; those named as the last
+stage's own are replaced there.
 """
 
 from __future__ import annotations
@@ -37,13 +47,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate(docs, benchmark).filter("NOT contaminated").select(*docs.columns)
 
 
+#: Targets of the mixing stage, as powers of each dimension's own shares: large sources and languages give way a little.
+MIX = {"source": 0.9, "lang": 0.9, "topic": 1.0}
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics approach their target weights.
+    """Documents drawn so that the tokens of sources, languages and topics have their target shares (in expectation).
 
-    The weight that the bound of probability 1 leaves is no column of the input and is dropped: rare
-    topics stay below their targets (README has the shares reached).
+    No document counts more than once, so as much is kept as no cell would have to be drawn more often than that.
     """
-    return mix_sources(docs).select(*docs.columns)
+    return mix_sources(docs, MIX, keep_share=None).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
