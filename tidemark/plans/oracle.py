@@ -443,4 +443,12 @@ UNION ALL SELECT 'runs', 8, 0""",
     "hooked_mart_step": f"""
 WITH {FEED}
 SELECT auction_unit, upper(auction_product) AS auction_product, count(*) AS n_rows FROM staging WHERE length(auction_unit) >= 4 GROUP BY ALL""",
+    "report_two_sources": f"""
+WITH {FEED},
+src AS (
+  SELECT '{Q.AUCTION.name}' AS source, {_ts(Q.LOAD_AT)} AS last_ingest, max(date_trunc('millisecond', delivery_start_utc)) AS last_delivery FROM staging
+  UNION ALL SELECT '{Q.ORDERS.name}', {_ts(Q.ORDERS_LOAD_AT)}, max(o_orderdate) FROM orders WHERE o_orderkey > 0
+)
+SELECT source, last_ingest, last_delivery, CAST(floor((epoch_us({_ts(Q.AS_OF)}) - epoch_us(last_ingest)) / 1000000.0) AS BIGINT) AS ingest_lag_seconds,
+  8 AS runs_listed FROM src""",
 }

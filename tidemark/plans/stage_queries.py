@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import checks, ingest
 from tidemark.plans import stages
-from tidemark.plans.queries import _EVENT_RECORD, _STAGING_OUT, ARRAY_ROWS, AUCTION, KEYSET_WATERMARK, LOAD_AT, _read, _typed_event, comparable
+from tidemark.plans.queries import _EVENT_RECORD, _STAGING_OUT, ARRAY_ROWS, AS_OF, AUCTION, KEYSET_WATERMARK, LOAD_AT, ORDERS, ORDERS_LOAD_AT, _read, _typed_event, comparable
 from tidemark.plans.store import Store
 from tidemark.session import work_folder
 from tidemark.sources import landing, pages, saved_pages
@@ -232,6 +232,21 @@ def hooked_mart_step(spark, sf_dir):
     return store.read("unit_products")
 
 
+# -- S15 X1 O4 O5 D7: the report over two sources, each named by configuration -------------------------
+def report_two_sources(spark, sf_dir):
+    """Freshness of both sources from the report's JSON, with how many runs it lists."""
+    store, root = _fresh_store(spark)
+    saved_pages.write_pages(auction_feed(_events(spark, sf_dir)), "_id", SAVED_PAGE_ROWS, F.parse_json("payload"), f"{root}/pages")
+    auction = dataclasses.replace(AUCTION, source=(saved_pages.FORMAT, {"path": f"{root}/pages"}))
+    orders = dataclasses.replace(ORDERS, source=("parquet", {"path": f"{sf_dir.rstrip('/')}/orders.parquet"}))
+    for spec, at in ((auction, LOAD_AT), (orders, ORDERS_LOAD_AT)):
+        stages.run_stages(store, spec, None, root, as_of=at, incremental=True)
+    out = stages.report(store, [auction, orders], as_of=AS_OF)
+    fresh = out["freshness"].select(F.from_json("value", "source string, last_ingest timestamp, last_delivery timestamp, ingest_lag_seconds long").alias("f")).select("f.*")
+    listed = out["recent_runs"].agg(F.count(F.lit(1)).alias("runs_listed"))  # one row
+    return comparable(fresh.crossJoin(listed))
+
+
 STAGE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_incremental": fact_incremental,
     "dim_incremental": dim_incremental,
@@ -247,5 +262,6 @@ STAGE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cursor_gaps": cursor_gaps,
     "key_uniqueness": key_uniqueness,
     "hooked_mart_step": hooked_mart_step,
+    "report_two_sources": report_two_sources,
     "stream_equals_batch": stream_equals_batch,
 }

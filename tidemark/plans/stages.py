@@ -26,7 +26,7 @@ from tidemark.functions.text import btrim_ws
 from tidemark.plans import key_index
 from tidemark.plans.store import Store
 from tidemark.session import apply_required_conf, delete_folder, ensure_checkpoint_dir, path_exists, work_folder
-from tidemark.sources import landing, table
+from tidemark.sources import landing, saved_pages, table
 from tidemark.sources.footers import footer_watermark
 from tidemark.sources.json_split import read_array_elements
 from tidemark.spec import SourceSpec
@@ -698,6 +698,17 @@ def transform(store: Store, spec: SourceSpec, run_id: str | None = None, force:
     return result
 
 
+# -- X1 ---------------------------------------------------------------------------
+def configured_source(spark: SparkSession, spec: SourceSpec) -> Fetch:
+    """The source that ``spec.source`` names by format and options."""
+    if spec.source is None:
+        raise ValueError(f"{spec.name} names no source; pass one")
+    kind, options = spec.source
+    if kind == saved_pages.FORMAT:
+        return saved_pages.saved_pages_source(spark, options["path"], spec.cursor_field)
+    return table.table_source(spark.read.format(kind).options(**options).load(), spec.cursor_field)
+
+
 # -- D5 / D6 ----------------------------------------------------------------------
 STAGES = ("extract", "load_raw", "validate", "transform")
 
@@ -705,7 +716,7 @@ STAGES = ("extract", "load_raw", "validate", "transform")
 def run_stages(
     store: Store,
     spec: SourceSpec,
-    fetch: Fetch,
+    fetch: Fetch | None,
     landing_root: str,
     stages: tuple[str, ...] = STAGES,
     limit: int | None = None,
@@ -715,8 +726,10 @@ def run_stages(
     """Run the named stages in order; a failing stage raises and stops the rest.
 
     ``load_raw`` alone reads the newest committed landing directory;
-    ``incremental`` selects the incremental validate and transform (same result, reads less).
+    ``incremental`` selects the incremental validate and transform (same result, reads less). Without a ``fetch`` the
+    source is the one that the specification names.
     """
+    fetch = fetch or (configured_source(store.spark, spec) if "extract" in stages else None)
     results: dict[str, StageResult] = {}
     landing_dir = None
     if "extract" in stages:
@@ -759,12 +772,14 @@ def rejects(store: Store) -> DataFrame:
     return store.read(REJECTS, ledger.REJECT_SCHEMA)
 
 
-def report(store: Store, spec: SourceSpec, as_of: dt.datetime | None = None, limit: int = 20) -> dict[str, DataFrame]:
-    """S15: recent runs and freshness as JSON-line frames (``value`` column), never collected here."""
-    staging = store.read(staging_table(spec), ingest.staging_schema(spec))
-    fresh = ledger.freshness(
-        staging, as_of or _now(), delivery_col=spec.freshness_delivery or "ingested_at", source=spec.name
-    )
+def report(store: Store, spec: SourceSpec | list[SourceSpec], as_of: dt.datetime | None = None, limit: int = 20) -> dict[str, DataFrame]:
+    """S15: recent runs, and freshness of one or several sources, as JSON-line frames (``value`` column), never collected here."""
+    at = as_of or _now()
+    fresh = None
+    for one in spec if isinstance(spec, list) else [spec]:
+        staging = store.read(staging_table(one), ingest.staging_schema(one))
+        row = ledger.freshness(staging, at, delivery_col=one.freshness_delivery or "ingested_at", source=one.name)
+        fresh = row if fresh is None else fresh.unionByName(row)
     return {
         "recent_runs": ledger.recent_runs(runs(store), limit).select(F.to_json(F.struct("*")).alias("value")),
         "freshness": fresh.select(F.to_json(F.struct("*")).alias("value")),

@@ -81,7 +81,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors share; a local session may do without the setting."""
     base = ensure_checkpoint_dir(spark)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set")
         base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tidemark-work-"))
     if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):

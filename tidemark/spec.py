@@ -112,6 +112,9 @@ class SourceSpec:
     fact: FactSpec | None = None
     freshness_delivery: str | None = None
     key_buckets: int = 64  # folders of the staged keys' index; fixed once it is written
+    # Where the records come from, as (reader format, options): with it a source is configuration alone.
+    # Rows of ``saved_pages`` are unwrapped; any other format is read as a table by its cursor column.
+    source: tuple[str, dict] | None = None
     # Extra mart steps run by transform in this order after dim and fact:
     # (table name, builder from cleaned staging to the table's rows).
     mart_steps: tuple[tuple[str, Callable], ...] = ()
