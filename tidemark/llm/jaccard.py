@@ -19,7 +19,8 @@ every document under these links.
   other leaders each: linear, and enough to join most groups of copies; it need
   not find every link. Pass 2
   takes all cells that still hold documents of different components and
-  searches each cell's R-tree for pairs across components. A cell too large for
+  searches each cell's R-tree for pairs across components: first for the nearest
+  one of each member, again linear, then for all. A cell too large for
   one task is split into pairs of blocks, which together hold all its pairs.
   Nothing is capped.
 * A pair counts in a cell only if it could be the first cell, in the order, that
@@ -57,7 +58,7 @@ MAX_FREQUENT = 200_000  # shingles put last in the order
 LEAF = 32  # points in an R-tree leaf
 FAN = 8  # nodes below a node
 CELL = 2048  # documents of a cell searched in one task
-TURNS = 3  # of pass 1; more turns leave fewer pairs to pass 2, which finds whatever links are left
+TURNS = 2  # of pass 1; more turns leave fewer pairs to pass 2, which finds whatever links are left
 HIGH = 1 << 62  # vertices of documents without an id are from here up, if no id is
 
 
@@ -160,14 +161,8 @@ def _vectors(col) -> np.ndarray:
     return out
 
 
-def _bounded(batches, percent: int):
-    """Pairs (a, b) whose sizes, count vectors and prefixes allow a link.
-
-    Of two prefixes, take the one that ends first in the order: what it shares
-    with the other set lies in the other prefix too. At most n - need of its
-    shingles are not shared, so linked sets share prefix - (n - need) of them at
-    least; that many less the names that clash within either prefix are equal.
-    """
+def _by_vectors(batches, percent: int):
+    """Pairs (a, b) whose count vectors allow a link, with how many shingles of their prefixes they must share at least."""
     for batch in batches:
         col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
         if not len(col["a"]):
@@ -176,11 +171,24 @@ def _bounded(batches, percent: int):
         overlap = need(n_a, n_b, percent)
         ok = np.minimum(_vectors(col["vec_a"]), _vectors(col["vec_b"])).sum(1) >= overlap
         least = np.minimum(prefix_size(n_a, percent) - (n_a - overlap), prefix_size(n_b, percent) - (n_b - overlap))
-        sides = []
-        for e in "ab":
-            lists = col[f"prefix_{e}"]
-            sides.append((lists.offsets.to_numpy(), lists.values.to_numpy()))
-        for i in np.flatnonzero(ok & (least > 1)):
+        keep = np.flatnonzero(ok)
+        yield pa.RecordBatch.from_arrays([col["a"].take(pa.array(keep)), col["b"].take(pa.array(keep)), pa.array(least[keep])], ["a", "b", "least"])
+
+
+def _by_prefixes(batches):
+    """Pairs (a, b) that share enough shingles of their prefixes.
+
+    Of two prefixes, take the one that ends first in the order: what it shares
+    with the other set lies in the other prefix too. At most n - need of its
+    shingles are not shared, so linked sets share prefix - (n - need) of them at
+    least; that many less the names that clash within either prefix are equal.
+    """
+    for batch in batches:
+        col = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+        least = col["least"].to_numpy()
+        sides = [(col[f"prefix_{e}"].offsets.to_numpy(), col[f"prefix_{e}"].values.to_numpy()) for e in "ab"]
+        ok = np.ones(len(least), dtype=bool)
+        for i in np.flatnonzero(least > 1):
             x, y = (values[at[i] : at[i + 1]] for at, values in sides)
             dx, dy = np.unique(x), np.unique(y)
             clashes = min(len(x) - len(dx), len(y) - len(dy))
@@ -223,10 +231,11 @@ class RTree:
         return found[np.minimum(self.points[found], p).sum(1) >= need(self.sizes[found], n, percent)]
 
 
-def _search_cells(batches, percent: int, flush: int = 200_000):
+def _search_cells(batches, percent: int, nearest: bool = False, flush: int = 200_000):
     """Rows come ordered by cell; emits (a, b): pairs of different components that may link and may share no earlier cell.
 
-    A cell of one leaf has no tree above it: the pairs of all such cells of a batch are bounded together.
+    With ``nearest``, of each row only the pair of the highest bound. A cell of one leaf has no tree above it: the pairs
+    of all such cells of a batch are bounded together.
     """
     found: list = [[], []]
     rest: pa.Table | None = None  # of a cell that the next batch may go on with
@@ -251,22 +260,43 @@ def _search_cells(batches, percent: int, flush: int = 200_000):
             return (comp[i] != comp[j]) & (np.minimum(left[i], left[j]) >= need(sizes[i], sizes[j], percent)) & (~across[i] | (side[i] != side[j]))
 
         n = 0
+        best, partner = np.zeros(len(v)), np.full(len(v), -1)  # of each row, for ``nearest``
+
+        def prefer(i, j, value):
+            for x, y in ((i, j), (j, i)):
+                by = np.argsort(value, kind="stable")  # of a row's several, the highest is written last
+                x, y, z = x[by], y[by], value[by]
+                more = z > best[x]
+                best[x[more]], partner[x[more]] = z[more], y[more]
+
+        def take(i, j, bound):
+            if nearest:
+                prefer(i, j, bound / need(sizes[i], sizes[j], percent))
+                return 0
+            return emit(v, i, j)
+
         small = np.repeat(many <= LEAF, many)
         for d in range(1, min(LEAF, int(many.max()))):
             i = np.flatnonzero(small[:-d] & (cell[:-d] == cell[d:]))
             i = i[allowed(i, i + d)]
             if len(i):
                 ends = [_vectors(vec.take(pa.array(x))) for x in (i, i + d)]
-                i = i[np.minimum(*ends).sum(1) >= need(sizes[i], sizes[i + d], percent)]
-                n += emit(v, i, i + d)
+                bound = np.minimum(*ends).sum(1)
+                ok = bound >= need(sizes[i], sizes[i + d], percent)
+                n += take(i[ok], i[ok] + d, bound[ok])
         for k in np.flatnonzero(many > LEAF):
             at = np.arange(first[k], first[k] + many[k])
-            tree = RTree(_vectors(vec.slice(first[k], many[k])), sizes[at])
+            points = _vectors(vec.slice(first[k], many[k]))
+            tree = RTree(points, sizes[at])
             for q in range(len(at)):
                 near = tree.search(q, percent)
-                near = at[near[near > q]]
-                near = near[allowed(np.full(len(near), at[q]), near)]
-                n += emit(v, np.full(len(near), at[q]), near)
+                near = near[near > q]
+                near = near[allowed(np.full(len(near), at[q]), at[near])]
+                if len(near):
+                    n += take(np.full(len(near), at[q]), at[near], np.minimum(points[near], points[q]).sum(1))
+        if nearest:
+            i = np.flatnonzero(partner >= 0)
+            n += emit(v, i, partner[i])
         return n
 
     def once():
@@ -359,16 +389,27 @@ def _vertices(df: DataFrame, id_col: str, text_col: str) -> tuple[Column, str]:
 
 def _verified(pairs: DataFrame, points: DataFrame, profile: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) that link: bounded by sizes, count vectors and prefixes, then compared on the texts in ``docs``(_v, _text)."""
+
+
+    def ends(pairs: DataFrame, values: DataFrame) -> DataFrame:
+        """``pairs`` with the columns of ``values``(_v, ...) for a and for b."""
+        for end in ("a", "b"):
+            pairs = pairs.join(values.select(*[F.col(c).alias(end if c == "_v" else f"{c}_{end}") for c in values.columns]), end)
+        return pairs
+
+    def met(pairs: DataFrame, label: str) -> DataFrame:
+        """The vertices in ``pairs``: a written table, so that a join with it is a broadcast while it is small."""
+        both = pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v")))
+        return materialize(both.distinct(), f"{name}-{label}")
+
     pairs = materialize(pairs, f"{name}-pairs")
-    ids = materialize(pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v"))).distinct(), f"{name}-met")
-    # ids is a written table, broadcast while it is small: prefixes are read of the documents in pairs only
-    near = points.join(ids, "_v", "left_semi").join(profile.select("_v", "f1", "prefix").join(ids, "_v", "left_semi").dropDuplicates(["_v", "f1"]), ["_v", "f1"])
-    for end in ("a", "b"):
-        pairs = pairs.join(near.select(F.col("_v").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "vec", "prefix")]), end)
-    columns = [f"{c}_{end}" for c in ("n", "vec", "prefix") for end in ("a", "b")]
-    pairs = pairs.select("a", "b", *columns).mapInArrow(partial(_bounded, percent=percent), "a long, b long")
+    near = points.select("_v", "n", "vec").join(met(pairs, "met"), "_v", "left_semi")
+    told = ends(pairs, near).select("a", "b", "n_a", "n_b", "vec_a", "vec_b")
+    pairs = materialize(told.mapInArrow(partial(_by_vectors, percent=percent), "a long, b long, least long").groupBy("a", "b").agg(F.min("least").alias("least")), f"{name}-near")
+    held = profile.select("_v", "prefix").join(met(pairs, "near-met"), "_v", "left_semi")
+    pairs = ends(pairs, held).select("a", "b", "least", "prefix_a", "prefix_b").mapInArrow(_by_prefixes, "a long, b long").distinct()
     pairs = materialize(pairs, f"{name}-bounded")
-    ids = materialize(pairs.select(F.col("a").alias("_v")).unionAll(pairs.select(F.col("b").alias("_v"))).distinct(), f"{name}-ids")
+    ids = met(pairs, "ids")
     docs = materialize(docs.join(ids, "_v", "left_semi"), f"{name}-texts")  # the texts of few documents
     first = docs.join(pairs, docs["_v"] == pairs["a"]).select("a", "b", F.col("_text").alias("text_a"))
     both = docs.join(first, docs["_v"] == first["b"]).select("a", "b", "text_a", F.col("_text").alias("text_b"))
@@ -400,7 +441,7 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
     members = rows.select("_v", "_th", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("_v", "_th", "rep")
     least = classes.select(F.col("rep").alias("_v"), "n", "f1", "f2")
     points = rows.select("_v", "n", "f1", "f2", "vec").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
-    points = materialize(points.select("_v", "n", "f1", "vec"), "points")
+    points = materialize(points.select("_v", "n", "vec"), "points")
 
     # Most shingles of prefixes are in one document only; they go before representatives are put in.
     postings = rows.select(F.posexplode("prefix").alias("pos", "t"), "_v", "n")
@@ -423,28 +464,36 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
         leaders = materialize(leaders.select("t", *[F.col(f"lead.{c}").alias(a) for c, a in (("_v", "a"), ("c", "ca"), ("n", "na"))]), "leaders")
         stars = told.join(leaders, "t").filter("c != ca").filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
         stars = stars.select(F.least("a", "_v").alias("a"), F.greatest("a", "_v").alias("b")).distinct()
-        found = _verified(stars, points, rows, docs.select("_v", "_text"), width, percent, f"stars{turn}")
-        links = links.unionAll(found)
+        links = links.unionAll(_verified(stars, points, rows, docs.select("_v", "_text"), width, percent, f"stars{turn}"))
         joined = components(links)
-        told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").select("t", "_v", "left", "n", F.coalesce("c", "_v").alias("c"))
-        told = materialize(told, "told")
-
-    # Pass 2: pairs across components in the cells that hold several.
-    mixed = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
-    mixed = materialize(mixed.select("t", F.ceil(F.col("size") / CELL).cast("int").alias("blocks")), "mixed")
-    open_cells = told.drop("n").join(mixed, "t").join(points.drop("f1"), "_v")
-    block = F.pmod(F.xxhash64("_v"), F.col("blocks")).cast("int")
-    open_cells = open_cells.select("t", "_v", "c", "n", "vec", "left", block.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    open_cells = open_cells.select("t", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "_v", "c", "n", "side", "vec", "left")
-    open_cells = open_cells.repartition("t", "lo", "hi").sortWithinPartitions("t", "lo", "hi")
-    across = open_cells.mapInArrow(partial(_search_cells, percent=percent), "a long, b long").distinct()
-    more = _verified(across, points, rows, docs.select("_v", "_text"), width, percent, "across")
-    joined = components(links.unionAll(more))
+        told = _still_open(told.drop("c"), joined, "told")
+
+    # Pass 2: pairs across components; first each member's nearest only, which joins most of what is near, then all.
+    for nearest in (True, True, False):
+        blocks = told.groupBy("t").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
+        open_cells = told.withColumnRenamed("n", "_").drop("_").join(blocks, "t").join(points, "_v")
+        block = F.pmod(F.xxhash64("_v"), F.col("blocks")).cast("int")
+        open_cells = open_cells.select("t", "_v", "c", "n", "vec", "left", block.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        open_cells = open_cells.select("t", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "_v", "c", "n", "side", "vec", "left")
+        open_cells = open_cells.repartition("t", "lo", "hi").sortWithinPartitions("t", "lo", "hi")
+        across = open_cells.mapInArrow(partial(_search_cells, percent=percent, nearest=nearest), "a long, b long").distinct()
+        name = "nearest" if nearest else "across"
+        links = links.unionAll(_verified(across, points, rows, docs.select("_v", "_text"), width, percent, name))
+        joined = components(links)
+        if nearest:
+            told = _still_open(told.drop("c"), joined, "told")
 
     classed = members.join(joined.withColumnRenamed("v", "rep"), "rep", "left").select("_v", "_th", F.coalesce("c", "rep").alias("c")).distinct()
     return profile.select("_v", "_th", "n").join(classed, ["_v", "_th"], "left").select("_v", "_th", "n", F.coalesce("c", "_v").alias("c"))
 
 
+def _still_open(cells: DataFrame, joined: DataFrame, name: str) -> DataFrame:
+    """Rows of ``cells`` with their components ``c``, of the cells that hold several; of two members the pair has been decided."""
+    told = cells.join(joined.withColumnRenamed("v", "_v"), "_v", "left").withColumn("c", F.coalesce("c", "_v"))
+    several = told.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k")).filter("lo != hi AND k > 2").select("t")
+    return materialize(told.join(several, "t", "left_semi"), name)
+
+
 def cluster_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """(id, n_shingles, component_id): a row per row of ``df``; component_id is the least id reachable by links.
 
