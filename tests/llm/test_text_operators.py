@@ -15,7 +15,7 @@ from tests.llm.helpers import SF, awkward, frame, low, prose
 from tidemark.llm import queries as Q
 from tidemark.llm.jaccard import RTree, cluster_documents, components, keep_one
 from tidemark.llm.lm import score_texts
-from tidemark.llm.spotsigs import add_fingerprints, compare_neighbours, from_text, likeness
+from tidemark.llm.spotsigs import add_fingerprints, compare_neighbours, from_text, likeness, match_documents
 from tidemark.llm.substring_dedup import dedup_substrings
 
 
@@ -264,7 +264,7 @@ def test_pairs_of_near_copies_that_are_no_links_meet_seldom(spark, monkeypatch):
     real = J._verified
 
     def verified(pairs, *args):
-        if args[-1] == "across":
+        if args[-1] == "across":  # after the nearest of each
             pairs = J.materialize(pairs, "counted")
             seen.append(pairs.count())
         return real(pairs, *args)
@@ -319,6 +319,38 @@ def test_spotsigs_equal_texts_and_edges(spark):
     assert one["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("at_least", [0.75, 0.4, 1.0])
+def test_spotsigs_matches_equal_brute_force(spark, at_least):
+    """Every pair of different fingerprints of at least that likeness, and no other: recall and precision 1."""
+    rng = np.random.default_rng(8)
+    words = [f"c{i}" for i in range(400)]
+    filler = ["the", "of", "and", "a", "in"]
+    texts = awkward()
+    for g in range(6):
+        base = [str(rng.choice(filler if rng.random() < 0.5 else words)) for _ in range(60 + 40 * g)]
+        for s in range(8):
+            out = list(base)
+            for k in rng.choice(len(out), s * (1 + g) // 2, replace=False):
+                out[k] = str(rng.choice(words))
+            texts.append(" ".join(out[: len(out) - 3 * (s % 3)]))
+    df = frame(spark, texts + texts[-3:], [*range(len(texts)), 1, None, None]).withColumn("class", F.lit("old"))
+    classes, links = match_documents(df, at_least=at_least)
+    prints = {r["text"] or "": set(from_text(r["fingerprint"])) for r in add_fingerprints(df).collect()}
+    of = {hashlib.md5(r["fingerprint"].encode()).hexdigest(): set(from_text(r["fingerprint"])) for r in add_fingerprints(df).collect()}
+    assert classes.count() == len(texts) + 3 and {r["class"] for r in classes.collect()} == set(of) and len(prints) > 40
+    names = sorted(k for k, v in of.items() if v)
+    want = {}
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            j = len(of[a] & of[b]) / len(of[a] | of[b])
+            if j >= at_least:
+                want[(a, b)] = pytest.approx(j)
+    assert {(r["a"], r["b"]): r["likeness"] for r in links.collect()} == want
+    assert len(want) > 10 or at_least == 1.0
+    empty = match_documents(df.limit(0), at_least=at_least)
+    assert empty[0].count() == 0 and empty[1].count() == 0
+
+
 def test_likeness_is_pruned_by_length():
     a, b = np.arange(3, dtype=np.uint32), np.arange(9, dtype=np.uint32)
     assert likeness(a, b) == pytest.approx(1 / 3) and likeness(a, b, at_least=0.5) == 0.0

@@ -12,6 +12,12 @@ text with words but no full chain has one signature of all its words, one
 without words a signature of its bytes; the empty text (and null) has none.
 Equal texts have equal fingerprints; two empty fingerprints have likeness 1.
 
+``match_documents`` compares all documents: equal fingerprints are one class;
+classes are partitioned by set length, in bands such that only neighbouring
+bands can hold a match; within a band, classes meet on their rarest signatures
+(of n, the n - ceil(t n) + 1 rarest: two sets of likeness t share one of them),
+and only where lengths and what is left from that signature on allow a match.
+
 ``compare_neighbours`` walks the documents in ascending order of the id, the
 last being followed by the first: texts are dealt once to ranges of ids, each
 with a copy of the document that follows the range. Null ids come first;
@@ -30,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LOWER, U64, byte_table, chunks, mix, other_columns, text_bytes, text_column, word_hash, word_spans, words_per_text
+from tidemark.llm.common import LOWER, U64, byte_table, chunks, materialize, mix, other_columns, text_bytes, text_column, word_hash, word_spans, words_per_text
 
 BREAKS = byte_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 
@@ -179,6 +185,47 @@ def add_fingerprints(df: DataFrame, text_col: str = "text", name: str = "fingerp
     return out.select(*[F.col("_row").getField(c).alias(c) for c in names], F.col("_print").alias(name))
 
 
+def match_documents(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.75, distance: int = 1, chain: int = 2
+) -> tuple[DataFrame, DataFrame]:
+    """(classes, links): each row's id with the class of its fingerprint, and the pairs (a, b, likeness) of classes that match.
+
+    Classes are named by the MD5 of their fingerprint; empty fingerprints are one class without links. Pairs of equal
+    fingerprints are told by the class alone. DataFrame functions but for the fingerprints; nothing is capped.
+    """
+    if not 0 < at_least <= 1:
+        raise ValueError("at_least must be above 0, and 1 at most")
+    printed = add_fingerprints(df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")), "_text", "_print", distance, chain)
+    printed = materialize(printed.select("_id", "_print", F.md5("_print").alias("_class")), "prints")
+    t = F.lit(float(at_least))
+    tiny = 1e-9  # so that a product that should be whole is not rounded up
+    sets = printed.filter("_print != ''").groupBy("_class").agg(F.any_value("_print").alias("_print"))
+    sets = sets.select("_class", F.expr("transform(sequence(1, length(_print), 8), i -> substring(_print, i, 8))").alias("sigs"))
+    sets = materialize(sets.withColumn("n", F.size("sigs")), "sets")
+    each = sets.select("_class", "n", F.explode("sigs").alias("sig"))
+    rare = materialize(each.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
+    # signatures of one class only stand first and meet nobody: places are counted from how many of them there are
+    shared = each.join(rare, "sig")
+    place = F.row_number().over(Window.partitionBy("_class").orderBy("c", "sig")) - 1
+    total = F.count("*").over(Window.partitionBy("_class"))
+    first = shared.select("_class", "n", "sig", (F.col("n") - total + place).alias("pos"))
+    first = first.filter(F.col("pos") <= F.col("n") - F.ceil(t * F.col("n") - tiny))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(at_least)) + tiny).cast("int") if at_least < 1 else F.col("n")
+    first = first.withColumn("band", band)
+    small = first.select("sig", F.col("band").alias("key"), F.col("_class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+    reach = F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("key")  # larger sets are looked for in the band below too
+    large = first.select("sig", reach, F.col("_class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    met = small.join(large, ["key", "sig"]).filter((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
+    overlap = F.ceil(t * (F.col("n_a") + F.col("n_b")) / (1 + t) - tiny)
+    met = met.filter(F.col("n_a") >= t * F.col("n_b") - tiny).filter(F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= overlap)
+    pairs = materialize(met.select("a", "b").distinct(), "met")
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("_class").alias(end), F.col("sigs").alias(f"sigs_{end}")), end)
+    common = F.size(F.array_intersect("sigs_a", "sigs_b"))
+    links = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (common / (F.size("sigs_a") + F.size("sigs_b") - common)).alias("likeness"))
+    return printed.select(F.col("_id").alias(id_col), F.col("_class").alias("class")), links.filter(F.col("likeness") >= t - tiny)
+
+
 def _bucket(key: Column, bounds: list) -> Column:
     """How many of the sorted ``bounds`` are at most ``key``, by binary search."""
     if not bounds:
@@ -199,13 +246,15 @@ def compare_neighbours(
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")) if integral else F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     docs = df.select(key.alias("_id"), F.struct(F.col(id_col).alias("id")).alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     parts = max(1, -(-text_bytes(df, text_col) // range_bytes))
-    sample = sorted(r[0] for r in docs.select("_id").orderBy(F.xxhash64("_id")).limit(SAMPLE_IDS).collect())
+    share = min(1.0, SAMPLE_IDS / max(1, docs.count()))  # by a hash threshold: about as many ids whatever the table
+    some = docs.select("_id").filter(F.pmod(F.xxhash64("_id", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    sample = sorted(r[0] for r in some.distinct().collect())
     bounds = sorted({sample[len(sample) * k // parts] for k in range(1, parts)}) if sample else []
     docs = docs.withColumn("_bucket", _bucket(F.col("_id"), bounds))
     # The first document of each range is the guard of the non-empty range before it, in a circle.
     least = docs.groupBy("_bucket").agg(F.min("_id").alias("_id"))
     heads = docs.join(F.broadcast(least), ["_bucket", "_id"])  # a row per range, of which there are at most ``parts``
-    one = Window.partitionBy("_bucket").orderBy(F.hash("_text"), "_text")
+    one = Window.partitionBy("_bucket").orderBy(F.xxhash64("_text"), "_text")
     heads = heads.withColumn("_k", F.row_number().over(one)).filter("_k = 1")
     order = Window.orderBy("_bucket")
     before = least.select("_bucket", F.lag("_bucket").over(order).alias("_before"))
@@ -214,7 +263,8 @@ def compare_neighbours(
     guards = heads.join(before, "_bucket").select("_id", "_row", "_text", F.col("_to").alias("_bucket"), F.lit(1).alias("_guard"))
     rows = docs.withColumn("_guard", F.lit(0)).select("_row", "_guard", "_bucket", "_text", "_id")
     rows = rows.unionAll(guards.select("_row", "_guard", "_bucket", "_text", "_id"))
-    rows = rows.repartition(parts, "_bucket").sortWithinPartitions("_bucket", "_guard", "_id", F.hash("_text"), "_text")
+    # a range is a partition
+    rows = rows.repartitionById(len(bounds) + 1, "_bucket").sortWithinPartitions("_bucket", "_guard", "_id", F.xxhash64("_text"), "_text")
     kind = docs.schema["_row"].dataType.simpleString()
     out = rows.select("_row", "_guard", "_bucket", "_text").mapInArrow(
         partial(_neighbours, distance=distance, chain=chain),
