@@ -261,11 +261,11 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_words, n_removed, removed_spans (word ranges); input columns with these
     names are replaced.
     """
-    key = [id_key(df, id_col).alias("_id"), F.hash(F.col(text_col)).alias("_th")]
+    key = [id_key(df, id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th")]
     docs = df.select(*key, F.col(text_col).alias("_text"))
     kind = docs.schema["_id"].dataType.simpleString()
     spans = materialize(
-        docs.mapInArrow(partial(_emit_spans, window=window), f"_id {kind}, _th int, start int, n int, sym long, sig long"), "spans"
+        docs.mapInArrow(partial(_emit_spans, window=window), f"_id {kind}, _th long, start int, n int, sym long, sig long"), "spans"
     )
     twice = spans.groupBy("sym").agg(F.count("*").alias("c")).filter("c > 1").select("sym")
     shared = materialize(spans.join(twice, "sym", "left_semi"), "shared")
@@ -281,7 +281,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = df.select(*key, F.col(text_col).alias("_text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("_row"))
     windows = base.join(by_doc, ["_id", "_th"], "left").filter("spans IS NOT NULL").dropDuplicates(["_id", "_th"])
     windows = windows.select("_id", "_th", "_text", "spans").mapInArrow(
-        partial(_emit_windows, window=window), f"_id {kind}, _th int, start int, sym long, wsig long, alone boolean"
+        partial(_emit_windows, window=window), f"_id {kind}, _th long, start int, sym long, wsig long, alone boolean"
     )
     windows = materialize(windows, "windows")
     again = windows.groupBy("sym", "wsig").agg(F.count("*").alias("c")).filter("c > 1").select("sym", "wsig")
