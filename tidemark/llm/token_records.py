@@ -308,18 +308,22 @@ class RecordSet:
 
 
 def write_records(
-    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocab: int = 50257, file_bytes: int = 48 << 20
+    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, file_bytes: int = 48 << 20
 ) -> RecordSet:
     """Encode every whole text of ``df``, append ``end_id`` and write the records in ascending order of the id.
 
     ``tokenizer`` is the path of a byte-level BPE file that every executor can
-    read; a file holds about ``file_bytes`` of text.
+    read; its vocabulary decides how wide ids are stored. A file holds about
+    ``file_bytes`` of text.
     """
+    from tokenizers import Tokenizer
+
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/records"
     fs, root = _files(folder)
     fs.create_dir(root, recursive=True)
-    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+    top = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
+    kind = "<u2" if top < 1 << 16 else "<u4"
     integral = isinstance(df.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     key = F.col(id_col).cast("long" if integral else "string").alias("_id")
     parts = max(1, -(-text_bytes(df, text_col) // file_bytes))
