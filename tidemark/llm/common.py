@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 
 import numpy as np
@@ -38,7 +39,27 @@ def shared_dir(spark: SparkSession) -> str:
 
         base = tempfile.mkdtemp(prefix="tidemark-llm-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir must be a folder that all executors share, not {base}")
+    path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
+
+
+_FOLDERS: list[str] = []  # made by this process and not removed
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that operators make inside the block; what they return must be written before it ends."""
+    mark = len(_FOLDERS)
+    try:
+        yield
+    finally:
+        for path in _FOLDERS[mark:]:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        del _FOLDERS[mark:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
