@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import shared_dir
+from tidemark.llm.common import scratch, shared_dir
 from tidemark.llm.decontam import decontaminate
 from tidemark.llm.jaccard import keep_one
 from tidemark.llm.mixing import mix_sources
@@ -82,6 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark)
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):  # a stage's own tables go once its rows are written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
