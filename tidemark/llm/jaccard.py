@@ -58,7 +58,7 @@ MAX_FREQUENT = 200_000  # shingles put last in the order
 LEAF = 32  # points in an R-tree leaf
 FAN = 8  # nodes below a node
 CELL = 2048  # documents of a cell searched in one task
-TURNS = 2  # of pass 1; more turns leave fewer pairs to pass 2, which finds whatever links are left
+TURNS = 1  # of pass 1; more turns leave fewer pairs to pass 2, which finds whatever links are left
 HIGH = 1 << 62  # vertices of documents without an id are from here up, if no id is
 
 
@@ -469,7 +469,7 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
         told = _still_open(told.drop("c"), joined, "told")
 
     # Pass 2: pairs across components; first each member's nearest only, which joins most of what is near, then all.
-    for nearest in (True, True, False):
+    for nearest in (True, False):
         blocks = told.groupBy("t").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
         open_cells = told.withColumnRenamed("n", "_").drop("_").join(blocks, "t").join(points, "_v")
         block = F.pmod(F.xxhash64("_v"), F.col("blocks")).cast("int")
