@@ -516,10 +516,13 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     """The rows of ``df`` without near duplicates: of each component the row with the least vertex; rows without words all stay."""
     vertex, _ = _vertices(df, id_col, text_col)
     linked = link_documents(df, vertex, text_col, width, percent)
-    gone = linked.filter("_v != c").select("_v", "_th").distinct()
+    # Decided on narrow rows and written, so that while they are few, rows with their texts are not shuffled for them.
+    rows = materialize(linked, "decided")
+    several = rows.filter("n > 0 AND _v = c").groupBy("_v").agg(F.count("*").alias("k")).filter("k > 1").select("_v")
+    again = rows.filter("n > 0 AND _v = c").join(several, "_v", "left_semi").select("_v", "_th", F.lit(False).alias("gone"))
+    verdict = materialize(rows.filter("_v != c").select("_v", "_th", F.lit(True).alias("gone")).unionAll(again).distinct(), "verdict")
     keyed = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in df.columns]).alias("_row"), vertex.alias("_v"), F.xxhash64(F.col(f"`{text_col}`")).alias("_th"))
-    left = keyed.join(gone, ["_v", "_th"], "left_anti")
-    twice = linked.filter("n > 0 AND _v = c").groupBy("_v").agg(F.count("*").alias("k")).filter("k > 1").select("_v")
-    once = left.join(twice, "_v", "left_anti")
-    again = left.join(twice, "_v", "left_semi").dropDuplicates(["_v"])
-    return once.unionByName(again).select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
+    told = keyed.join(verdict, ["_v", "_th"], "left")
+    once = told.filter("gone IS NULL").select("_row")
+    one_of = told.filter("NOT gone").select("_row", "_v").dropDuplicates(["_v"]).select("_row")
+    return once.unionByName(one_of).select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
