@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import require_shared
+
 U64 = np.uint64
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xC2B2AE3D27D4EB4F | 1
@@ -39,8 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
         base = tempfile.mkdtemp(prefix="tidemark-llm-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(base)
-    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"spark.checkpoint.dir must be a folder that all executors share, not {base}")
+    require_shared(spark, base)
     path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
     _FOLDERS.append(path)
     return path
