@@ -275,6 +275,43 @@ def test_pairs_of_near_copies_that_are_no_links_meet_seldom(spark, monkeypatch):
     assert len({c for _, c in got.values()}) > 100 and seen[0] < 600 * 599 / 2 / 10
 
 
+def test_shingles_that_meet_by_chance_make_no_cells_in_a_large_corpus(spark, monkeypatch):
+    """The sample behind the order of shingles grows with the corpus: with 2 documents alone nothing would be seen often."""
+    import tidemark.llm.jaccard as J
+
+    rows = {}
+    rng = np.random.default_rng(5)
+    common = [" ".join(f"c{k}_{i}" for i in range(5)) for k in range(30)]  # each in about 100 of 300 documents
+    texts = [" ".join(w for k in range(60) for w in (common[k // 2] if k % 2 and rng.random() < 1 / 3 else f"u{s}_{k}",)) for s in range(300)]
+    real = J.materialize
+
+    def materialize(df, name):
+        out = real(df, name)
+        rows[name] = out.count() if name == "cells" else rows.get(name)
+        return out
+
+    monkeypatch.setattr(J, "materialize", materialize)
+    monkeypatch.setattr(J, "SAMPLE_DOCS", 2)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in cluster_documents(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_components(texts)))
+    assert rows["cells"] < 300, rows["cells"]
+
+
+def test_prefixes_are_compared_as_sets_that_may_clash():
+    """Against one pair after another: repeated names within a prefix are clashes, and lower what must be shared."""
+    import pyarrow as pa
+
+    from tidemark.llm.jaccard import _by_prefixes
+
+    rng = np.random.default_rng(8)
+    a, b = ([rng.integers(0, 12, rng.integers(0, 9)).tolist() for _ in range(500)] for _ in "ab")
+    least = rng.integers(0, 6, 500)
+    kind = pa.list_(pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(range(500)), pa.array(least), pa.array(a, kind), pa.array(b, kind)], ["a", "b", "least", "prefix_a", "prefix_b"])
+    want = [i for i in range(500) if least[i] <= 1 or len({*a[i]} & {*b[i]}) >= least[i] - min(len(a[i]) - len({*a[i]}), len(b[i]) - len({*b[i]}))]
+    assert [i for out in _by_prefixes([batch], step=64) for i in out.column(0).to_pylist()] == want and 0 < len(want) < 500
+
+
 def test_op4_on_the_small_tables(spark):
     docs = Q.table(spark, SF, "documents").select("doc_id", "text").orderBy("doc_id").collect()
     ids = [d["doc_id"] for d in docs]

@@ -13,8 +13,9 @@ every document under these links.
   points are first dealt to cells: with all shingles in one order, linked sets
   share a shingle among the first n - ceil(t n) + 1 of each; a cell holds the
   documents with one such shingle. Frequent shingles come last in the order (by
-  a bounded sample; the order affects the cost, not the result).
-* Equal sets collapse to one representative before all this.
+  a sample that grows with the corpus, so that chance cells do not; the order
+  affects the cost, not the result).
+* Equal sets collapse to one representative before all this; only its shingles are dealt.
 * Pass 1 pairs each member of a cell with one other member, in a few turns with
   other leaders each: linear, and enough to join most groups of copies; it need
   not find every link. Pass 2
@@ -46,15 +47,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import LOWER, U64, chunks, materialize, mix, span_hash, text_column, word_hash, word_spans, words_per_text
 
 GROUPS = 64
-SAMPLE_DOCS = 10_000
-MAX_FREQUENT = 200_000  # shingles put last in the order
+SAMPLE_DOCS = 10_000  # documents whose shingles are counted for the order, at least,
+SAMPLE_SHARE = 0.1  # and as a share: with a fixed number, cells of shingles too rare to be seen twice grow with the corpus
+MAX_FREQUENT = 2_000_000  # shingles put last in the order
+MAYBE_BITS = 24  # of a table that tells most other shingles from these without a search
 LEAF = 32  # points in an R-tree leaf
 FAN = 8  # nodes below a node
 CELL = 2048  # documents of a cell searched in one task
@@ -77,15 +80,31 @@ def shingle_hashes(buf: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.
     return span_hash(words, first, last), doc
 
 
-def shingle_sets(buf: np.ndarray, bounds: np.ndarray, width: int, frequent: np.ndarray | None = None, rank: np.ndarray | None = None):
-    """Distinct shingles of each text in the global order: (hash, text index)."""
+def by_owner(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The order of ``values`` by owner, then value; owners are small indices (of 16 bits, as a rule, which sort in linear time)."""
+    first = np.argsort(values)
+    kind = np.uint16 if not len(owner) or owner.max() < 1 << 16 else np.int64
+    return first[np.argsort(owner[first].astype(kind), kind="stable")]
+
+
+def maybe_table(frequent: np.ndarray) -> np.ndarray:
+    """By the first bits of a hash, whether one of ``frequent`` begins so."""
+    table = np.zeros(1 << MAYBE_BITS, dtype=bool)
+    table[frequent >> U64(64 - MAYBE_BITS)] = True
+    return table
+
+
+def shingle_sets(
+    buf: np.ndarray, bounds: np.ndarray, width: int, frequent: np.ndarray | None = None, rank: np.ndarray | None = None, maybe: np.ndarray | None = None
+):
+    """Distinct shingles of each text in the global order: (hash, text index). ``maybe`` is the table of ``frequent``."""
     h, doc = shingle_hashes(buf, bounds, width)
-    late = np.zeros(len(h), dtype=U64)
+    key = h >> U64(6)
     if frequent is not None and len(frequent):
-        at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-        late = np.where(frequent[at] == h, rank[at], 0).astype(U64)
-    key = (late << U64(58)) | (h >> U64(6))
-    order = np.lexsort((key, doc))
+        some = np.flatnonzero((maybe_table(frequent) if maybe is None else maybe)[h >> U64(64 - MAYBE_BITS)])
+        at = np.minimum(np.searchsorted(frequent, h[some]), len(frequent) - 1)
+        key[some] |= np.where(frequent[at] == h[some], rank[at], 0).astype(U64) << U64(58)
+    order = by_owner(key, doc)
     h, doc = h[order], doc[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
@@ -111,9 +130,10 @@ def _common(batches, width: int):
 
 
 def _profile(batches, width: int, percent: int, frequent: np.ndarray, rank: np.ndarray, bits: int):
+    maybe = maybe_table(frequent)
     for batch in batches:
         for i, j, buf, bounds in chunks(text_column(batch, "_text")):
-            h, doc = shingle_sets(buf, bounds, width, frequent, rank)
+            h, doc = shingle_sets(buf, bounds, width, frequent, rank, maybe)
             rows = j - i
             n = np.bincount(doc, minlength=rows)
             begin = np.cumsum(n) - n
@@ -175,7 +195,16 @@ def _by_vectors(batches, percent: int):
         yield pa.RecordBatch.from_arrays([col["a"].take(pa.array(keep)), col["b"].take(pa.array(keep)), pa.array(least[keep])], ["a", "b", "least"])
 
 
-def _by_prefixes(batches):
+def _distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and owners in order, each value once an owner."""
+    order = by_owner(values, owner)
+    values, owner = values[order], owner[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[new], owner[new]
+
+
+def _by_prefixes(batches, step: int = 1024):
     """Pairs (a, b) that share enough shingles of their prefixes.
 
     Of two prefixes, take the one that ends first in the order: what it shares
@@ -188,11 +217,20 @@ def _by_prefixes(batches):
         least = col["least"].to_numpy()
         sides = [(col[f"prefix_{e}"].offsets.to_numpy(), col[f"prefix_{e}"].values.to_numpy()) for e in "ab"]
         ok = np.ones(len(least), dtype=bool)
-        for i in np.flatnonzero(least > 1):
-            x, y = (values[at[i] : at[i + 1]] for at, values in sides)
-            dx, dy = np.unique(x), np.unique(y)
-            clashes = min(len(x) - len(dx), len(y) - len(dy))
-            ok[i] = len(np.intersect1d(dx, dy, assume_unique=True)) >= least[i] - clashes
+        for i in range(0, len(least), step):
+            need_here = least[i : i + step]
+            many = len(need_here)
+            clashes, both = [], []
+            for at, values in sides:
+                at = at[i : i + many + 1]
+                x, pair = _distinct(values[at[0] : at[-1]], np.repeat(np.arange(many), np.diff(at)))
+                clashes.append(np.diff(at) - np.bincount(pair, minlength=many))
+                both.append((x, pair))
+            x, pair = (np.concatenate(c) for c in zip(*both, strict=True))
+            order = by_owner(x, pair)
+            x, pair = x[order], pair[order]
+            met = pair[1:][(x[1:] == x[:-1]) & (pair[1:] == pair[:-1])]
+            ok[i : i + many] = (need_here <= 1) | (np.bincount(met, minlength=many) >= need_here - np.minimum(*clashes))
         keep = pa.array(np.flatnonzero(ok))
         yield pa.RecordBatch.from_arrays([col["a"].take(keep), col["b"].take(keep)], ["a", "b"])
 
@@ -337,7 +375,7 @@ def _verify(batches, width: int, percent: int):
             h, doc = shingle_sets(np.frombuffer(b"".join(texts), dtype=np.uint8), bounds, width)
             n = np.bincount(doc, minlength=len(texts)).reshape(-1, 2)
             pair = doc // 2
-            order = np.lexsort((h, pair))
+            order = by_owner(h, pair)
             h, pair = h[order], pair[order]
             both = np.flatnonzero((h[1:] == h[:-1]) & (pair[1:] == pair[:-1]))
             common = np.bincount(pair[both], minlength=len(n))
@@ -416,6 +454,24 @@ def _verified(pairs: DataFrame, points: DataFrame, profile: DataFrame, docs: Dat
     return materialize(both.mapInArrow(partial(_verify, width=width, percent=percent), "a long, b long").distinct(), f"{name}-links")
 
 
+def _frequent(docs: DataFrame, total: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and ranks of the shingles that a sample of ``docs`` holds most often, MAX_FREQUENT at most."""
+    share = min(1.0, max(SAMPLE_DOCS / max(total, 1), SAMPLE_SHARE))
+    some = docs.filter(F.pmod(F.xxhash64("_v", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    often = some.mapInArrow(partial(_common, width=width), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter("c >= 3")
+    often = materialize(often.select("h", F.least(F.lit(63), (1 + F.log2(F.col("c") + 1) * 4).cast("int")).alias("rank")), "often")
+    held, least = 0, 64
+    for r in often.groupBy("rank").agg(F.count("*").alias("k")).orderBy(F.desc("rank")).collect():  # 64 rows at most
+        held += r["k"]
+        if held > MAX_FREQUENT:
+            break
+        least = r["rank"]
+    found = often.filter(F.col("rank") >= least).toArrow()
+    h = found.column("h").to_numpy().view(U64)
+    by = np.argsort(h)
+    return h[by], found.column("rank").to_numpy()[by].astype(np.uint8)
+
+
 def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """(_v, _th, n, c): each document's ``vertex``, text hash, set size and least reachable vertex."""
     docs = df.select(vertex.alias("_v"), F.xxhash64(F.col(f"`{text_col}`")).alias("_th"), F.col(f"`{text_col}`").alias("_text"))
@@ -423,15 +479,9 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
     total = size["n"]
     # Names of cells: short, but 64 times as many as there are shingles in prefixes (about one in 24 bytes).
     bits = min(62, max(24, int((size["bytes"] or 0) // 24).bit_length() + 6))
-    share = min(1.0, SAMPLE_DOCS / max(total, 1))
-    some = docs.filter(F.pmod(F.xxhash64("_v", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    often = some.mapInArrow(partial(_common, width=width), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter("c >= 3")
-    often = often.orderBy(F.desc("c"), "h").limit(MAX_FREQUENT).collect()
-    frequent = np.array([r["h"] for r in often], dtype=np.int64).view(U64)
-    by = np.argsort(frequent)
-    rank = np.minimum(63, 1 + np.log2(np.array([r["c"] for r in often], dtype=float) + 1) * 4).astype(np.int64) if often else np.zeros(0, np.int64)
+    frequent, rank = _frequent(docs, total, width)
     profile = docs.mapInArrow(
-        partial(_profile, width=width, percent=percent, frequent=frequent[by], rank=rank[by], bits=bits),
+        partial(_profile, width=width, percent=percent, frequent=frequent, rank=rank, bits=bits),
         "_v long, _th long, n int, f1 long, f2 long, vec binary, prefix array<long>",
     )
     profile = materialize(profile, "profile")
@@ -443,14 +493,13 @@ def link_documents(df: DataFrame, vertex: Column, text_col: str = "text", width:
     points = rows.select("_v", "n", "f1", "f2", "vec").join(least, ["_v", "n", "f1", "f2"], "left_semi").dropDuplicates(["_v", "n", "f1", "f2"])
     points = materialize(points.select("_v", "n", "vec"), "points")
 
-    # Most shingles of prefixes are in one document only; they go before representatives are put in.
-    postings = rows.select(F.posexplode("prefix").alias("pos", "t"), "_v", "n")
-    shared = materialize(postings.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1").select("t"), "shared")
-    cells = materialize(postings.join(shared, "t", "left_semi"), "postings")
-    # equal sets have equal prefixes; of rows that share an id and not their text, all sets stand for it
-    cells = cells.join(members.select("_v", "rep").distinct(), "_v").groupBy("t", F.col("rep").alias("v2"))
-    cells = cells.agg(F.max(F.col("n") - F.col("pos")).alias("left"), F.min("n").alias("n"))  # shingles from this one on
-    cells = materialize(cells.select("t", F.col("v2").alias("_v"), "left", "n"), "cells")
+    # Equal sets have equal prefixes, so the shingles of one stand for all. Most are in one set only: those are no cells.
+    mine = rows.select("_v", "n", "f1", "f2", "prefix").join(least, ["_v", "n", "f1", "f2"], "left_semi")
+    postings = mine.select(F.posexplode("prefix").alias("pos", "t"), "_v", "n")
+    shared = postings.withColumn("k", F.count("*").over(Window.partitionBy("t"))).filter("k > 1")
+    # of rows that share an id and not their text, all sets stand for it
+    cells = shared.groupBy("t", "_v").agg(F.max(F.col("n") - F.col("pos")).alias("left"), F.min("n").alias("n"))  # shingles from this one on
+    cells = materialize(cells, "cells")
     # a vertex with several sets links them
     several = members.groupBy("_v").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("_v", "a")
     links = materialize(members.join(several, "_v").filter("a != rep").select("a", F.col("rep").alias("b")).distinct(), "own")
