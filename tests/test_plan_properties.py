@@ -156,6 +156,16 @@ def test_a_nested_column_before_the_cursor_is_refused(spark, scratch):
         footer_watermark(spark, f"{scratch}/n", "c")
 
 
+def test_shredded_rows_are_checked_before_they_are_decided(spark):
+    """The plan that decides begins at the checked rows, so the contract is planned and evaluated once."""
+    from tidemark.plans.stage_queries import validate_shredded
+
+    df = validate_shredded(spark, "/root/testdata/sf0.001")
+    files = df.inputFiles()
+    assert files and all("query-checked" in f for f in files)
+    assert {r["outcome"] for r in df.select("outcome").distinct().collect()} == {"insert", "reject"}
+
+
 # ----------------------------------------------------------------- saved pages
 def save(spark, path, ids):
     rows = spark.createDataFrame([(i, f"v{i}") for i in ids], "id long, v string")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import checks, ingest
 from tidemark.plans import stages
-from tidemark.plans.queries import _EVENT_RECORD, _STAGING_OUT, ARRAY_ROWS, AS_OF, AUCTION, KEYSET_WATERMARK, LOAD_AT, ORDERS, ORDERS_LOAD_AT, _read, _typed_event, comparable
+from tidemark.plans.queries import _EVENT_RECORD, _STAGING_OUT, ARRAY_ROWS, AS_OF, AUCTION, KEYSET_WATERMARK, LOAD_AT, ORDERS, ORDERS_LOAD_AT, _read, _typed_event, comparable, written
 from tidemark.plans.store import Store
 from tidemark.session import work_folder
 from tidemark.sources import landing, pages, saved_pages
@@ -114,12 +114,19 @@ def offline_run(spark, sf_dir):
 
 # -- P1 P3-P9: members read from raw's shredded payload, not parsed again ---------------------
 def validate_shredded(spark, sf_dir):
-    """Accepted and rejected rows of raw as ``load_raw`` wrote it."""
+    """Accepted and rejected rows of raw as ``load_raw`` wrote it.
+
+    The checked rows, of them what is returned or decides, are written first: deciding reads them twice, and the plan of the
+    contract is neither evaluated nor planned again for it.
+    """
     store, _ = _fresh_store(spark)
     stages.load_raw(store, AUCTION, auction_feed(_events(spark, sf_dir)).select("payload"), as_of=LOAD_AT)
-    out = ingest.validate_all(stages.read_raw(store, AUCTION, parsed=True), None, AUCTION)
-    return comparable(out.select("unit_result_id", "_id", "auction_unit", "technology_type", "executed_quantity_mw", "delivery_start_utc", "outcome", "reason")).select(
-        "unit_result_id", "_id", "outcome", "reason", *[F.when(F.col("outcome") == "insert", F.col(c)).alias(c) for c in ("auction_unit", "technology_type", "executed_quantity_mw", "delivery_start_utc")]
+    kept = ["unit_result_id", "_id", "auction_unit", "technology_type", "executed_quantity_mw", "delivery_start_utc"]
+    checked = ingest.validate_frame(stages.read_raw(store, AUCTION, parsed=True), AUCTION)
+    checked = written(spark, checked.select(*kept, "errors", "raw_payload", "raw_key"), "checked")
+    out = ingest.staging_outcome(checked, None, AUCTION, carry=kept)
+    return comparable(out).select(
+        "unit_result_id", "_id", "outcome", "reason", *[F.when(F.col("outcome") == "insert", F.col(c)).alias(c) for c in kept[2:]]
     )
 
 
