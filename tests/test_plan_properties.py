@@ -166,6 +166,57 @@ def test_shredded_rows_are_checked_before_they_are_decided(spark):
     assert {r["outcome"] for r in df.select("outcome").distinct().collect()} == {"insert", "reject"}
 
 
+# ------------------------------------------------------------ what runs leave on disk
+def shuffle_blocks(spark) -> str:
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+
+
+def test_written_statements_leave_no_shuffle_files(spark, scratch):
+    import re
+    import time
+
+    from tidemark.session import FREE_SHUFFLES
+
+    was = spark.conf.get(FREE_SHUFFLES)
+    before = set(re.findall(r"shuffle_\d+", shuffle_blocks(spark)))
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert stages.materialize(spark, counted, "counted").count() == 7
+    Store(spark, f"{scratch}/t").append("t", counted)
+    for _ in range(50):  # they are removed beside the driver's work
+        left = set(re.findall(r"shuffle_\d+", shuffle_blocks(spark))) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1  # of the count() above, which is not written
+    assert spark.conf.get(FREE_SHUFFLES) == was
+
+
+def test_landing_is_packed_and_read_back(spark, scratch, events, monkeypatch):
+    import glob
+
+    from tidemark.sources import landing
+
+    monkeypatch.setattr(landing, "MAX_LINES", 100)
+    feed = auction_feed(events)
+    want = sorted(r["payload"] for r in feed.select("payload").collect())
+    landing.write_landing(feed, f"{scratch}/l")
+    files = glob.glob(f"{scratch}/l/part-*")
+    assert all(f.endswith(".gz") for f in files) and len(files) >= len(want) // 100
+    assert sorted(r["payload"] for r in landing.read_landing(spark, f"{scratch}/l").collect()) == want
+
+
+def test_the_first_validate_compares_with_no_staging(spark, scratch, spec, events, monkeypatch):
+    seen = []
+    real = ingest.staging_outcome
+    monkeypatch.setattr(ingest, "staging_outcome", lambda validated, staging, *a, **k: seen.append(staging is None) or real(validated, staging, *a, **k))
+    store = Store(spark, f"{scratch}/t")
+    stages.load_raw(store, spec, auction_feed(events).select("payload"))
+    first = stages.validate(store, spec)
+    again = stages.validate(store, spec)
+    assert seen == [True, False]
+    assert first.rows_written > 0 and again.rows_written == 0 and again.rows_rejected == first.rows_rejected
+
+
 # ----------------------------------------------------------------- saved pages
 def save(spark, path, ids):
     rows = spark.createDataFrame([(i, f"v{i}") for i in ids], "id long, v string")
