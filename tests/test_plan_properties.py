@@ -191,7 +191,7 @@ def test_written_statements_leave_no_shuffle_files(spark, scratch):
     assert spark.conf.get(FREE_SHUFFLES) == was
 
 
-def test_landing_is_packed_and_read_back(spark, scratch, events, monkeypatch):
+def test_landing_and_pages_are_packed_and_read_back(spark, scratch, events, monkeypatch):
     import glob
 
     from tidemark.sources import landing
@@ -203,6 +203,10 @@ def test_landing_is_packed_and_read_back(spark, scratch, events, monkeypatch):
     files = glob.glob(f"{scratch}/l/part-*")
     assert all(f.endswith(".gz") for f in files) and len(files) >= len(want) // 100
     assert sorted(r["payload"] for r in landing.read_landing(spark, f"{scratch}/l").collect()) == want
+    saved_pages.write_pages(feed, "event_id", 200, F.parse_json("payload"), f"{scratch}/p")
+    assert all(f.endswith(".gz") for f in glob.glob(f"{scratch}/p/*/part-*"))
+    saved_pages.register(spark)
+    assert spark.read.format(saved_pages.FORMAT).option("path", f"{scratch}/p").load().count() == len(glob.glob(f"{scratch}/p/page=*"))
 
 
 def test_the_first_validate_compares_with_no_staging(spark, scratch, spec, events, monkeypatch):
